@@ -15,8 +15,16 @@ WHITESPACE = "".join(
 
 
 def normalise(text) -> Column:
-    """Lower-case, then strip surrounding whitespace of any kind."""
-    return F.btrim(F.lower(text), F.lit(WHITESPACE))
+    """Lower-case, then strip surrounding whitespace of any kind.
+
+    Trimming by a list of characters is slow, so it runs only where, after plain blanks
+    are gone, an end is below ``!`` or above ASCII: other whitespace lies there.
+    """
+    plain = F.trim(F.lower(text))
+    low, high = F.lit("!"), F.lit("\u0085")
+    last = F.substring(plain, -1, 1)
+    suspect = (plain < low) | (plain >= high) | (last < low) | (last >= high)
+    return F.when(suspect, F.btrim(plain, F.lit(WHITESPACE))).otherwise(plain)
 
 
 def dedup_key(company, title, location) -> Column:

@@ -25,13 +25,15 @@ def clean_postings(raw: DataFrame) -> DataFrame:
 
     The smallest row in ``FIRST_ORDER`` is kept.  ``min`` over the whole row as a struct
     combines before the shuffle, so a key that holds a large part of the table reaches
-    its reducer as one row per map task; a window would bring all its rows there.
+    its reducer as one row per map task; a window would bring all its rows there.  This
+    aggregation sorts, and the hash in front lets it sort by a number; strings are
+    compared only where hashes are equal.
     """
+    key = ["company_normalized", "title_normalized", "_place"]
     grouped = (
         with_normalised(raw)
-        .groupBy(
-            "company_normalized", "title_normalized", F.coalesce("location", F.lit("")).alias("_place")
-        )
+        .withColumn("_place", F.coalesce("location", F.lit("")))
+        .groupBy(F.xxhash64(*key).alias("_hash"), *key)
         .agg(
             F.min(F.struct(*FIRST_ORDER)).alias("_first"),
             F.min("first_scraped_at").alias("first_seen"),

@@ -49,20 +49,30 @@ def small_config(
 ) -> list[Tech] | None:
     """The config as a list ordered by name, or None when it passes a limit.
 
-    Sizes are measured before anything is read to the driver.
+    What reaches the driver is bounded: at most ``max_techs + 1`` rows, and no keywords of
+    a row that passes a limit by itself.
     """
     words = F.coalesce("keywords", F.array().cast("array<string>"))
-    techs, keywords, chars = config.agg(
-        F.count("*"),
-        F.coalesce(F.sum(F.size(words)), F.lit(0)),
-        F.coalesce(
-            F.sum(F.aggregate(words, F.lit(0), lambda n, k: n + F.coalesce(F.length(k), F.lit(0)))),
-            F.lit(0),
-        ),
-    ).first()
-    if techs > max_techs or keywords > max_keywords or chars > max_chars:
+    chars = F.aggregate(words, F.lit(0), lambda n, k: n + F.coalesce(F.length(k), F.lit(0)))
+    within = (F.size(words) <= max_keywords) & (chars <= max_chars)
+    rows = (
+        config.select(
+            "tech_name",
+            F.when(within, words).alias("keywords"),
+            "is_target",
+            "score_weight",
+            chars.alias("chars"),
+        )
+        .limit(max_techs + 1)
+        .collect()
+    )
+    if (
+        len(rows) > max_techs
+        or any(r["keywords"] is None for r in rows)
+        or sum(len(r["keywords"]) for r in rows) > max_keywords
+        or sum(r["chars"] for r in rows) > max_chars
+    ):
         return None
-    rows = config.select("tech_name", "keywords", "is_target", "score_weight").collect()
     return sorted(
         (Tech(r[0], _needed(r[1]), bool(r[2]), r[3]) for r in rows), key=lambda t: t.name
     )

@@ -60,7 +60,9 @@ def company_stats(
 
     per_value = (
         rows.select(*GROUP, "company", "matched", *masks, thing.alias("thing"))
-        .groupBy(*GROUP, "thing.kind", "thing.value")
+        .select(*GROUP, "company", "matched", *masks, "thing.kind", "thing.value")
+        # the hash comes first so that the sort-based aggregation sorts by a number
+        .groupBy(F.xxhash64(*GROUP, "kind", "value").alias("_hash"), *GROUP, "kind", "value")
         .agg(
             F.bool_or("matched").alias("matched"),
             F.min("company").alias("company"),

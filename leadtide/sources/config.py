@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql.pandas.types import to_arrow_type
 
 from leadtide.schemas import TECH_CONFIG
 
@@ -28,7 +30,14 @@ DEFAULT_TECHS = [
 
 
 def tech_config(spark: SparkSession, rows=None) -> DataFrame:
-    return spark.createDataFrame(DEFAULT_TECHS if rows is None else rows, TECH_CONFIG)
+    """Config rows as a local relation: reading it starts no job, and its size is known."""
+    rows = DEFAULT_TECHS if rows is None else rows
+    columns = list(zip(*rows)) or [[]] * len(TECH_CONFIG)
+    arrays = [
+        pa.array(list(values), to_arrow_type(field.dataType))
+        for values, field in zip(columns, TECH_CONFIG)
+    ]
+    return spark.createDataFrame(pa.table(arrays, names=TECH_CONFIG.names), TECH_CONFIG)
 
 
 def with_defaults(config: DataFrame) -> DataFrame:
