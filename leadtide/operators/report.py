@@ -233,15 +233,15 @@ def warehouse_report(raw: DataFrame) -> DataFrame:
     posting = F.concat(
         "company", F.lit(": "), "title", F.lit(" ("), iso_date("posting_date"), F.lit(")")
     )
-    both = F.explode(
-        F.array(
-            F.struct(F.lit("total").alias("s"), F.lit("jobs").alias("l"), F.col("n").alias("v")),
-            F.struct(F.lit("range"), range_text(F.col("a"), F.col("b")), F.lit(None).cast("bigint")),
+    def entry(section, label, value):
+        return F.struct(
+            F.lit(section).alias("section"), F.lit(1).alias("rank"), label.alias("label"),
+            value.cast("bigint").alias("value"),
         )
-    ).alias("x")
-    head = totals.select(both).select(
-        F.col("x.s").alias("section"), F.lit(1).alias("rank"),
-        F.col("x.l").alias("label"), F.col("x.v").alias("value"),
+
+    weeks = range_text(F.col("a"), F.col("b"))
+    head = totals.select(
+        F.inline(F.array(entry("total", F.lit("jobs"), F.col("n")), entry("range", weeks, none)))
     )
     return head.unionByName(
         lines(companies, "company", by_count, F.col("company"), F.col("job_count"))

@@ -87,8 +87,20 @@ def trend_feed(stats: DataFrame) -> DataFrame:
     ).orderBy("company_normalized", "week_start")
 
 
+# Values are kept as they are: no trimming, and an empty field is an empty string.
+CSV = {
+    "header": True,
+    "ignoreLeadingWhiteSpace": False,
+    "ignoreTrailingWhiteSpace": False,
+}
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(**CSV).csv(path)
+
+
+def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    return spark.read.schema(schema).options(**CSV, nullValue="\\N").csv(path)
 
 
 def write_json(df: DataFrame, path: str) -> None:
