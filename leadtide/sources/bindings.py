@@ -24,8 +24,19 @@ DOCUMENT_TECHS = [
 PREFIXES = {1: "Senior ", 2: "Sr. ", 3: "Junior ", 4: "Principal ", 6: "Lead "}
 
 
+# The columns read; a declared schema spares a job per table to infer it.
+COLUMNS = {
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, "
+    "l_returnflag string, l_shipdate timestamp_ntz",
+    "part": "p_partkey bigint, p_name string, p_brand string, p_type string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "nation": "n_nationkey int, n_name string",
+    "documents": "doc_id bigint, text string, lang string, source string",
+}
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
-    return spark.read.parquet(f"{folder}/{name}.parquet")
+    return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
 def spread(df: DataFrame) -> DataFrame:
