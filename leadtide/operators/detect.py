@@ -235,9 +235,14 @@ def with_techs_by_anchor(
 
 
 def tech_matches(jobs: DataFrame, config: DataFrame, **options) -> DataFrame:
-    """One row per posting and technology found in it."""
+    """One row per posting and technology found in it.
+
+    A plain ``explode`` makes the optimizer add a filter on the array, which repeats the
+    keyword test; the outer form with a filter on its result does not.
+    """
     return (
         with_techs(jobs, config, **options)
-        .withColumn("tech_name", F.explode("techs"))
+        .withColumn("tech_name", F.explode_outer("techs"))
         .drop("techs")
+        .where(F.col("tech_name").isNotNull())
     )

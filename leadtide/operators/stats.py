@@ -40,7 +40,7 @@ def company_stats(
         things.append(F.struct(F.lit("location").alias("kind"), F.col("location").alias("value")))
     if techs is None:
         rows = with_techs(jobs, config, **limits).withColumn("matched", F.size("techs") > 0)
-        thing = F.explode(
+        thing = F.explode_outer(  # never empty; see tech_matches for the outer form
             F.concat(
                 F.array(*things),
                 F.transform(

@@ -39,13 +39,14 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
+def spread(df: DataFrame, *by: str) -> DataFrame:
     """Deal the rows out when the files give fewer partitions than there are cores.
 
-    A file with one row group is one partition however large it is.
+    A file with one row group is one partition however large it is.  Dealing by a hash
+    of ``by`` spares the sort of a round-robin deal.
     """
     cores = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(cores) if df.rdd.getNumPartitions() < cores else df
+    return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
 
 
 def part_config(spark: SparkSession) -> DataFrame:
@@ -59,7 +60,7 @@ def document_config(spark: SparkSession) -> DataFrame:
 def postings(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as scraped postings; ``line`` is kept to tell batches apart."""
     joined = (
-        spread(table(spark, folder, "lineitem"))
+        spread(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey", "l_linenumber")
         .join(table(spark, folder, "part"), F.expr("l_partkey = p_partkey"))
         .join(table(spark, folder, "supplier"), F.expr("l_suppkey = s_suppkey"))
         .join(table(spark, folder, "nation"), F.expr("s_nationkey = n_nationkey"))
@@ -88,7 +89,7 @@ def postings(spark: SparkSession, folder: str) -> DataFrame:
 def documents(spark: SparkSession, folder: str) -> DataFrame:
     """Documents as postings with long descriptions."""
     day = F.date_add(F.lit("2024-01-01").cast("date"), (F.col("doc_id") % 56).cast("int"))
-    return spread(table(spark, folder, "documents")).select(
+    return spread(table(spark, folder, "documents"), "doc_id").select(
         F.col("doc_id").cast("string").alias("job_id"),
         F.col("source").alias("company"),
         F.concat(F.lit("Document "), F.col("doc_id").cast("string")).alias("title"),
