@@ -32,7 +32,11 @@ def refresh_table(df: DataFrame, path: str, name: str, *, by_week: bool = False)
 
 
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
-    """Keep a table bucketed and sorted by its key, so keyed joins need not shuffle it."""
+    """Keep a table bucketed and sorted by its key, so keyed joins need not shuffle it.
+
+    Take at least as many buckets as there are shuffle partitions, or Spark will prefer
+    to shuffle it.
+    """
     df.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).format("parquet").saveAsTable(
         table
     )
