@@ -61,7 +61,7 @@ def company_stats(
     per_value = (
         rows.select(*GROUP, "company", "matched", *masks, thing.alias("thing"))
         .select(*GROUP, "company", "matched", *masks, "thing.kind", "thing.value")
-        # the hash comes first so that the sort-based aggregation sorts by a number
+        # in both groupings a hash comes first, so that sort-based aggregation sorts by a number
         .groupBy(F.xxhash64(*GROUP, "kind", "value").alias("_hash"), *GROUP, "kind", "value")
         .agg(
             F.bool_or("matched").alias("matched"),
@@ -95,7 +95,7 @@ def company_stats(
         lists.append(
             F.collect_list(F.when(F.col("kind") == "tech", F.col("value"))).alias("tech_list")
         )
-    grouped = per_value.groupBy(*GROUP).agg(
+    grouped = per_value.groupBy(F.xxhash64(*GROUP).alias("_hash"), *GROUP).agg(
         F.bool_or("matched").alias("any_hit"),
         F.min("company").alias("all_company"),
         F.min("matched_company").alias("hit_company"),

@@ -45,37 +45,47 @@ def first_per_key(rows: DataFrame, key: list[str], order: list[str]) -> DataFram
     )
 
 
-def is_small(batch: DataFrame, limit: int) -> bool:
-    """Whether a batch has at most ``limit`` keys; reads no more than it must."""
+def is_small(batch: DataFrame, limit: int = BROADCAST_KEYS) -> bool:
+    """Whether a batch has at most ``limit`` records; reads no more than it must."""
     return batch.select("job_id").limit(limit + 1).count() <= limit
 
 
-def known_keys(table: DataFrame, batch: DataFrame, limit: int = BROADCAST_KEYS) -> DataFrame:
-    """Keys of the batch that the table holds."""
+def _hint(df: DataFrame, small: bool) -> DataFrame:
+    return F.broadcast(df) if small else df
+
+
+def known_keys(
+    table: DataFrame, batch: DataFrame, limit: int = BROADCAST_KEYS, small: bool | None = None
+) -> DataFrame:
+    """Keys of the batch that the table holds.
+
+    Here and below, ``small`` tells the outcome of ``is_small`` when it is known already.
+    """
+    small = is_small(batch, limit) if small is None else small
     keys = batch.select("job_id").distinct()
-    if is_small(batch, limit):
-        keys = F.broadcast(keys)
-    return table.select("job_id").join(keys, "job_id", "left_semi")
+    return table.select("job_id").join(_hint(keys, small), "job_id", "left_semi")
 
 
-def new_postings(table: DataFrame, batch: DataFrame, limit: int = BROADCAST_KEYS) -> DataFrame:
-    """Rows of the batch whose key the table does not hold."""
-    rows = one_per_job(batch)
-    if is_small(batch, limit):
-        # the table is scanned for its keys only, and stays where it is
-        known = F.broadcast(table.select("job_id").join(
-            F.broadcast(batch.select("job_id").distinct()), "job_id", "left_semi"
-        ).distinct())
-        return rows.join(known, "job_id", "left_anti")
-    return rows.join(table.select("job_id"), "job_id", "left_anti")
+def new_postings(
+    table: DataFrame, batch: DataFrame, limit: int = BROADCAST_KEYS, small: bool | None = None
+) -> DataFrame:
+    """Rows of the batch whose key the table does not hold.
+
+    For a small batch the table is scanned for its keys only, and stays where it is; what
+    it holds of the batch is no larger than the batch.
+    """
+    small = is_small(batch, limit) if small is None else small
+    known = known_keys(table, batch, small=True).distinct() if small else table.select("job_id")
+    return one_per_job(batch).join(_hint(known, small), "job_id", "left_anti")
 
 
-def touch(table: DataFrame, batch: DataFrame, limit: int = BROADCAST_KEYS) -> DataFrame:
+def touch(
+    table: DataFrame, batch: DataFrame, limit: int = BROADCAST_KEYS, small: bool | None = None
+) -> DataFrame:
     """The table with ``last_scraped_at`` taken from the batch where the key occurs in it."""
+    small = is_small(batch, limit) if small is None else small
     seen = batch.groupBy("job_id").agg(F.max("scraped_at").alias("_seen"))
-    if is_small(batch, limit):
-        seen = F.broadcast(seen)
-    return table.join(seen, "job_id", "left").select(
+    return table.join(_hint(seen, small), "job_id", "left").select(
         *[c for c in RAW if c != "last_scraped_at"],
         F.coalesce("_seen", "last_scraped_at").alias("last_scraped_at"),
     )
@@ -90,7 +100,8 @@ def upsert_postings(
     full outer join; with a table bucketed by job_id only the batch moves.
     """
     if is_small(batch, limit):
-        return touch(table, batch, limit).unionByName(new_postings(table, batch, limit))
+        touched = touch(table, batch, small=True)
+        return touched.unionByName(new_postings(table, batch, small=True))
     old = table.select(F.col("job_id"), F.struct(*RAW[1:]).alias("_old"))
     new = one_per_job(batch).select(F.col("job_id"), F.struct(*RAW[1:]).alias("_new"))
     kept = F.coalesce("_old", "_new")

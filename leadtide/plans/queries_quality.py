@@ -127,4 +127,5 @@ def q10(b):
     ),
 )
 def q_all(b):
-    return quality.all_checks(b.stored_cleaned, b.config, b.stored_leads)
+    b.cleaned = b.stored_cleaned  # the leads start from the stored table too
+    return quality.all_checks(b.cleaned, b.config, b.stored_leads)
