@@ -11,6 +11,7 @@ title or description.  Two plans give the same answer:
 
 from __future__ import annotations
 
+import json
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
@@ -100,8 +101,10 @@ def _named_in(texts: Column, keywords: Column) -> Column:
     return F.exists(keywords, lambda k: F.contains(texts.t, k) | F.contains(texts.d, k))
 
 
-def _strings(values) -> Column:
-    return F.array(*[F.lit(v) for v in values]).cast("array<string>")
+def constant(values: list, ddl: str) -> Column:
+    """A nested constant.  The optimizer folds the parse away, and building the column
+    takes one call however many values there are."""
+    return F.from_json(F.lit(json.dumps(values)), ddl)
 
 
 def _chunks(techs: list[Tech]) -> list[list[Tech]]:
@@ -109,13 +112,9 @@ def _chunks(techs: list[Tech]) -> list[list[Tech]]:
 
 
 def _mask(techs: list[Tech], title, description) -> Column:
-    specs = F.array(
-        *[
-            F.struct(
-                F.lit(1 << bit).cast("long").alias("bit"), _strings(t.keywords).alias("keywords")
-            )
-            for bit, t in enumerate(techs)
-        ]
+    specs = constant(
+        [{"bit": 1 << bit, "keywords": t.keywords} for bit, t in enumerate(techs)],
+        "array<struct<bit:bigint,keywords:array<string>>>",
     )
 
     def body(texts):
@@ -137,14 +136,17 @@ def tech_masks(techs: list[Tech], title="title", description="description") -> l
 
 def names_of_masks(techs: list[Tech], masks: list[str]) -> Column:
     """The names behind the set bits, in name order."""
-    parts = [F.array().cast("array<string>")]
-    for chunk, mask in zip(_chunks(techs), [F.col(m) for m in masks]):
-        for bit, t in enumerate(chunk):
-            parts.append(
-                F.when(mask.bitwiseAND(F.lit(1 << bit).cast("long")) != 0, F.array(F.lit(t.name)))
-                .otherwise(F.array().cast("array<string>"))
-            )
-    return F.concat(*parts)
+
+    def names(chunk, mask):
+        every = constant(
+            [{"bit": 1 << bit, "name": t.name} for bit, t in enumerate(chunk)],
+            "array<struct<bit:bigint,name:string>>",
+        )
+        found = F.filter(every, lambda n: n["bit"].bitwiseAND(mask) != 0)
+        return F.transform(found, lambda n: n["name"])
+
+    parts = [names(chunk, F.col(mask)) for chunk, mask in zip(_chunks(techs), masks)]
+    return F.concat(F.array().cast("array<string>"), *parts)
 
 
 def with_techs(
@@ -164,12 +166,10 @@ def with_techs(
             F.coalesce(F.lower(title), F.lit("")),
             F.coalesce(F.lower(description), F.lit("")),
         )
-    specs = F.array(
-        *[
-            F.struct(F.lit(t.name).alias("name"), _strings(t.keywords).alias("keywords"))
-            for t in techs
-        ]
-    ).cast("array<struct<name:string,keywords:array<string>>>")
+    specs = constant(
+        [{"name": t.name, "keywords": t.keywords} for t in techs],
+        "array<struct<name:string,keywords:array<string>>>",
+    )
 
     def body(texts):
         hits = F.filter(specs, lambda t: _named_in(texts, t.keywords))

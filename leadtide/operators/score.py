@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadtide.functions import scores
-from leadtide.operators.detect import MAX_TECHS, with_techs_by_anchor
+from leadtide.operators.detect import MAX_TECHS, constant, with_techs_by_anchor
 
 def target_techs(config: DataFrame) -> DataFrame:
     return config.where("is_target").select("tech_name", "score_weight")
@@ -41,12 +41,9 @@ def with_matched_weight(
     targets = small_targets(config, max_targets)
     if targets is None:
         return _with_matched_weight_joined(stats, config, exact)
-    weighted = F.array(
-        *[
-            F.struct(F.lit(n).alias("name"), F.lit(w).cast("double").alias("weight"))
-            for n, w in targets
-        ]
-    ).cast("array<struct<name:string,weight:double>>")
+    weighted = constant(
+        [{"name": n, "weight": w} for n, w in targets], "array<struct<name:string,weight:double>>"
+    )
     matched = F.aggregate(
         F.filter(weighted, lambda t: _has_tech(F.col("tech_stack"), t["name"], exact)),
         zero,
