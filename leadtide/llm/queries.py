@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from leadtide.llm import mixing, packing, pii, quality, simhash
+from leadtide.llm import chunks, fingerprints, mixing, packing, pii, quality, simhash, suffixes
 from leadtide.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -15,10 +16,23 @@ ORACLE: dict[str, str] = {}
 
 
 def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
-    QUERIES[fn.__name__] = fn
+    def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+        # Where only the driver was told of this folder, tell the workers of a session too.
+        folder = os.path.dirname(os.path.abspath(corpus_pipeline.__file__))
+        known = spark.sparkContext.environment.get("PYTHONPATH", "")
+        if folder not in known.split(os.pathsep):
+            spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join(filter(None, [folder, known]))
+        return fn(spark, sf_dir)
+
+    QUERIES[fn.__name__] = run
     return fn
 
 
+@query
+def op1_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprints.fingerprints(documents(spark, sf_dir))
+
+
 @query
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(documents(spark, sf_dir), corpus_pipeline.tokenizer_path(), tokens=False)
@@ -83,6 +97,16 @@ FROM copies
 """
 
 
+@query
+def op8_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chunks.deduplicate_chunks(documents(spark, sf_dir)).drop("kept")
+
+
+@query
+def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffixes.remove_repeats(documents(spark, sf_dir), length=100).drop("kept")
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
