@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from leadtide.llm import chunks, fingerprints, mixing, packing, pii, quality, simhash, suffixes
+from leadtide.llm import chunks, fingerprints, mixing, packing, pii, quality, simhash, suffixes, toxicity
 from leadtide.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -102,6 +102,12 @@ def op8_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.deduplicate_chunks(documents(spark, sf_dir)).drop("kept")
 
 
+@query
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
+    return toxicity.toxicity(documents(spark, sf_dir), labels).drop("segments")
+
+
 @query
 def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(documents(spark, sf_dir), length=100).drop("kept")
