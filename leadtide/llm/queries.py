@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from leadtide.llm import chunks, fingerprints, mixing, packing, pii, quality, simhash, suffixes, toxicity
+from leadtide.llm import chunks, fingerprints, langid, mixing, packing, pii, quality, simhash, suffixes, toxicity
 from leadtide.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -97,6 +97,11 @@ FROM copies
 """
 
 
+@query
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return langid.languages(documents(spark, sf_dir)).drop("words")
+
+
 @query
 def op8_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chunks.deduplicate_chunks(documents(spark, sf_dir)).drop("kept")
