@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from leadtide.llm import mixing, packing, pii, quality, simhash
-from leadtide.llm.common import documents, stored
+from leadtide.llm.common import documents, restored, sheltered, stored
 
 #: Classifier, tokens and random numbers are beyond SQL; tests compare with brute force.
 ORACLE_SQL = None
@@ -26,8 +26,8 @@ def tokenizer_path() -> str:
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     labels = spark.read.parquet(f"{sf_dir}/labels.parquet")
-    judged = quality.judge(docs, quality.fit(docs, labels))
-    return judged.where("kept").select(*[f"`{c}`" for c in docs.columns])
+    judged = quality.judge(sheltered(docs, "doc_id", "text"), quality.fit(docs, labels)).where("kept")
+    return judged.select(*restored(judged, docs, "doc_id", "text"))
 
 
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -42,7 +42,9 @@ def personal_data_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 def mixing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every source is to give the same number of documents; rows repeat or go by a Poisson draw."""
-    return mixing.mix(docs).select(*[f"`{c}`" for c in docs.columns])
+    used = ("doc_id", "text", "source")
+    mixed = mixing.mix(sheltered(docs, *used))
+    return mixed.select(*restored(mixed, docs, *used))
 
 
 def packing_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -41,6 +41,17 @@ def row_key(doc_id: str = "doc_id", text: str = "text") -> Column:
     return F.unhex(F.md5(F.concat(*parts)))
 
 
+def sheltered(docs: DataFrame, *used: str) -> DataFrame:
+    """The columns ``used``, and all others as fields of the column _rest, where no name can clash."""
+    rest = [F.col("`" + c.replace("`", "``") + "`").alias(c) for c in docs.columns if c not in used]
+    return docs.select(*used, (F.struct(*rest) if rest else F.lit(None).cast("string")).alias("_rest"))
+
+
+def restored(df: DataFrame, docs: DataFrame, *used: str) -> list[Column]:
+    """The columns of ``docs`` in their order, from what ``sheltered`` made of them."""
+    return [df[c] if c in used else df["_rest"].getField(c).alias(c) for c in docs.columns]
+
+
 def text_bytes(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """The UTF-8 bytes of all texts in a row, and where each begins (one more entry than texts)."""
     texts = column.cast(pa.large_binary()).fill_null(b"")

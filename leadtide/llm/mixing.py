@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leadtide.llm.common import stored
+from leadtide.llm.common import restored, sheltered, stored
 
 #: Digits of a hash that make a uniform number; 13 hexadecimal digits fit a double exactly.
 _DIGITS = 13
@@ -75,9 +75,12 @@ def mix(
     by_source = stored(rates(docs, weights, total), "source-rates").select(F.col("source").alias("_source"), "rate")
     digest = F.md5(F.coalesce(F.col("text"), F.lit("")))
     u = uniform(F.lit(seed), F.col("doc_id"), digest)
-    drawn = docs.withColumn("_u", u).join(by_source, F.col("source").eqNullSafe(F.col("_source")))
-    names = [F.col(f"`{c}`") for c in docs.columns]
+    used = ("doc_id", "text", "source")
+    wide = sheltered(docs, *used)
+    drawn = wide.withColumn("_u", u).join(by_source, F.col("source").eqNullSafe(F.col("_source")))
+    names = [*used, "_rest"]
     times = drawn.select(*names, poisson(F.col("_u"), F.col("rate")).alias("_times")).where("_times > 0")
     copies = times.select(*names, F.explode(F.sequence(F.lit(1), F.col("_times"))).alias("copy"))
     key = uniform(F.lit(seed + 1), F.col("doc_id"), digest, F.col("copy"))
-    return copies.select(*names, "copy", key.alias("mix_key")).orderBy("mix_key", "doc_id", "copy")
+    ordered = copies.select(*names, "copy", key.alias("mix_key")).orderBy("mix_key", "doc_id", "copy")
+    return ordered.select(*restored(ordered, docs, *used), "copy", "mix_key")

@@ -15,8 +15,9 @@ from collections.abc import Iterator
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import StructType
 
-from leadtide.llm.common import pieces, row_key, stored
+from leadtide.llm.common import pieces, restored, row_key, sheltered, stored
 
 #: Kinds in the order of the report, and their patterns.
 KINDS = ("email", "ip", "card", "phone")
@@ -238,19 +239,25 @@ def mask(text: str | None, base: list, terms: list) -> str | None:
 
 
 def sanitise(docs: DataFrame, threshold: float = THRESHOLD, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
-    """The rows of ``docs`` with masked texts, and n_chars (if there is such a column) after masking."""
+    """The rows of ``docs`` with masked texts, and n_chars (if there is such a column) after masking.
+
+    One row out for each row in, repeated rows too; other columns stay as they are, whatever
+    their names.  A null text stays null, with its n_chars.
+    """
     found = find(docs, threshold, least_documents).where((F.size("base") > 0) | (F.size("terms") > 0))
-    wide = docs.withColumn("_key", row_key()).join(
-        found.select(F.col("key").alias("_key"), F.col("base").alias("_base"), F.col("terms").alias("_terms")), "_key", "left"
-    )
-    place = wide.columns.index("text")
+    wide = sheltered(docs, "doc_id", "text").withColumn("key", row_key()).join(
+        found.select("key", "base", "terms"), "key", "left"
+    ).select("doc_id", "text", "_rest", "base", "terms")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, BATCH_BYTES):
-            rows = zip(*(batch.column(c).to_pylist() for c in ("text", "_base", "_terms")))
+            rows = zip(*(batch.column(c).to_pylist() for c in ("text", "base", "terms")))
             texts = pa.array([mask(t, b, n) if b or n else t for t, b, n in rows], pa.string())
-            yield batch.set_column(place, "text", texts).drop_columns(["_key", "_base", "_terms"])
-
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in docs.schema)
-    out = wide.mapInArrow(run, schema)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+            yield batch.set_column(1, "text", texts).drop_columns(["base", "terms"])
+
+    masked = wide.mapInArrow(run, StructType(wide.schema.fields[:3]))
+    out = masked.select(*restored(masked, docs, "doc_id", "text"))
+    if "n_chars" not in docs.columns:
+        return out
+    kind = docs.schema["n_chars"].dataType
+    return out.withColumn("n_chars", F.when(F.col("text").isNull(), F.col("n_chars")).otherwise(F.length("text").cast(kind)))

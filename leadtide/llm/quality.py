@@ -15,8 +15,9 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
+from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from leadtide.llm.common import fit_logistic, pieces, sigmoid, split_of, sums_by_row, text_bytes
+from leadtide.llm.common import fit_logistic, pieces, restored, sheltered, sigmoid, split_of, sums_by_row, text_bytes
 
 #: Most labelled rows the classifier is fitted on, taken in the order of a hash of doc_id.
 SAMPLE_ROWS = 4000
@@ -157,9 +158,13 @@ def judge(docs: DataFrame, model: Model, least_probability: float = LEAST_PROBAB
     """
     names = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
     added = [*names, "base_failed", "probability", "kept"]
-    kept_columns = docs.drop(*added)
-    schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in kept_columns.schema)
-    schema += ", " + ", ".join(f"{n} long" for n in names) + ", base_failed boolean, probability double, kept boolean"
+    others = docs.drop(*added)
+    wide = sheltered(others, "text")
+    schema = StructType([
+        *wide.schema.fields, *[StructField(n, LongType()) for n in names],
+        StructField("base_failed", BooleanType()), StructField("probability", DoubleType()),
+        StructField("kept", BooleanType()),
+    ])
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, BATCH_BYTES):
@@ -174,7 +179,8 @@ def judge(docs: DataFrame, model: Model, least_probability: float = LEAST_PROBAB
                 [*batch.schema.names, *added],
             )
 
-    return kept_columns.mapInArrow(score, schema)
+    judged = wide.mapInArrow(score, schema)
+    return judged.select(*restored(judged, others, "text"), *added)
 
 
 def quality_rules(docs: DataFrame, labels: DataFrame, least_probability: float = LEAST_PROBABILITY) -> DataFrame:

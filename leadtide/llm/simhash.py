@@ -18,7 +18,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from leadtide.llm.common import pieces, row_key, stored
+from leadtide.llm.common import pieces, restored, row_key, sheltered, stored
 from leadtide.llm.components import components
 
 SHINGLE_WORDS = 3
@@ -166,7 +166,8 @@ def one_of_each_group(docs: DataFrame, shingle_words: int = SHINGLE_WORDS, most_
     chosen = rows.groupBy("group").agg(
         F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "key")).alias("first")
     ).select(F.col("first.key").alias("_key"))
-    keyed = docs.withColumn("_key", row_key()).join(chosen, "_key", "left_semi")
-    # At most equal rows share a key now; the partitioning by key is that of the join.
+    wide = sheltered(docs, "doc_id", "text").withColumn("_key", row_key()).join(chosen, "_key", "left_semi")
+    # Only equal rows share a key now; the partitioning by key is that of the join.
     first = Window.partitionBy("_key").orderBy("doc_id")
-    return keyed.withColumn("_nth", F.row_number().over(first)).where("_nth = 1").drop("_key", "_nth")
+    one = wide.withColumn("_nth", F.row_number().over(first)).where("_nth = 1")
+    return one.select(*restored(one, docs, "doc_id", "text"))
