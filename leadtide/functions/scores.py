@@ -13,8 +13,12 @@ WARM = 50
 
 
 def round_to(value: Column, digits: int = 2) -> Column:
-    """Round half up on the decimal value, so 1.005 becomes 1.01."""
-    return F.round(value.cast("decimal(18,6)"), digits).cast("double")
+    """Round half up, once, on the shortest decimal that stands for the double: 1.005 becomes 1.01.
+
+    From 1e15 on a double has at most two decimals and stays as it is, as do NaN and the infinities.
+    """
+    exact = value.cast("string").cast("decimal(38,20)")
+    return F.when(F.abs(value) >= 1e15, value.cast("double")).otherwise(F.round(exact, digits).cast("double"))
 
 
 def share(part: Column, whole: Column) -> Column:

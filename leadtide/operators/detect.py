@@ -1,82 +1,122 @@
 """Keyword detection: which technologies of a config table a posting names.
 
-A technology is found when one of its keywords is a substring of the lower-cased
-title or description.  Two plans give the same answer:
-
-* a config within the limits below is read once and folded into the plan as a
-  constant, so each posting is tested where it lies: no join, no shuffle;
-* a larger config stays a table and meets the postings in an equi-join on short
-  anchors of the keywords, after which each candidate is tested.
+A technology is found when one of its keywords is a substring of the lower-cased title or
+description.  The config is read once, while the plan is built, and made canonical: rows
+without a name are left out, rows of one name are one technology with the keywords of all.
+Postings are tested where they lie, in one pass: no join, no shuffle.  A short config is
+folded into the plan; a long one travels as a broadcast, whose size is checked, and its
+keywords are sought all at once by an automaton in Arrow batches.  Both test the same list
+for the same condition.
 """
 
 from __future__ import annotations
 
 import json
+from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import lru_cache
 
+import ahocorasick
+import pandas as pd
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-# What may be folded into a plan.
+# What is folded into a plan; more goes to the automaton.
 MAX_TECHS = 250
 MAX_KEYWORDS = 2_000
 MAX_KEYWORD_CHARS = 100_000
+#: A config of more characters is refused: it would not fit the memory of a worker.
+MAX_CONFIG_CHARS = 64_000_000
 
 MASK_BITS = 62  # technologies per BIGINT mask
-ANCHOR = 3  # leading characters of a keyword used as join key
 
 
 @dataclass(frozen=True)
 class Tech:
     name: str
     keywords: tuple[str, ...]
-    is_target: bool
-    weight: float | None
 
 
-def _needed(keywords) -> tuple[str, ...]:
+@dataclass(frozen=True)
+class Techs:
+    """The canonical config, ordered by name."""
+
+    rows: list[Tech]
+    small: bool  # whether it is folded into plans
+
+
+def _needed(keywords: Iterable[str | None]) -> tuple[str, ...]:
     """Drop keywords that contain another one: the shorter one finds all they find."""
     kept: list[str] = []
-    for word in sorted({k for k in keywords or [] if k is not None}, key=lambda k: (len(k), k)):
+    for word in sorted({k for k in keywords if k is not None}, key=lambda k: (len(k), k)):
         if not any(short in word for short in kept):
             kept.append(word)
     return tuple(kept)
 
 
-def small_config(
+def _canonical(rows) -> list[Tech]:
+    words: dict[str, set[str]] = {}
+    for name, keywords in rows:
+        if name is not None:
+            words.setdefault(name, set()).update(k for k in keywords or [] if k is not None)
+    many = sum(map(len, words.values())) > MAX_KEYWORDS
+    return [Tech(name, tuple(sorted(words[name])) if many else _needed(words[name])) for name in sorted(words)]
+
+
+def read_techs(
     config: DataFrame,
     max_techs: int = MAX_TECHS,
     max_keywords: int = MAX_KEYWORDS,
     max_chars: int = MAX_KEYWORD_CHARS,
-) -> list[Tech] | None:
-    """The config as a list ordered by name, or None when it passes a limit.
-
-    What reaches the driver is bounded: at most ``max_techs + 1`` rows, and no keywords of
-    a row that passes a limit by itself.
-    """
+) -> Techs:
+    """Read the config (runs a job, two for a long one).  The limits choose the plan only."""
     words = F.coalesce("keywords", F.array().cast("array<string>"))
     chars = F.aggregate(words, F.lit(0), lambda n, k: n + F.coalesce(F.length(k), F.lit(0)))
     within = (F.size(words) <= max_keywords) & (chars <= max_chars)
     rows = (
-        config.select(
-            "tech_name",
-            F.when(within, words).alias("keywords"),
-            "is_target",
-            "score_weight",
-            chars.alias("chars"),
-        )
+        config.select("tech_name", F.when(within, words).alias("keywords"), chars.alias("chars"))
         .limit(max_techs + 1)
         .collect()
     )
     if (
-        len(rows) > max_techs
-        or any(r["keywords"] is None for r in rows)
-        or sum(len(r["keywords"]) for r in rows) > max_keywords
-        or sum(r["chars"] for r in rows) > max_chars
+        len(rows) <= max_techs
+        and all(r["keywords"] is not None for r in rows)
+        and sum(len(r["keywords"]) for r in rows) <= max_keywords
+        and sum(r["chars"] for r in rows) <= max_chars
     ):
-        return None
-    return sorted(
-        (Tech(r[0], _needed(r[1]), bool(r[2]), r[3]) for r in rows), key=lambda t: t.name
-    )
+        return Techs(_canonical((r["tech_name"], r["keywords"]) for r in rows), True)
+    size = config.agg(F.sum(chars.cast("long") + F.coalesce(F.length("tech_name"), F.lit(0)))).first()[0] or 0
+    if size > MAX_CONFIG_CHARS:
+        raise ValueError(f"a config of {size} characters is too large; {MAX_CONFIG_CHARS} are allowed")
+    return Techs(_canonical(config.select("tech_name", "keywords").collect()), False)
+
+
+@lru_cache(maxsize=4)
+def _automaton(words: Broadcast):
+    """(automaton, numbers found in any text) of a broadcast list of keyword tuples; one per worker."""
+    of: dict[str, list[int]] = {}
+    for number, keywords in enumerate(words.value):
+        for keyword in keywords:
+            of.setdefault(keyword, []).append(number)
+    always = of.pop("", [])
+    automaton = ahocorasick.Automaton()
+    for keyword, numbers in of.items():
+        automaton.add_word(keyword, numbers)
+    if of:
+        automaton.make_automaton()
+    return automaton if of else None, always
+
+
+def _found(words: Broadcast, *texts: str | None) -> list[int]:
+    """Numbers of the keyword tuples of which some word occurs in some text, in order."""
+    automaton, always = _automaton(words)
+    found = set(always)
+    if automaton is not None:
+        for text in texts:
+            if text:
+                for _, numbers in automaton.iter(text):
+                    found.update(numbers)
+    return sorted(found)
 
 
 def _bind(value: Column, body) -> Column:
@@ -151,23 +191,18 @@ def names_of_masks(techs: list[Tech], masks: list[str]) -> Column:
 
 def with_techs(
     jobs: DataFrame,
-    config: DataFrame,
+    config: DataFrame | Techs,
     *,
     title: str = "title",
     description: str = "description",
     **limits,
 ) -> DataFrame:
     """Add ``techs``, the sorted names found in each posting."""
-    techs = small_config(config, **limits)
-    if techs is None:
-        return with_techs_by_anchor(
-            jobs,
-            config,
-            F.coalesce(F.lower(title), F.lit("")),
-            F.coalesce(F.lower(description), F.lit("")),
-        )
+    techs = config if isinstance(config, Techs) else read_techs(config, **limits)
+    if not techs.small:
+        return jobs.withColumn("techs", _sought(jobs, techs.rows)(F.lower(title), F.lower(description)))
     specs = constant(
-        [{"name": t.name, "keywords": t.keywords} for t in techs],
+        [{"name": t.name, "keywords": t.keywords} for t in techs.rows],
         "array<struct<name:string,keywords:array<string>>>",
     )
 
@@ -178,60 +213,17 @@ def with_techs(
     return jobs.withColumn("techs", _with_texts(title, description, body))
 
 
-def _anchors(text: Column) -> Column:
-    """All distinct substrings of 1 to ANCHOR characters, and the empty one."""
-
-    def runs(chars, width):
-        joined = F.transform(
-            chars, lambda c, at: F.concat(c, *[F.get(chars, at + k) for k in range(1, width)])
-        )
-        return F.array_compact(joined)  # runs past the end are NULL
-
-    def of_chars(chars):
-        widths = [runs(chars, width) for width in range(1, ANCHOR + 1)]
-        return F.array_distinct(F.concat(F.array(F.lit("")), *widths))
-
-    return _bind(F.split(text, ""), of_chars)
-
+def _sought(jobs: DataFrame, techs: list[Tech]):
+    """A function of two lowered texts: the names found in them."""
+    words = jobs.sparkSession.sparkContext.broadcast([t.keywords for t in techs])
+    names = jobs.sparkSession.sparkContext.broadcast([t.name for t in techs])
 
-def with_techs_by_anchor(
-    jobs: DataFrame, config: DataFrame, text: Column, more_text: Column
-) -> DataFrame:
-    """``with_techs`` for configs of any size, by equi-joins only.
+    @F.pandas_udf("array<string>")
+    def found(title: pd.Series, description: pd.Series) -> pd.Series:
+        known = names.value
+        return pd.Series([[known[i] for i in _found(words, t, d)] for t, d in zip(title, description)])
 
-    Each distinct pair of texts is tested once, under a hash of its content.  A keyword
-    can only occur where its first characters do, so texts and keywords meet on those;
-    the candidates are then tested and reduced to distinct technologies before any are
-    gathered.  Common anchors and common texts make hot join keys, which adaptive
-    execution splits.
-    """
-    words = (
-        config.select("tech_name", F.explode("keywords").alias("keyword"))
-        .where(F.col("keyword").isNotNull())
-        .distinct()
-        .withColumn("anchor", F.substring("keyword", 1, ANCHOR))
-    )
-    key = F.sha2(F.to_json(F.struct(text.alias("t"), more_text.alias("d"))), 256)
-    keyed = jobs.withColumn("_text_key", key)
-    texts = keyed.select("_text_key", text.alias("t"), more_text.alias("d")).dropDuplicates(
-        ["_text_key"]
-    )
-    # Anchors no keyword starts with drop out before the texts' anchors meet the keywords.
-    occurring = texts.select(
-        "_text_key", F.explode(F.array_union(_anchors(F.col("t")), _anchors(F.col("d")))).alias("anchor")
-    ).join(words.select("anchor").distinct(), "anchor", "left_semi")
-    found = (
-        occurring.join(words, "anchor")
-        .join(texts, "_text_key")
-        .where(F.contains("t", "keyword") | F.contains("d", "keyword"))
-        .select("_text_key", "tech_name")
-        .distinct()
-        .groupBy("_text_key")
-        .agg(F.array_sort(F.collect_list("tech_name")).alias("techs"))
-    )
-    return keyed.join(found, "_text_key", "left").select(
-        *jobs.columns, F.coalesce("techs", F.array().cast("array<string>")).alias("techs")
-    )
+    return found
 
 
 def tech_matches(jobs: DataFrame, config: DataFrame, **options) -> DataFrame:

@@ -22,14 +22,23 @@ SCORES = ["velocity_score", "tech_match_score", "volume_score", "composite_score
 
 
 def _verdict(counts: DataFrame, check, passed: Column, severity, measured, limit, note) -> DataFrame:
-    return counts.select(
+    return counts.select(*_columns(check, passed, severity, measured, limit, note))
+
+
+def _columns(check, passed, severity, measured, limit, note) -> list[Column]:
+    return [
         F.lit(check).alias("check"),
         passed.alias("passed"),
         F.when(~passed, severity).alias("severity"),
         measured.cast("bigint").alias("measured"),
         limit.cast("bigint").alias("limit"),
         note.cast("string").alias("note"),
-    )
+    ]
+
+
+def _verdicts(counts: DataFrame, *checks: tuple) -> DataFrame:
+    """Several verdicts on one row of counts."""
+    return counts.select(F.inline(F.array(*[F.struct(*_columns(*c)) for c in checks])))
 
 
 def null_or_empty(column: str) -> Column:
@@ -104,18 +113,24 @@ def minimum_leads(leads: DataFrame, minimum: int = MIN_LEADS) -> DataFrame:
 
 
 def invalid_scores(leads: DataFrame) -> DataFrame:
+    return leads.where(_invalid())
+
+
+def _invalid() -> Column:
     bad = [F.col(s).isNull() | ~F.col(s).between(0, 100) for s in SCORES]
-    return leads.where(reduce(lambda a, b: a | b, bad))
+    return reduce(lambda a, b: a | b, bad)
+
+
+def _invalid_note(leads: DataFrame) -> Column:
+    order = ["company_normalized", "week_start"]
+    return F.coalesce(_examples(invalid_scores(leads), order, F.col("company")), F.lit("None"))
 
 
 def scores_valid(leads: DataFrame) -> DataFrame:
-    bad = invalid_scores(leads)
     n = F.col("n")
-    note = F.coalesce(
-        _examples(bad, ["company_normalized", "week_start"], F.col("company")), F.lit("None")
-    )
     return _verdict(
-        bad.agg(F.count("*").alias("n")), "scores_valid", n == 0, "ERROR", n, F.lit(0), note
+        invalid_scores(leads).agg(F.count("*").alias("n")),
+        "scores_valid", n == 0, "ERROR", n, F.lit(0), _invalid_note(leads),
     )
 
 
@@ -147,10 +162,25 @@ def anything_scored(leads: DataFrame) -> DataFrame:
 
 
 def all_checks(cleaned: DataFrame, config: DataFrame, leads: DataFrame) -> DataFrame:
+    """The verdicts of all checks; cleaned jobs and leads are each counted in one pass."""
+    of_cleaned = cleaned.agg(
+        F.count("*").alias("n"), F.count_if(null_or_empty("company_normalized")).alias("bad")
+    )
+    of_leads = leads.agg(F.count("*").alias("n"), F.count_if(_invalid()).alias("bad"))
+    n, bad = F.col("n"), F.col("bad")
     parts = [
-        no_null_companies(cleaned), reasonable_job_count(cleaned),
-        deduplication_effective(cleaned), targets_configured(config),
-        minimum_leads(leads), scores_valid(leads),
+        _verdicts(
+            of_cleaned,
+            ("no_null_companies", bad == 0, "ERROR", bad, n, percent_text(share(bad, n), 2)),
+            ("reasonable_job_count", n >= MIN_JOBS, "WARN", n, F.lit(MIN_JOBS), F.lit(None)),
+        ),
+        deduplication_effective(cleaned),
+        targets_configured(config),
+        _verdicts(
+            of_leads,
+            ("minimum_leads", n >= MIN_LEADS, "WARN", n, F.lit(MIN_LEADS), F.lit(None)),
+            ("scores_valid", bad == 0, "ERROR", bad, F.lit(0), _invalid_note(leads)),
+        ),
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -2,19 +2,30 @@
 
 from __future__ import annotations
 
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadtide.functions import scores
-from leadtide.operators.detect import MAX_TECHS, constant, with_techs_by_anchor
+from leadtide.operators.detect import MAX_CONFIG_CHARS, MAX_TECHS, _found, constant
+
 
 def target_techs(config: DataFrame) -> DataFrame:
     return config.where("is_target").select("tech_name", "score_weight")
 
 
-def small_targets(config: DataFrame, max_targets: int = MAX_TECHS) -> list | None:
-    """Targets ordered by name, or None when there are more than ``max_targets``."""
-    rows = target_techs(config).limit(max_targets + 1).collect()
-    return None if len(rows) > max_targets else sorted(rows)
+def read_targets(config: DataFrame, max_targets: int = MAX_TECHS) -> tuple[list[tuple[str, float | None]], bool]:
+    """(name, weight) of all target rows in a total order, and whether they are few enough to fold
+    into a plan.  Rows without a name are none; every row of a name counts.  Runs a job, three
+    for a long list."""
+    targets = target_techs(config).where(F.col("tech_name").isNotNull())
+    rows = targets.limit(max_targets + 1).collect()
+    small = len(rows) <= max_targets
+    if not small:
+        size = targets.agg(F.sum(F.length("tech_name").cast("long"))).first()[0]
+        if size > MAX_CONFIG_CHARS:
+            raise ValueError(f"target names of {size} characters are too large; {MAX_CONFIG_CHARS} are allowed")
+        rows = targets.collect()
+    return sorted(((n, w) for n, w in rows), key=lambda r: (r[0], r[1] is None, r[1] or 0.0)), small
 
 
 def with_previous(stats: DataFrame) -> DataFrame:
@@ -38,9 +49,12 @@ def with_matched_weight(
     Names match as substrings; ``exact`` compares whole list entries.
     """
     zero = F.lit(0.0)
-    targets = small_targets(config, max_targets)
-    if targets is None:
-        return _with_matched_weight_joined(stats, config, exact)
+    targets, small = read_targets(config, max_targets)
+    known = [w for _, w in targets if w is not None]
+    possible = F.lit(sum(known) if known else None).cast("double")
+    if not small:
+        matched = _sought_weight(stats, targets, exact)(F.col("tech_stack"))
+        return stats.withColumns({"matched_weight": matched, "possible_weight": possible})
     weighted = constant(
         [{"name": n, "weight": w} for n, w in targets], "array<struct<name:string,weight:double>>"
     )
@@ -49,44 +63,35 @@ def with_matched_weight(
         zero,
         lambda total, t: total + F.coalesce(t.weight, zero),
     )
-    known = [w for _, w in targets if w is not None]
-    return stats.withColumns(
-        {
-            "matched_weight": matched,
-            "possible_weight": F.lit(sum(known) if known else None).cast("double"),
-        }
-    )
+    return stats.withColumns({"matched_weight": matched, "possible_weight": possible})
 
 
-def _with_matched_weight_joined(stats: DataFrame, config: DataFrame, exact: bool) -> DataFrame:
-    """The same for target lists too long to fold into the plan; works on distinct stacks."""
-    targets = target_techs(config)
-    stacks = stats.select("tech_stack").distinct()
-    if exact:
-        named = stacks.select("tech_stack", F.explode(F.split("tech_stack", ",")).alias("tech_name"))
-    else:
-        named = with_techs_by_anchor(
-            stacks,
-            targets.select("tech_name", F.array("tech_name").alias("keywords")),
-            F.coalesce("tech_stack", F.lit("")),
-            F.lit(""),
-        ).select("tech_stack", F.explode("techs").alias("tech_name"))
-    weights = (
-        named.distinct()
-        .join(targets, "tech_name")
-        .groupBy("tech_stack")
-        .agg(F.sum("score_weight").alias("matched_weight"))
-    )
-    return (
-        stats.join(weights, "tech_stack", "left")
-        .withColumns(
-            {
-                "matched_weight": F.coalesce("matched_weight", F.lit(0.0)),
-                "possible_weight": targets.agg(F.sum("score_weight")).scalar(),
-            }
-        )
-        .select(*stats.columns, "matched_weight", "possible_weight")
-    )
+def _sought_weight(stats: DataFrame, targets: list[tuple[str, float | None]], exact: bool):
+    """A function of a technology list: the weights of the targets in it, added up in their order."""
+    context = stats.sparkSession.sparkContext
+    words = context.broadcast([(n,) for n, _ in targets])
+    weights = context.broadcast([w or 0.0 for _, w in targets])
+    numbers: dict[str, list[int]] = {}
+    for i, (name, _) in enumerate(targets):
+        numbers.setdefault(name, []).append(i)
+    by_name = context.broadcast(numbers if exact else {})
+
+    @F.pandas_udf("double")
+    def weight(stacks: pd.Series) -> pd.Series:
+        value, named = weights.value, by_name.value
+
+        def of(stack: str | None) -> float:
+            if stack is None:
+                return 0.0
+            if exact:
+                found = sorted(i for name in set(stack.split(",")) for i in named.get(name, ()))
+            else:
+                found = _found(words, stack)
+            return float(sum(value[i] for i in found))
+
+        return stacks.map(of)
+
+    return weight
 
 
 def score_all_weeks(
@@ -97,10 +102,15 @@ def score_all_weeks(
     ``stats`` is read twice (rows, largest count); pass a stored table.  The largest count
     is a scalar subquery: a window over everything would put all rows into one task.
     """
+    return _scored(with_previous(stats), stats, config, exact, max_targets)
+
+
+def _scored(
+    rows: DataFrame, stats: DataFrame, config: DataFrame, exact: bool, max_targets: int
+) -> DataFrame:
+    """Scores of rows with ``jobs_last_week``; the largest count is that of ``stats``."""
     most = stats.agg(F.max("jobs_posted")).scalar()
-    rows = with_matched_weight(
-        with_previous(stats), config, exact=exact, max_targets=max_targets
-    ).withColumn("most", most)
+    rows = with_matched_weight(rows, config, exact=exact, max_targets=max_targets).withColumn("most", most)
     jobs = F.col("jobs_posted")
     return rows.select(
         "company_normalized",
@@ -126,10 +136,18 @@ def latest_week(df: DataFrame, source: DataFrame | None = None) -> DataFrame:
 def lead_scores(
     stats: DataFrame, config: DataFrame, *, exact: bool = False, max_targets: int = MAX_TECHS
 ) -> DataFrame:
-    """Rounded scores of the newest week; no rows when no technology is a target."""
-    scored = latest_week(
-        score_all_weeks(stats, config, exact=exact, max_targets=max_targets), stats
+    """Rounded scores of the newest week; no rows when no technology is a target.
+
+    Of earlier weeks only the newest row of each company counts; it is found by an aggregation
+    that combines before the shuffle.  Weights are computed for the newest week alone.
+    """
+    newest = stats.agg(F.max("week_start")).scalar()
+    before = (
+        stats.where(F.col("week_start") < newest).groupBy("company_normalized")
+        .agg(F.max_by("jobs_posted", "week_start").alias("jobs_last_week"))
     )
+    rows = latest_week(stats).join(before, "company_normalized", "left")
+    scored = _scored(rows, stats, config, exact, max_targets)
     total = scores.composite(
         F.col("velocity_score"), F.col("tech_match_score"), F.col("volume_score")
     )

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, functions as F
 
 from leadtide.functions.dates import week_start
 from leadtide.functions.titles import CLASSES, seniority, seniority_narrow
-from leadtide.operators.detect import names_of_masks, small_config, tech_masks, with_techs
+from leadtide.operators.detect import names_of_masks, read_techs, tech_masks, with_techs
 
 GROUP = ["company_normalized", "week_start"]
 
@@ -34,12 +34,12 @@ def company_stats(
     same pass.
     """
     jobs = weekly_jobs(cleaned)
-    techs = small_config(config, **limits)
+    techs = read_techs(config, **limits)
     things = [F.struct(F.lit("title").alias("kind"), F.col("title").alias("value"))]
     if detail:
         things.append(F.struct(F.lit("location").alias("kind"), F.col("location").alias("value")))
-    if techs is None:
-        rows = with_techs(jobs, config, **limits).withColumn("matched", F.size("techs") > 0)
+    if not techs.small:
+        rows = with_techs(jobs, techs).withColumn("matched", F.size("techs") > 0)
         thing = F.explode_outer(  # never empty; see tech_matches for the outer form
             F.concat(
                 F.array(*things),
@@ -50,7 +50,7 @@ def company_stats(
         )
         masks = []
     else:
-        columns = tech_masks(techs)
+        columns = tech_masks(techs.rows)
         masks = [f"mask{i}" for i in range(len(columns))]
         found = F.lit(False)
         for name in masks:
@@ -91,7 +91,7 @@ def company_stats(
             F.collect_list(place).alias("all_places"),
             F.collect_list(F.when(F.col("matched"), place)).alias("hit_places"),
         ]
-    if techs is None:
+    if not techs.small:
         lists.append(
             F.collect_list(F.when(F.col("kind") == "tech", F.col("value"))).alias("tech_list")
         )
@@ -107,7 +107,7 @@ def company_stats(
     def choose(name: str):
         return F.when(F.col("any_hit"), F.col(f"hit_{name}")).otherwise(F.col(f"all_{name}"))
 
-    tech_array = F.array_sort("tech_list") if techs is None else names_of_masks(techs, masks)
+    tech_array = names_of_masks(techs.rows, masks) if techs.small else F.array_sort("tech_list")
     out = grouped.select(
         "company_normalized",
         choose("company").alias("company"),
@@ -128,6 +128,6 @@ def company_stats(
         ),
     )
     # an empty config detects nothing and reports nothing
-    if techs == []:
+    if not techs.rows:
         return out.where(F.lit(False))
     return out

@@ -6,7 +6,11 @@ from leadtide.sources import bindings
 
 
 def rounded(x: str, digits: int = 2) -> str:
-    return f"CAST(ROUND(CAST({x} AS DECIMAL(18,6)), {digits}) AS DOUBLE)"
+    """Half up, once, on the decimal text of the double."""
+    return (
+        f"CASE WHEN abs({x}) >= 1e15 THEN CAST({x} AS DOUBLE) ELSE "
+        f"CAST(ROUND(CAST(CAST(({x}) AS VARCHAR) AS DECIMAL(38,20)), {digits}) AS DOUBLE) END"
+    )
 
 
 def _config_rows(rows) -> str:

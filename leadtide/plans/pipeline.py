@@ -13,9 +13,9 @@ from leadtide.operators.quality import all_checks
 from leadtide.operators.report import export_bundle
 from leadtide.operators.score import lead_scores
 from leadtide.operators.stats import company_stats
-from leadtide.operators.upsert import upsert_postings
+from leadtide.operators.upsert import ingest_accounting, upsert_postings
 from leadtide.schemas import RAW_JOBS
-from leadtide.sources.tables import read_table, refresh_table, store
+from leadtide.sources.tables import read_table, refresh_table, require_unique, store
 
 
 def stored_stats(raw: DataFrame, config: DataFrame, **options) -> DataFrame:
@@ -39,19 +39,23 @@ def run(
 ) -> dict[str, str]:
     """Run all stages into ``folder/version``, going on from ``folder/previous``.
 
-    Returns the path of each table and export.
+    The batch is stored first, since it is read several times.  A NULL in a required column or
+    a second row of a key stops the run.  Returns the path of each table, export and accounting.
     """
     at = {
         name: f"{folder}/{version}/{name}"
-        for name in ["raw_jobs", "cleaned_jobs", "company_stats", "lead_scores", "checks"]
+        for name in ["raw_jobs", "cleaned_jobs", "company_stats", "lead_scores", "checks", "ingest"]
     }
     if previous is None:
         raw = spark.createDataFrame([], RAW_JOBS)
     else:
         raw = read_table(spark, f"{folder}/{previous}/raw_jobs", "raw_jobs")
+    batch = store(batch, "batch")
+    ingest_accounting(raw, batch).write.mode("overwrite").parquet(at["ingest"])
     refresh_table(upsert_postings(raw, batch), at["raw_jobs"], "raw_jobs")
 
     raw = read_table(spark, at["raw_jobs"], "raw_jobs")
+    require_unique(raw, "raw_jobs")
     refresh_table(clean_postings(raw), at["cleaned_jobs"], "cleaned_jobs")
 
     cleaned = read_table(spark, at["cleaned_jobs"], "cleaned_jobs")
@@ -60,6 +64,7 @@ def run(
     stats = read_table(spark, at["company_stats"], "company_stats")
     refresh_table(lead_scores(stats, config), at["lead_scores"], "lead_scores")
 
+    require_unique(stats, "company_stats")
     leads = read_table(spark, at["lead_scores"], "lead_scores")
     all_checks(cleaned, config, leads).write.mode("overwrite").parquet(at["checks"])
     if as_of is None:

@@ -14,7 +14,7 @@ from leadtide.plans.catalog import query
 from leadtide.plans.oracle import band, config_cte, rounded, sql
 from leadtide.plans.queries_table import FEED, SUMMARY, SUMMARY_SQL, TREND
 from leadtide.sources import bindings
-from leadtide.sources.tables import lead_feed, new_path, read_csv, trend_feed
+from leadtide.sources.tables import lead_feed, lead_rows, new_path, read_csv, trend_feed, trend_rows
 
 DETAIL = "company_normalized, company, week_start, jobs_posted, tech_stack, locations, "
 CLASSES = "senior_count, junior_count, lead_count, mid_count"
@@ -162,8 +162,8 @@ def c10(b):
     week = F.col("week_start")
     leads, stats = b.stored_leads, b.stored_stats
     return (
-        part(lead_feed(leads), "lead", "company", week, "composite_score")
-        .unionByName(part(trend_feed(stats), "trend", "company", week, "jobs_posted"))
+        part(lead_rows(leads), "lead", "company", week, "composite_score")
+        .unionByName(part(trend_rows(stats), "trend", "company", week, "jobs_posted"))
         .unionByName(part(report.tech_distribution(stats), "tech", "tech", no_week, "company_count"))
         .unionByName(
             part(report.lead_summary(leads), "summary", "latest_week", no_week, "avg_composite_score")
@@ -253,11 +253,11 @@ def c16(b):
 
 @query(
     "c17_batch_company_counts",
-    sql("SELECT company, count(*) AS job_count FROM batch GROUP BY 1 "
-        "ORDER BY job_count DESC, company LIMIT 10", "batch"),
+    sql("SELECT company, count(*) AS job_count FROM postings GROUP BY 1 "
+        "ORDER BY job_count DESC, company LIMIT 10", "postings"),
 )
 def c17(b):
-    return report.top_groups(b.batch, "company", 10)
+    return report.top_groups(b.postings, "company", 10)
 
 
 @query(

@@ -62,6 +62,17 @@ over_postings(
     "f11_round", rounded("line::DOUBLE / 7 * 100"),
     lambda: scores.round_to(F.col("line").cast("double") / 7 * 100), keep=("job_id", "line"),
 )
+# Just below, at and just above the half, and beyond any decimal(18, 6).
+over_postings(
+    "f11_round_near_half",
+    rounded("line::DOUBLE + CASE line % 4 WHEN 0 THEN 0.0049999996 WHEN 1 THEN 0.005 WHEN 2 THEN 0.0050000004 ELSE 3e12 END"),
+    lambda: scores.round_to(
+        F.col("line").cast("double")
+        + F.when(F.col("line") % 4 == 0, 0.0049999996).when(F.col("line") % 4 == 1, 0.005)
+        .when(F.col("line") % 4 == 2, 0.0050000004).otherwise(3e12)
+    ),
+    keep=("job_id", "line"),
+)
 over_postings(
     "f12_cast", rounded("CAST(line AS DOUBLE) / 3"),
     lambda: scores.round_to(F.col("line").cast("double") / 3), keep=("job_id", "line"),

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from leadtide.operators import quality
 from leadtide.operators.detect import tech_matches
+from leadtide.operators.report import group_counts
 from leadtide.plans.catalog import query
 from leadtide.plans.oracle import rounded, sql
 
@@ -94,19 +95,19 @@ def guard(check, severity, source) -> str:
     return verdict(check, f"{n} > 0", severity, n, "1")
 
 
-@query("q7_config_present", sql(
-    guard("config_present", "ERROR", "(SELECT DISTINCT tech_name FROM posting_hits)"), "posting_hits"))
+def config_with_postings(b):
+    """The config, and how many postings each technology was found in."""
+    return b.config.join(group_counts(tech_matches(b.postings, b.config), "tech_name", "postings"), "tech_name", "left")
+
+
+@query("q7_config_present", sql(guard("config_present", "ERROR", "tech"), "tech"))
 def q7(b):
-    return quality.config_present(tech_matches(b.postings, b.config))
+    return quality.config_present(config_with_postings(b))
 
 
-@query("q8_target_present", sql(
-    guard("target_present", "ERROR", "(SELECT * FROM posting_hits JOIN tech USING (tech_name) "
-          "WHERE is_target)"), "posting_hits", "tech"))
+@query("q8_target_present", sql(guard("target_present", "ERROR", "(SELECT * FROM tech WHERE is_target)"), "tech"))
 def q8(b):
-    return quality.target_present(
-        tech_matches(b.postings, b.config).join(b.config, "tech_name")
-    )
+    return quality.target_present(config_with_postings(b))
 
 
 @query("q9_batch_present", sql(guard("batch_present", "WARN", "batch"), "batch"))

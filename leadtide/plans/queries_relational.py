@@ -335,7 +335,7 @@ def j2(b):
 
 @query("j2_keyword_match_large_config", MATCH_SQL)
 def j2_large(b):
-    """The plan for configs too large to fold in, forced by a limit of zero."""
+    """The automaton that long configs go to, chosen by a limit of zero."""
     return tech_matches(b.postings, b.config, max_techs=0).select("job_id", "title", "tech_name")
 
 
@@ -362,6 +362,65 @@ def j2_default(b):
     return tech_matches(b.documents, tech_config(b.spark)).select("job_id", "tech_name")
 
 
+# Names on two rows, rows without a name, and keywords that are absent or repeated.
+UNTIDY = [
+    ("Widget", ["widget"], "part", True, 1.0), ("Widget", ["gizmo", "bolt", None], "part", True, 0.5),
+    (None, ["gear"], "part", True, 9.0), ("Gear", ["gear", "gear"], "part", True, None), ("Gear", None, "part", True, 0.8),
+    ("Ring", [], "part", False, 0.3),
+]
+UNTIDY_CTE = (
+    "SELECT * FROM (VALUES " + ", ".join(
+        "({}, {}, 'part', {}, CAST({} AS DOUBLE))".format(
+            "NULL" if n is None else f"'{n}'",
+            "CAST(NULL AS VARCHAR[])" if k is None
+            else "CAST([" + ", ".join("NULL" if w is None else f"'{w}'" for w in k) + "] AS VARCHAR[])",
+            t, "NULL" if w is None else w,
+        ) for n, k, _, t, w in UNTIDY
+    ) + ") AS v(tech_name, keywords, category, is_target, score_weight)"
+)
+UNTIDY_SQL = sql(
+    f"SELECT DISTINCT p.job_id, p.title, t.tech_name FROM postings p JOIN tech t ON {matches('p', 't')} "
+    "WHERE t.tech_name IS NOT NULL",
+    "postings", "tech", tech=UNTIDY_CTE,
+)
+
+
+def untidy_config(b):
+    kinds = "tech_name string, keywords array<string>, category string, is_target boolean, score_weight double"
+    return b.spark.createDataFrame(UNTIDY, kinds)
+
+
+@query("j2_keyword_match_untidy_config", UNTIDY_SQL)
+def j2_untidy(b):
+    return tech_matches(b.postings, untidy_config(b)).select("job_id", "title", "tech_name").distinct()
+
+
+@query("j2_keyword_match_untidy_config_long", UNTIDY_SQL)
+def j2_untidy_long(b):
+    return tech_matches(b.postings, untidy_config(b), max_techs=0).select("job_id", "title", "tech_name").distinct()
+
+
+def word_config(b):
+    """A config of the five-letter beginnings of all words of the documents, some thousand, by first letter."""
+    words = b.documents.select(F.explode(F.expr("regexp_extract_all(lower(description), '[a-z]{5}', 0)")).alias("word"))
+    return words.distinct().groupBy(F.substring("word", 1, 1).alias("tech_name")).agg(
+        F.sort_array(F.collect_list("word")).alias("keywords")  # at most 26 ** 5 words in all
+    ).withColumns({"category": F.lit("word"), "is_target": F.lit(True), "score_weight": F.lit(1.0)})
+
+
+@query(
+    "j2_document_match_thousands_of_keywords",
+    sql(
+        "SELECT d.job_id, w.tech_name FROM docs d JOIN (SELECT DISTINCT substr(k, 1, 1) AS tech_name, k FROM "
+        "(SELECT unnest(regexp_extract_all(lower(description), '[a-z]{5}')) AS k FROM docs) AS x) AS w "
+        "ON contains(lower(d.title), w.k) OR contains(lower(d.description), w.k) GROUP BY ALL",
+        "docs",
+    ),
+)
+def j2_thousands(b):
+    return tech_matches(b.documents, word_config(b)).select("job_id", "tech_name")
+
+
 @query(
     "j3_weeks_without_tech",
     sql(
@@ -393,12 +452,35 @@ def j4(b):
 
 @query("j4_matched_weight_many_targets", WEIGHTS_SQL)
 def j4_many(b):
-    """The plan for target lists too long to fold in, forced by a limit of zero."""
+    """The automaton that long target lists go to, chosen by a limit of zero."""
     return with_matched_weight(b.stored_stats, b.config, max_targets=0).select(
         *GROUP, scores.round_to(F.col("matched_weight")).alias("matched_weight")
     )
 
 
+UNTIDY_WEIGHTS = sql(
+    "SELECT company_normalized, week_start, "
+    + rounded("w") + " AS matched_weight FROM (SELECT s.company_normalized, s.week_start, (SELECT "
+    f"coalesce(sum(score_weight), 0) FROM ({UNTIDY_CTE}) AS u WHERE is_target AND "
+    "contains(s.tech_stack, u.tech_name)) AS w FROM stats s) AS x",
+    "stats",
+)
+
+
+@query("j4_matched_weight_untidy_targets", UNTIDY_WEIGHTS)
+def j4_untidy(b):
+    return with_matched_weight(b.stats, untidy_config(b)).select(
+        *GROUP, scores.round_to(F.col("matched_weight")).alias("matched_weight")
+    )
+
+
+@query("j4_matched_weight_untidy_targets_many", UNTIDY_WEIGHTS)
+def j4_untidy_many(b):
+    return with_matched_weight(b.stats, untidy_config(b), max_targets=0).select(
+        *GROUP, scores.round_to(F.col("matched_weight")).alias("matched_weight")
+    )
+
+
 @query(
     "j4_matched_weight_exact",
     sql(

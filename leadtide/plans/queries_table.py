@@ -15,7 +15,8 @@ from leadtide.plans.catalog import query
 from leadtide.plans.oracle import RAW_COLUMNS, config_cte, rounded, sql
 from leadtide.schemas import COMPANY_STATS, RAW_JOBS
 from leadtide.sources import bindings
-from leadtide.sources.batches import read_batch, typed
+from leadtide.sources.batches import accepted, read_batch, read_lines, refused, typed
+from leadtide.sources.ledger import current, seed, take_in
 from leadtide.sources.config import add_techs, set_target, target_list, tech_config, tech_names
 from leadtide.sources.tables import (
     lead_feed, new_path, read_csv, read_table, refresh_table, trend_feed, write_csv, write_json,
@@ -97,6 +98,29 @@ def s4(b):
     return typed(text_batch(b))
 
 
+@query(
+    "s4_lines_accepted_and_refused",
+    sql(
+        "SELECT CASE WHEN line = 2 THEN 'not a JSON record' WHEN line = 3 THEN 'missing: company, title' "
+        "WHEN line = 4 THEN 'scraped_at cannot be read' END AS reason, count(*) AS lines FROM postings GROUP BY 1",
+        "postings",
+    ),
+)
+def s4_lines(b):
+    """Every line is accepted or refused for a reason; some lines are spoilt first."""
+    record = F.struct(
+        "job_id", F.when(F.col("line") != 3, F.col("company")).alias("company"),
+        F.when(F.col("line") != 3, F.col("title")).alias("title"), "source",
+        F.when(F.col("line") == 4, F.lit("soon")).otherwise(F.col("first_scraped_at").cast("string")).alias("scraped_at"),
+    )
+    text = F.to_json(record)
+    path = new_path(b.spark, "lines")
+    b.postings.select(F.when(F.col("line") == 2, F.concat(F.lit("{"), text)).otherwise(text)).write.text(path)
+    lines = read_lines(b.spark, path)
+    taken = accepted(lines).select(F.lit(None).cast("string").alias("reason"))
+    return taken.unionAll(refused(lines).select("reason")).groupBy("reason").agg(F.count("*").alias("lines"))
+
+
 @query(
     "s5_iso_text_cast",
     sql(
@@ -163,6 +187,19 @@ def k3(b):
     return upsert_postings(b.snapshot, b.batch, limit=0)
 
 
+@query(
+    "k3_upsert_ledger",
+    sql("SELECT * FROM touched UNION ALL SELECT * FROM fresh", "touched", "fresh"),
+)
+def k3_ledger(b):
+    """The upsert that writes what follows the batch only; taken in twice, as after a failure."""
+    folder = new_path(b.spark, "ledger")
+    seed(b.snapshot, folder)
+    for _ in range(2):
+        take_in(b.batch, folder, 1)
+    return current(b.spark, folder)
+
+
 @query(
     "k4_insert_or_ignore",
     sql(

@@ -8,52 +8,71 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F, types as T
 
 
-def _schema(spec: str) -> T.StructType:
-    """Build a schema from ``name:type`` words; a ``!`` marks a required column."""
-    kinds = {
-        "string": T.StringType(),
-        "date": T.DateType(),
-        "timestamp": T.TimestampNTZType(),
-        "int": T.IntegerType(),
-        "double": T.DoubleType(),
-        "boolean": T.BooleanType(),
-        "strings": T.ArrayType(T.StringType()),
-    }
-    fields = []
-    for word in spec.split():
-        name, kind = word.split(":")
-        fields.append(T.StructField(name, kinds[kind.rstrip("!")], not kind.endswith("!")))
-    return T.StructType(fields)
+TEXT, DATE, MOMENT, INT, REAL, FLAG = (
+    T.StringType(), T.DateType(), T.TimestampNTZType(), T.IntegerType(), T.DoubleType(), T.BooleanType()
+)
 
 
-# A batch as it arrives: dates and timestamps are ISO-8601 text.
-BATCH = _schema(
-    "job_id:string company:string title:string description:string location:string "
-    "posting_date:string url:string source:string scraped_at:string"
-)
+# The columns of a batch as it arrives (dates and timestamps are ISO-8601 text)
+# and of the five tables.
+BATCH_COLUMNS = [
+    "job_id", "company", "title", "description", "location", "posting_date", "url", "source", "scraped_at",
+]
+BATCH = T.StructType([T.StructField(name, TEXT) for name in BATCH_COLUMNS])
 BATCH_REQUIRED = ["job_id", "company", "title", "source", "scraped_at"]
 
-RAW_JOBS = _schema(
-    "job_id:string! company:string! title:string! description:string location:string "
-    "posting_date:date url:string source:string! "
-    "first_scraped_at:timestamp last_scraped_at:timestamp"
-)
-CLEANED_JOBS = _schema(
-    "job_id:string! company:string! company_normalized:string title:string! "
-    "title_normalized:string description:string location:string posting_date:date "
-    "url:string source:string first_seen:timestamp last_seen:timestamp"
-)
-TECH_CONFIG = _schema(
-    "tech_name:string! keywords:strings category:string is_target:boolean score_weight:double"
-)
-COMPANY_STATS = _schema(
-    "company_normalized:string company:string week_start:date jobs_posted:int tech_stack:string"
-)
-LEAD_SCORES = _schema(
-    "company_normalized:string company:string week_start:date "
-    "jobs_this_week:int jobs_last_week:int velocity_score:double tech_match_score:double "
-    "volume_score:double composite_score:double score_metadata:string"
-)
+RAW_JOBS = T.StructType([
+    T.StructField("job_id", TEXT, False),
+    T.StructField("company", TEXT, False),
+    T.StructField("title", TEXT, False),
+    T.StructField("description", TEXT),
+    T.StructField("location", TEXT),
+    T.StructField("posting_date", DATE),
+    T.StructField("url", TEXT),
+    T.StructField("source", TEXT, False),
+    T.StructField("first_scraped_at", MOMENT),
+    T.StructField("last_scraped_at", MOMENT),
+])
+CLEANED_JOBS = T.StructType([
+    T.StructField("job_id", TEXT, False),
+    T.StructField("company", TEXT, False),
+    T.StructField("company_normalized", TEXT),
+    T.StructField("title", TEXT, False),
+    T.StructField("title_normalized", TEXT),
+    T.StructField("description", TEXT),
+    T.StructField("location", TEXT),
+    T.StructField("posting_date", DATE),
+    T.StructField("url", TEXT),
+    T.StructField("source", TEXT),
+    T.StructField("first_seen", MOMENT),
+    T.StructField("last_seen", MOMENT),
+])
+TECH_CONFIG = T.StructType([
+    T.StructField("tech_name", TEXT, False),
+    T.StructField("keywords", T.ArrayType(TEXT)),
+    T.StructField("category", TEXT),
+    T.StructField("is_target", FLAG),
+    T.StructField("score_weight", REAL),
+])
+COMPANY_STATS = T.StructType([
+    T.StructField("company_normalized", TEXT),
+    T.StructField("company", TEXT),
+    T.StructField("week_start", DATE),
+    T.StructField("jobs_posted", INT),
+    T.StructField("tech_stack", TEXT),
+])
+LEAD_SCORES = T.StructType([
+    T.StructField("company_normalized", TEXT),
+    T.StructField("company", TEXT),
+    T.StructField("week_start", DATE),
+    T.StructField("jobs_this_week", INT),
+    T.StructField("jobs_last_week", INT),
+    T.StructField("velocity_score", REAL),
+    T.StructField("tech_match_score", REAL),
+    T.StructField("volume_score", REAL),
+    T.StructField("composite_score", REAL),
+    T.StructField("score_metadata", TEXT),
+])
 
 KEYS = {
     "raw_jobs": ["job_id"],
@@ -77,3 +96,14 @@ def conform(df: DataFrame, schema: T.StructType) -> DataFrame:
     if missing:
         raise ValueError(f"columns missing: {missing}")
     return df.select([F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields])
+
+
+def require_columns(df: DataFrame, schema: T.StructType, columns: list[str] | None = None) -> DataFrame:
+    """``df``, whose rows stop the run where a required column is NULL; checked as rows pass by."""
+    required = columns or [f.name for f in schema.fields if not f.nullable]
+    checked = {
+        name: F.when(F.col(name).isNull(), F.raise_error(F.lit(f"{name} is NULL")).cast(df.schema[name].dataType))
+        .otherwise(F.col(name))
+        for name in required
+    }
+    return df.withColumns(checked)

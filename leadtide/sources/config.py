@@ -6,6 +6,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.pandas.types import to_arrow_type
 
+from leadtide.operators.upsert import insert_or_ignore
 from leadtide.schemas import TECH_CONFIG
 
 # Name, keywords, category, target flag, weight.  Trailing blanks count.
@@ -58,9 +59,12 @@ def set_target(config: DataFrame, tech_name: str, flag: bool = True) -> DataFram
 
 
 def add_techs(config: DataFrame, rows: DataFrame) -> DataFrame:
-    """Insert rows whose name is new, one per name; names already present stay as they are."""
-    fresh = rows.dropDuplicates(["tech_name"]).join(config, "tech_name", "left_anti")
-    return config.unionByName(with_defaults(fresh.select(config.columns)))
+    """Insert rows whose name is new, of each name the first in a total order; names already
+    present stay as they are."""
+    return config.unionByName(with_defaults(
+        insert_or_ignore(config.limit(0), rows.select(config.columns), ["tech_name"], ["category", "score_weight"])
+        .join(config, "tech_name", "left_anti").select(config.columns)
+    ))
 
 
 def tech_names(config: DataFrame) -> DataFrame:

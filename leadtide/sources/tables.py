@@ -8,7 +8,7 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from leadtide.schemas import SCHEMAS, conform
+from leadtide.schemas import KEYS, SCHEMAS, conform, require_columns
 
 
 def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
@@ -19,10 +19,12 @@ def read_table(spark: SparkSession, path: str, name: str) -> DataFrame:
 def refresh_table(df: DataFrame, path: str, name: str, *, by_week: bool = False) -> None:
     """Replace a table.  ``path`` must not be one that ``df`` reads.
 
+    A NULL in a required column stops the run; ``require_unique`` looks for repeated keys.
+
     ``by_week`` partitions the files by week.  The rebalance hint lets adaptive execution
     cut a large week into several files and put small ones together.
     """
-    out = conform(df, SCHEMAS[name])
+    out = require_columns(conform(df, SCHEMAS[name]), SCHEMAS[name])
     if by_week:
         out.hint("rebalance", "week_start").write.mode("overwrite").partitionBy(
             "week_start"
@@ -31,6 +33,14 @@ def refresh_table(df: DataFrame, path: str, name: str, *, by_week: bool = False)
         out.write.mode("overwrite").parquet(path)
 
 
+def require_unique(df: DataFrame, name: str) -> None:
+    """Stop the run if a key of the table has two rows; only keys are read, and one is reported."""
+    key = KEYS[name]
+    repeated = df.groupBy(*key).agg(F.count("*").alias("n")).where("n > 1").first()
+    if repeated is not None:
+        raise ValueError(f"{name} has {repeated['n']} rows of one key: {repeated.asDict()}")
+
+
 def save_bucketed(df: DataFrame, table: str, key: str, buckets: int) -> None:
     """Keep a table bucketed and sorted by its key, so keyed joins need not shuffle it.
 
@@ -77,18 +87,24 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def lead_feed(leads: DataFrame) -> DataFrame:
+def lead_rows(leads: DataFrame) -> DataFrame:
     return leads.select(
         "company", "composite_score", "velocity_score", "tech_match_score", "volume_score",
         "jobs_this_week", "jobs_last_week", F.col("score_metadata").alias("tech_stack"),
         "week_start",
-    ).orderBy(F.desc("composite_score"), "company")
+    )
+
+
+def lead_feed(leads: DataFrame) -> DataFrame:
+    return lead_rows(leads).orderBy(F.desc("composite_score"), "company")
+
+
+def trend_rows(stats: DataFrame) -> DataFrame:
+    return stats.select("company_normalized", "company", "week_start", "jobs_posted", "tech_stack")
 
 
 def trend_feed(stats: DataFrame) -> DataFrame:
-    return stats.select(
-        "company_normalized", "company", "week_start", "jobs_posted", "tech_stack"
-    ).orderBy("company_normalized", "week_start")
+    return trend_rows(stats).orderBy("company_normalized", "week_start")
 
 
 # Values are kept as they are: no trimming, and an empty field is an empty string.

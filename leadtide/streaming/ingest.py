@@ -2,44 +2,41 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from leadtide.operators.upsert import upsert_postings
-from leadtide.schemas import BATCH, RAW_JOBS
-from leadtide.sources.batches import typed
-from leadtide.sources.tables import read_table, refresh_table
+from leadtide.sources.batches import accepted, refused
+from leadtide.sources.ledger import take_in
 
 
 def arriving(spark: SparkSession, folder: str, files_per_batch: int | None = None) -> DataFrame:
-    """JSON-lines files of ``folder`` as a stream of posting records."""
-    reader = spark.readStream.schema(BATCH)
+    """The lines of JSON-lines files of ``folder`` as a stream."""
+    reader = spark.readStream
     if files_per_batch:
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
-    return reader.json(folder)
+    return reader.text(folder).select(F.col("value").alias("line")).where(F.trim("line") != "")
 
 
-def upsert_arriving(stream: DataFrame, snapshots: str, checkpoint: str) -> StreamingQuery:
-    """Take in what has arrived, then stop.  Batch n writes ``snapshots/n``.
+def upsert_arriving(
+    stream: DataFrame, ledger: str, refusals: str, checkpoint: str, first: int = 1
+) -> StreamingQuery:
+    """Take in what has arrived, then stop.  Batch n is batch ``first`` + n of the ledger.
 
-    A batch reads the snapshot before it and writes its own, so a batch that is repeated
-    after a failure leaves the same result.
+    A ledger that exists already (see ``seed``; batch 0) is gone on from.  Lines that hold no
+    record go to ``refusals``, with the reason.  A batch that is repeated after a failure
+    leaves the same result.  With a new checkpoint pass a ``first`` beyond the ledger's batches.
     """
 
-    def take_in(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        if number == 0:
-            table = spark.createDataFrame([], RAW_JOBS)
-        else:
-            table = read_table(spark, f"{snapshots}/{number - 1}", "raw_jobs")
+    def write(batch: DataFrame, number: int) -> None:
         batch = batch.persist()
         try:
-            refresh_table(upsert_postings(table, typed(batch)), f"{snapshots}/{number}", "raw_jobs")
+            refused(batch).write.mode("overwrite").parquet(f"{refusals}/batch={first + number}")
+            take_in(accepted(batch), ledger, first + number)
         finally:
             batch.unpersist()
 
     return (
-        stream.writeStream.foreachBatch(take_in)
+        stream.writeStream.foreachBatch(write)
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
         .start()

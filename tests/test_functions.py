@@ -69,3 +69,16 @@ def test_text_helpers(spark):
     assert df.select(posting_text("c", "t", "techs")).first()[0] == (
         "Acme is hiring a Dev. Strong experience with A, B, C. Experience with D is a plus."
     )
+
+
+def test_rounding_is_half_up_once(spark):
+    from decimal import ROUND_HALF_UP, Decimal
+
+    from leadtide.functions.scores import round_to
+
+    values = [0.0049999996, 0.005, 0.0050000004, 1.005, 10.075, 0.285, -57.134999999, -57.135, 3e12 + 0.125, 1e14 + 0.5,
+              1e18, -1e300, 0.0, 5e-324, 123456.785]
+    df = spark.createDataFrame([(v,) for v in values], "v double")
+    for v, r in df.select("v", round_to(df.v)).collect():
+        want = float(Decimal(repr(v)).quantize(Decimal("0.01"), ROUND_HALF_UP)) if abs(v) < 1e15 else v
+        assert r == want, v

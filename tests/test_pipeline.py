@@ -1,12 +1,18 @@
 import json
 
+import pytest
+from pyspark.sql import functions as F
+
+from leadtide.operators.upsert import one_per_job
 from leadtide.plans.pipeline import run
 from leadtide.schemas import COMPANY_STATS, RAW_JOBS
 from leadtide.sources.batches import read_batch, typed
 from leadtide.sources.config import tech_config
-from leadtide.sources.tables import read_csv, read_table
+from leadtide.sources.ledger import current, fold, seed, take_in
+from leadtide.sources.tables import read_csv, read_table, refresh_table, require_unique
 from leadtide.plans.queries_table import FEED, SUMMARY
 from leadtide.streaming.ingest import arriving, upsert_arriving
+from tests.helpers import raw
 
 
 def record(job_id, day, **fields):
@@ -73,13 +79,50 @@ def test_weekly_partitions_are_pruned(spark, tmp_path):
     assert "PartitionFilters: [isnotnull(week_start" in text and week.count() == 2
 
 
-def test_stream_equals_batches(spark, tmp_path):
-    inbox, out, mark = tmp_path / "in", str(tmp_path / "snapshots"), str(tmp_path / "mark")
+def size_of(folder):
+    return sum(f.stat().st_size for f in folder.rglob("*.parquet"))
+
+
+def test_stream_goes_on_from_a_ledger(spark, tmp_path):
+    inbox, ledger, mark = tmp_path / "in", tmp_path / "ledger", str(tmp_path / "mark")
+    refusals = str(tmp_path / "refusals")
+    old = typed(read_batch(spark, write(tmp_path / "old", "0.json", [record("c", 1, company="Beta", title="Sr. Cook")])))
+    seed(one_per_job(old), str(ledger))
+
+    def arrive():
+        upsert_arriving(arriving(spark, str(inbox)), str(ledger), refusals, mark).awaitTermination(120)
+
     write(inbox, "1.json", FIRST)
-    upsert_arriving(arriving(spark, str(inbox)), out, mark).awaitTermination(120)
-    write(inbox, "2.json", SECOND)
-    upsert_arriving(arriving(spark, str(inbox)), out, mark).awaitTermination(120)
-    got = {r.job_id: r for r in read_table(spark, f"{out}/1", "raw_jobs").collect()}
+    arrive()
+    write(inbox, "2.json", [*SECOND, "{broken", record("f", 9, title=None)])
+    arrive()
+    table = current(spark, str(ledger))
+    got = {r.job_id: r for r in table.collect()}
     assert set(got) == set("abcde") and got["a"].title == "Dev"
     assert (got["a"].first_scraped_at.day, got["a"].last_scraped_at.day) == (2, 9)
-    assert [f.name for f in read_table(spark, f"{out}/0", "raw_jobs").schema] == RAW_JOBS.names
+    assert (got["c"].first_scraped_at.day, got["c"].last_scraped_at.day) == (1, 3)
+    assert table.schema.names == RAW_JOBS.names
+    assert {r.reason for r in spark.read.parquet(refusals).collect()} == {"not a JSON record", "missing: title"}
+    fold(spark, str(ledger), str(tmp_path / "folded"))
+    assert sorted(map(tuple, current(spark, str(tmp_path / "folded")).collect())) == sorted(map(tuple, table.collect()))
+
+
+def test_a_batch_writes_what_it_brings(spark, tmp_path):
+    table = spark.range(50_000).selectExpr(
+        "string(id) AS job_id", "sha2(string(id), 256) AS company", "'t' AS title", "'s' AS source",
+        "timestamp_ntz'2024-01-01' AS scraped_at",
+    ).selectExpr("*", "string(null) AS description", "string(null) AS location", "date(null) AS posting_date", "string(null) AS url")
+    take_in(table, str(tmp_path / "ledger"), 1)
+    before = size_of(tmp_path / "ledger")
+    take_in(table.where("job_id IN ('7', '8')").unionByName(table.limit(1).selectExpr("'new' AS job_id", *table.columns[1:])),
+            str(tmp_path / "ledger"), 2)
+    assert size_of(tmp_path / "ledger") - before < before / 20
+    assert current(spark, str(tmp_path / "ledger")).count() == 50_001
+
+
+def test_constraints_stop_the_run(spark, tmp_path):
+    bad = raw(spark, {"job_id": "1"}).withColumn("company", F.lit(None).cast("string"))
+    with pytest.raises(Exception, match="company is NULL"):
+        refresh_table(bad, str(tmp_path / "t"), "raw_jobs")
+    with pytest.raises(ValueError, match="2 rows of one key"):
+        require_unique(raw(spark, {"job_id": "1"}, {"job_id": "1"}), "raw_jobs")

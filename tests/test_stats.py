@@ -5,7 +5,7 @@ from datetime import date, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from leadtide.operators.detect import _needed, small_config, tech_matches, with_techs
+from leadtide.operators.detect import _needed, read_techs, tech_matches, with_techs
 from leadtide.operators.stats import company_stats
 from leadtide.sources.config import tech_config
 from tests.helpers import cleaned
@@ -85,9 +85,9 @@ def test_empty_config_reports_nothing(spark):
 
 def test_needless_keywords_are_dropped(spark):
     assert _needed(["reactjs", "react", "react.js", None, "vue"]) == ("vue", "react")
-    assert small_config(tech_config(spark), max_keywords=5) is None
-    assert small_config(tech_config(spark), max_chars=50) is None
-    assert small_config(tech_config(spark, [("A", ["x" * 99], "l", True, 1.0)]), max_chars=50) is None
+    assert not read_techs(tech_config(spark), max_keywords=5).small
+    assert not read_techs(tech_config(spark), max_chars=50).small
+    assert not read_techs(tech_config(spark, [("A", ["x" * 99], "l", True, 1.0)]), max_chars=50).small
 
 
 def test_more_than_one_mask(spark):
@@ -157,3 +157,18 @@ def test_matches_of_both_plans_agree_on_documents(spark):
     b = tech_matches(docs, config, max_techs=0).select("job_id", "tech_name")
     assert a.exceptAll(b).count() == b.exceptAll(a).count() == 0
     assert a.agg(F.count("*")).first()[0] > 0
+
+
+def test_untidy_configs_give_one_answer(spark):
+    rows = [("A", ["x", None], "l", True, 1.0), (None, ["y"], "l", True, 1.0), ("A", ["z"], "l", True, None), ("B", None, "l", True, 1.0), ("C", [""], "l", True, 1.0)]
+    config = spark.createDataFrame(rows, "tech_name string, keywords array<string>, category string, is_target boolean, score_weight double")
+    jobs = cleaned(spark, {"description": "Z"}, {"description": "x z"}, {"description": None, "title": "y"})
+    for limits in (SMALL, LARGE):
+        got = sorted((r.job_id, r.techs) for r in with_techs(jobs, config, **limits).collect())
+        assert [t for _, t in got] == [["A", "C"], ["A", "C"], ["C"]]
+
+
+def test_a_config_too_large_is_refused(spark, monkeypatch):
+    monkeypatch.setattr("leadtide.operators.detect.MAX_CONFIG_CHARS", 10)
+    with pytest.raises(ValueError, match="too large"):
+        read_techs(tech_config(spark), max_techs=0)
