@@ -44,14 +44,27 @@ def posting_url(key) -> Column:
     return F.concat(F.lit("https://example.com/jobs/"), key)
 
 
-def posting_text(company, title, techs) -> Column:
-    """One-paragraph description: the first three technologies, the last as a plus."""
-    return F.format_string(
-        "%s is hiring a %s. Strong experience with %s. Experience with %s is a plus.",
-        F.col(company),
-        F.col(title),
-        F.array_join(F.slice(techs, 1, 3), ", "),
-        F.coalesce(F.try_element_at(F.col(techs), F.lit(-1)), F.lit("")),
+def posting_text(company, title, techs, skills=(), benefits=(), place="") -> Column:
+    """A whole description: an opening line, then sections of requirements (the first three
+    technologies, the last one as a plus, and ``skills``), technologies, benefits and place."""
+
+    def section(head: str, lines: list[Column]) -> Column:
+        return F.concat_ws("\n", F.lit(head), *[F.concat(F.lit("- "), line) for line in lines])
+
+    required = [
+        F.concat(F.lit("Strong experience with "), F.array_join(F.slice(techs, 1, 3), ", ")),
+        F.concat(
+            F.lit("Experience with "), F.coalesce(F.try_element_at(F.col(techs), F.lit(-1)), F.lit("")), F.lit(" is a plus")
+        ),
+        *map(F.lit, skills),
+    ]
+    return F.concat_ws(
+        "\n\n",
+        F.format_string("%s is hiring a %s.", F.col(company), F.col(title)),
+        section("Requirements:", required),
+        F.concat(F.lit("Tech Stack:\n"), F.array_join(techs, ", ")),
+        section("Benefits:", [F.lit(x) for x in benefits]),
+        F.lit(f"Location: {place}"),
     )
 
 

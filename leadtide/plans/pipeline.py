@@ -15,7 +15,7 @@ from leadtide.operators.score import lead_scores
 from leadtide.operators.stats import company_stats
 from leadtide.operators.upsert import ingest_accounting, upsert_postings
 from leadtide.schemas import RAW_JOBS
-from leadtide.sources.tables import read_table, refresh_table, require_unique, store
+from leadtide.sources.tables import discard, new_path, read_table, refresh_table, require_unique, store
 
 
 def stored_stats(raw: DataFrame, config: DataFrame, **options) -> DataFrame:
@@ -50,9 +50,12 @@ def run(
         raw = spark.createDataFrame([], RAW_JOBS)
     else:
         raw = read_table(spark, f"{folder}/{previous}/raw_jobs", "raw_jobs")
-    batch = store(batch, "batch")
+    kept = new_path(spark, "batch")
+    batch.write.parquet(kept)
+    batch = spark.read.schema(batch.schema).parquet(kept)
     ingest_accounting(raw, batch).write.mode("overwrite").parquet(at["ingest"])
     refresh_table(upsert_postings(raw, batch), at["raw_jobs"], "raw_jobs")
+    discard(spark, kept)
 
     raw = read_table(spark, at["raw_jobs"], "raw_jobs")
     require_unique(raw, "raw_jobs")

@@ -184,12 +184,21 @@ def f22(b):
     )
 
 
+SKILLS = ["writes and speaks clearly", "a degree or as much practice"]
+BENEFITS = ["fair pay", "time to learn"]
+LINES = "E'\\n'"
+
+
 @query(
     "f24_templates",
     sql(
         "SELECT job_id, 'https://example.com/jobs/' || job_id AS link, company || ' is hiring a ' || "
-        "title || '. Strong experience with ' || source || ', ' || url || '. Experience with ' || "
-        "url || ' is a plus.' AS text FROM postings",
+        f"title || '.' || {LINES} || {LINES} || 'Requirements:' || {LINES} || '- Strong experience with ' || source "
+        f"|| ', ' || url || {LINES} || '- Experience with ' || url || ' is a plus' || "
+        + " || ".join(f"{LINES} || '- {x}'" for x in SKILLS)
+        + f" || {LINES} || {LINES} || 'Tech Stack:' || {LINES} || source || ', ' || url || {LINES} || {LINES} || 'Benefits:' || "
+        + " || ".join(f"{LINES} || '- {x}'" for x in BENEFITS)
+        + f" || {LINES} || {LINES} || 'Location: anywhere' AS text FROM postings",
         "postings",
     ),
 )
@@ -197,7 +206,7 @@ def f24(b):
     return b.postings.withColumn("techs", F.array("source", "url")).select(
         "job_id",
         posting_url(F.col("job_id")).alias("link"),
-        posting_text("company", "title", "techs").alias("text"),
+        posting_text("company", "title", "techs", SKILLS, BENEFITS, "anywhere").alias("text"),
     )
 
 

@@ -66,9 +66,9 @@ def test_text_helpers(spark):
 
     want = hashlib.sha256(b"Acme_Dev_2024-01-03_7").hexdigest()[:16]
     assert df.select(posting_key("c", "t", "d", "i")).first()[0] == want
-    assert df.select(posting_text("c", "t", "techs")).first()[0] == (
-        "Acme is hiring a Dev. Strong experience with A, B, C. Experience with D is a plus."
-    )
+    text = df.select(posting_text("c", "t", "techs", ["be kind"], ["tea"], "Oslo")).first()[0]
+    assert text.split("\n\n")[1].split("\n")[0] == "Requirements:" and "- be kind" in text
+    assert text.endswith("Benefits:\n- tea\n\nLocation: Oslo")
 
 
 def test_rounding_is_half_up_once(spark):
