@@ -44,21 +44,22 @@ def rates(docs: DataFrame, weights: DataFrame | None, total: Column | None = Non
 def poisson(u: Column, rate: Column) -> Column:
     """The Poisson number of mean ``rate`` whose distribution function first exceeds u.
 
-    Rates of over 500 are taken as a sum: the whole part beyond is added as it is, for
-    there the relative spread is below a twentieth and exp(-rate) would leave the doubles.
+    The probabilities are added up in turn, each from the logarithm of the one before, which
+    stays in range for any rate; there are about as many steps as the row gets copies.
     """
-    free = F.least(rate, F.lit(500.0))
-    start = F.struct(F.exp(-free).alias("p"), F.exp(-free).alias("below"), F.lit(0).alias("k"))
-    most = F.ceil(free + 9 * F.sqrt(free) + 30).cast("int")  # beyond, what is left is under 2 ** -53
+    start = F.struct((-rate).alias("log_p"), F.exp(-rate).alias("below"), F.lit(0).alias("k"))
+    most = F.ceil(rate + 9 * F.sqrt(rate) + 30).cast("int")  # beyond, what is left is under 2 ** -53
 
     def step(state: Column, k: Column) -> Column:
-        p = state["p"] * free / k
+        log_p = state["log_p"] + F.ln(rate / k)
         more = u >= state["below"]
         return F.struct(
-            p.alias("p"), (state["below"] + p).alias("below"), F.when(more, k).otherwise(state["k"]).alias("k")
+            log_p.alias("log_p"), (state["below"] + F.exp(log_p)).alias("below"),
+            F.when(more, k).otherwise(state["k"]).alias("k"),
         )
 
-    return F.aggregate(F.sequence(F.lit(1), most), start, step)["k"] + F.floor(rate - free).cast("int")
+    number = F.aggregate(F.sequence(F.lit(1), most), start, step)["k"]
+    return F.when(rate > 0, number).otherwise(F.lit(0))
 
 
 def mix(

@@ -70,12 +70,11 @@ WITH RECURSIVE sizes AS (
   SELECT source, (1.0::DOUBLE * (SELECT sum(n) FROM sizes)) / ((SELECT count(*)::DOUBLE FROM sizes) * n) AS rate
   FROM sizes
 ), steps AS (
-  SELECT source, rate, 0 AS k, exp(-least(rate, 500.0::DOUBLE)) AS p, exp(-least(rate, 500.0::DOUBLE)) AS below FROM rates
+  SELECT source, rate, 0 AS k, -rate AS log_p, exp(-rate) AS below FROM rates
   UNION ALL
-  SELECT source, rate, k + 1, p * least(rate, 500.0::DOUBLE) / (k + 1),
-         below + p * least(rate, 500.0::DOUBLE) / (k + 1)
+  SELECT source, rate, k + 1, log_p + ln(rate / (k + 1)), below + exp(log_p + ln(rate / (k + 1)))
   FROM steps
-  WHERE k + 1 < ceil(least(rate, 500.0::DOUBLE) + 9 * sqrt(least(rate, 500.0::DOUBLE)) + 30)
+  WHERE k + 1 < ceil(rate + 9 * sqrt(rate) + 30)
 ), drawn AS (
   SELECT doc_id, source, md5(coalesce(text, '')) AS text_md5,
          ('0x' || substr(md5(concat_ws('|', '42', doc_id::VARCHAR, md5(coalesce(text, '')))), 1, 13))::BIGINT::DOUBLE
@@ -83,9 +82,7 @@ WITH RECURSIVE sizes AS (
   FROM documents
 ), times AS (
   SELECT d.doc_id, d.source, d.text_md5,
-         (SELECT count(*) FROM steps s WHERE s.source IS NOT DISTINCT FROM d.source AND d.u >= s.below)
-           + (SELECT floor(rate - least(rate, 500.0::DOUBLE))::BIGINT FROM rates r
-              WHERE r.source IS NOT DISTINCT FROM d.source) AS n
+         (SELECT count(*) FROM steps s WHERE s.source IS NOT DISTINCT FROM d.source AND d.u >= s.below) AS n
   FROM drawn d
 ), copies AS (
   SELECT doc_id, source, text_md5, unnest(range(1, n + 1))::INTEGER AS copy FROM times

@@ -290,15 +290,17 @@ def test_poisson_inverts(spark):
 
     from pyspark.sql import functions as F
 
-    df = spark.createDataFrame([(u / 97, rate) for u in range(97) for rate in (0.0, 0.3, 2.5, 40.0)], "u double, rate double")
+    df = spark.createDataFrame([(u / 97, rate) for u in range(97) for rate in (0.0, 0.3, 2.5, 40.0, 400.0)], "u double, rate double")
     for r in df.withColumn("k", mixing.poisson(F.col("u"), F.col("rate"))).collect():
         k, p = 0, exp(-r.rate)
         below = p
-        while r.u >= below and k < 200:
+        while r.u >= below and k < 700:
             k += 1
             p = p * r.rate / k
             below += p
         assert r.k == k
+    (large,) = spark.createDataFrame([(0.5, 2000.0)], "u double, rate double").select(mixing.poisson(F.col("u"), F.col("rate"))).first()
+    assert abs(large - 2000) <= 1
 
 
 def test_forward_backward_by_enumeration():
