@@ -28,7 +28,7 @@ from leadtide.llm.common import pieces, row_key, stored, text_bytes
 LENGTH = 100
 GRAM = 20
 #: Text of a range of suffixes, and of what a task hashes at a time and merges at a time.
-RANGE_BYTES, HASH_BYTES, MERGE_BYTES = 12 << 20, 1 << 20, 8 << 20
+RANGE_BYTES, HASH_BYTES, MERGE_BYTES = 6 << 20, 1 << 20, 4 << 20
 #: One document of so many is sampled for the splitters.
 SAMPLE_OF = 64
 _NONE = np.int64(2**63 - 1)  # a null doc_id comes last
