@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-# Batches up to this many keys are sent to the snapshot instead of shuffling it.
+# Batches up to this many keys, and bytes of keys, are sent to the snapshot instead of shuffling it.
+# This chooses the plan only; the ledger in sources/ledger.py does without.
 BROADCAST_KEYS = 200_000
+BROADCAST_BYTES = 16_000_000
 
 PAYLOAD = ["company", "title", "description", "location", "posting_date", "url", "source"]
 RAW = ["job_id", *PAYLOAD, "first_scraped_at", "last_scraped_at"]
@@ -46,8 +48,12 @@ def first_per_key(rows: DataFrame, key: list[str], order: list[str]) -> DataFram
 
 
 def is_small(batch: DataFrame, limit: int = BROADCAST_KEYS) -> bool:
-    """Whether a batch has at most ``limit`` records; reads no more than it must."""
-    return batch.select("job_id").limit(limit + 1).count() <= limit
+    """Whether a batch has at most ``limit`` records, of at most BROADCAST_BYTES of keys; reads no
+    more than it must."""
+    n, size = batch.select("job_id").limit(limit + 1).agg(
+        F.count("*"), F.coalesce(F.sum(F.octet_length("job_id")), F.lit(0))
+    ).first()
+    return n <= limit and size <= BROADCAST_BYTES
 
 
 def _hint(df: DataFrame, small: bool) -> DataFrame:
