@@ -13,13 +13,13 @@ of a batch at a time, word by word.
 
 from __future__ import annotations
 
-import re
 from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
 from leadtide.llm.common import pieces, split_of
@@ -35,7 +35,7 @@ LEXICON_WORDS, LEXICON_SEEN = 2000, 5
 STRETCH, CHAIN = (6, 24), 64
 EPOCHS, RATE = 3, 0.3
 FEATURE_BYTES, BATCH_BYTES = 1 << 20, 12 << 20
-_LETTER = re.compile(r"[^\W\d_]")
+_LETTER = regex.compile(r"\p{L}")
 _IS_LETTER = np.zeros(256, bool)
 _IS_LETTER[[*range(65, 91), *range(97, 123), *range(128, 256)]] = True
 _MIX = np.random.default_rng(7).integers(0, 1 << 63, (64, 256), dtype=np.uint64) | np.uint64(1)
