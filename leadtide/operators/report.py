@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
@@ -248,16 +249,25 @@ def warehouse_report(raw: DataFrame) -> DataFrame:
     ).unionByName(lines(recent, "recent", by_time, posting, none))
 
 
+# The names of the exports and of their files.
+EXPORTS = {
+    "lead_scores_path": "lead_scores_latest.csv",
+    "trends_path": "company_trends.csv",
+    "summary_path": "summary.json",
+}
+
+
 def export_bundle(leads: DataFrame, stats: DataFrame, folder: str, generated_at: Column) -> dict:
-    """Write the lead and trend CSVs and the summary JSON; returns their paths."""
+    """Write the lead and trend CSVs and the summary JSON, side by side; returns their paths."""
     from leadtide.sources.tables import lead_feed, trend_feed, write_csv, write_json
 
-    paths = {
-        "lead_scores_path": f"{folder}/lead_scores_latest.csv",
-        "trends_path": f"{folder}/company_trends.csv",
-        "summary_path": f"{folder}/summary.json",
-    }
-    write_csv(lead_feed(leads), paths["lead_scores_path"])
-    write_csv(trend_feed(stats), paths["trends_path"])
-    write_json(summary_document(leads, stats, generated_at), paths["summary_path"])
+    paths = {name: f"{folder}/{file}" for name, file in EXPORTS.items()}
+    with ThreadPoolExecutor(3) as pool:
+        writes = [
+            pool.submit(write_csv, lead_feed(leads), paths["lead_scores_path"]),
+            pool.submit(write_csv, trend_feed(stats), paths["trends_path"]),
+            pool.submit(write_json, summary_document(leads, stats, generated_at), paths["summary_path"]),
+        ]
+        for write in writes:
+            write.result()
     return paths
