@@ -183,10 +183,7 @@ WEEK_SCORE = "company_normalized, week_start, composite_score"
 def p14(b):
     score = F.col("composite_score")
     rows = b.scored.select("company_normalized", "week_start", "composite_score")
-    hot = rows.where(score >= scores.HOT).withColumn("kept", F.lit("hot"))
-    warm = rows.where((score >= scores.WARM) & (score < scores.HOT)).withColumn("kept", F.lit("warm"))
-    cold = rows.where(score < scores.WARM).withColumn("kept", F.lit("cold"))
-    return hot.unionByName(warm).unionByName(cold)
+    return rows.where(score.isNotNull()).withColumn("kept", scores.band(score))
 
 
 @query(
@@ -431,9 +428,12 @@ def j2_thousands(b):
     ),
 )
 def j3(b):
+    """Both sides of the anti-join come from one table, so one aggregation tells both."""
     weekly = with_techs(weekly_jobs(b.cleaned), b.config)
-    found = weekly.where(F.size("techs") > 0).select(*GROUP).distinct()
-    return weekly.join(found, GROUP, "left_anti").groupBy(*GROUP).agg(F.count("*").alias("postings"))
+    counts = weekly.groupBy(*GROUP).agg(
+        F.count("*").alias("postings"), F.bool_or(F.size("techs") > 0).alias("found")
+    )
+    return counts.where(~F.col("found")).drop("found")
 
 
 WEIGHTS_SQL = sql(
