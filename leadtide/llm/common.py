@@ -18,9 +18,11 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder all executors reach; a session without one (as in tests) gets its own."""
+    """The folder all executors reach; a local session without one (as in tests) gets its own."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
         folder = tempfile.mkdtemp(prefix="corpus-")
         spark.conf.set("spark.checkpoint.dir", folder)
     return folder.rstrip("/")
@@ -87,10 +89,12 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int
     if n == 0 or y.min() == y.max():
         rate = (float(y.sum()) + 1) / (n + 2)
         return np.zeros(x.shape[1]), float(np.log(rate / (1 - rate)))
-    mean = x.mean(axis=0)
-    scale = x.std(axis=0)
+    z = x.astype(np.float32)
+    mean = z.mean(axis=0)
+    z -= mean
+    scale = np.sqrt((z * z).mean(axis=0))
     scale[scale == 0] = np.inf
-    z = ((x - mean) / scale).astype(np.float32)
+    z /= scale
     limit = 0.25 * float(np.linalg.norm(z, axis=1).max() ** 2)
     spread = np.ones(z.shape[1], np.float32)
     for _ in range(12):  # the largest curvature, by power iteration

@@ -22,7 +22,7 @@ from leadtide.llm.common import fit_logistic, pieces, restored, sheltered, sigmo
 #: Most labelled rows the classifier is fitted on, taken in the order of a hash of doc_id.
 SAMPLE_ROWS = 4000
 #: Hash slots of each kind of n-gram.
-SLOTS = 2048
+SLOTS = 512
 #: Rejected below this calibrated probability of good quality.
 LEAST_PROBABILITY = 0.5
 #: A document needs so many words, and at most this share of them in repeated windows.
@@ -139,13 +139,13 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, held
         .select("doc_id", "quality", "text")
         .mapInArrow(dense, "doc_id long, quality int, x binary").limit(2 * sample_rows).toArrow()
     )
-    x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float16).reshape(-1, 3 * SLOTS).astype(np.float32)
+    x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float16).reshape(-1, 3 * SLOTS)
     y = rows["quality"].to_numpy().astype(np.float32)
     order = np.lexsort((y, x[:, 0], rows["doc_id"].to_numpy()))
     x, y = x[order], y[order]
     late = np.arange(len(y)) % 4 == 3
     weights, bias = fit_logistic(x[~late], y[~late])
-    slope, shift = fit_logistic((x[late] @ weights + bias)[:, None], y[late], 1e-4)
+    slope, shift = fit_logistic((x[late].astype(np.float32) @ weights + bias)[:, None], y[late], 1e-4)
     return Model(weights.astype(np.float32), bias, float(slope[0]), shift)
 
 
