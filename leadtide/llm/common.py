@@ -113,6 +113,15 @@ def fit_logistic(x: np.ndarray, y: np.ndarray, penalty: float = 1e-3, steps: int
     return weights, b - float(mean @ weights)
 
 
+def examples(docs: DataFrame, chosen: DataFrame) -> DataFrame:
+    """(doc_id, text, the columns of ``chosen``) of a bounded set of documents, unique by doc_id.
+
+    A doc_id that ``docs`` repeats gives one row, with its least text, so the bound holds.
+    """
+    found = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
+    return found.groupBy("doc_id", *[c for c in chosen.columns if c != "doc_id"]).agg(F.min("text").alias("text"))
+
+
 def sigmoid(x: np.ndarray) -> np.ndarray:
     return 1 / (1 + np.exp(-np.clip(x, -30, 30)))
 

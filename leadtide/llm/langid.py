@@ -22,7 +22,7 @@ import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame, Window, functions as F
 
-from leadtide.llm.common import pieces, split_of
+from leadtide.llm.common import examples, pieces, split_of
 
 #: Labelled rows of each language that are learned from, the first by a hash of doc_id.
 SAMPLE_ROWS = 250
@@ -257,14 +257,16 @@ def train(texts: list[tuple[str, str]]) -> Model:
 
 
 def fit(docs: DataFrame, sample_rows: int = SAMPLE_ROWS) -> Model:
-    """Learn from at most ``sample_rows`` rows of each language outside the held-out quarter (runs a job)."""
+    """Learn from at most ``sample_rows`` rows of each language outside the held-out quarter (runs a
+    job).  Rows without doc_id are no examples; a repeated doc_id counts once, with its least text."""
     labelled = docs.where(F.col("lang").isNotNull() & (split_of(F.col("doc_id")) != 2))
     rank = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id")
     chosen = (
-        labelled.select("doc_id", "lang").withColumn("nth", F.row_number().over(rank))
-        .where(F.col("nth") <= sample_rows).select("doc_id", "lang")
+        labelled.where(F.col("doc_id").isNotNull()).select("doc_id", "lang")
+        .withColumn("nth", F.row_number().over(rank)).where(F.col("nth") <= sample_rows)
+        .groupBy("doc_id").agg(F.min("lang").alias("lang"))
     )
-    rows = labelled.join(F.broadcast(chosen.distinct()), ["doc_id", "lang"]).select("text", "lang").toArrow()
+    rows = examples(docs, chosen).select("text", "lang").toArrow()  # bounded by sample_rows
     return train(list(zip(rows["text"].to_pylist(), rows["lang"].to_pylist())))
 
 

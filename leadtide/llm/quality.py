@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.types import BooleanType, DoubleType, LongType, StructField, StructType
 
-from leadtide.llm.common import fit_logistic, pieces, restored, sheltered, sigmoid, split_of, sums_by_row, text_bytes
+from leadtide.llm.common import examples, fit_logistic, pieces, restored, sheltered, sigmoid, split_of, sums_by_row, text_bytes
 
 #: Most labelled rows the classifier is fitted on, taken in the order of a hash of doc_id.
 SAMPLE_ROWS = 4000
@@ -135,9 +135,8 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, held
             )
 
     rows = (
-        docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")  # bounded by sample_rows
-        .select("doc_id", "quality", "text")
-        .mapInArrow(dense, "doc_id long, quality int, x binary").limit(2 * sample_rows).toArrow()
+        examples(docs, chosen).select("doc_id", "quality", "text")
+        .mapInArrow(dense, "doc_id long, quality int, x binary").toArrow()  # bounded by sample_rows
     )
     x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float16).reshape(-1, 3 * SLOTS)
     y = rows["quality"].to_numpy().astype(np.float32)

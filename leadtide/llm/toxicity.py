@@ -22,7 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, functions as F
 
-from leadtide.llm.common import fit_logistic, pieces, sigmoid, split_of
+from leadtide.llm.common import examples, fit_logistic, pieces, sigmoid, split_of
 
 #: Most labelled rows the scores and the calibration are fitted on, in the order of a hash of doc_id.
 SAMPLE_ROWS = 12_000
@@ -134,7 +134,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
         .withColumn("late", F.pmod(F.xxhash64("doc_id", F.lit(9)), F.lit(3)) == 0)
     )
-    examples = docs.select("doc_id", "text").where(F.col("text").isNotNull()).join(F.broadcast(chosen), "doc_id")
+    rows = examples(docs, chosen).where(F.col("text").isNotNull())
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         every: Counter[str] = Counter({"": 0})
@@ -152,7 +152,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
         )
 
     counted = (
-        examples.where("not late").select("text", "toxic").mapInArrow(count, "token string, n long, n_toxic long")
+        rows.where("not late").select("text", "toxic").mapInArrow(count, "token string, n long, n_toxic long")
         .groupBy("token").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
         .where("token = '' or n_toxic >= 3 or n >= 20").toArrow()  # bounded by the sample
     )
@@ -177,7 +177,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
                 ["toxic", "length", "scores"],
             )
 
-    late = examples.where("late").select("text", "toxic").mapInArrow(
+    late = rows.where("late").select("text", "toxic").mapInArrow(
         scan, "toxic int, length long, scores array<double>"
     ).collect()  # bounded by the sample
     best = np.array([(max(r.scores), math.log(max(r.length, 1))) for r in late if r.toxic == 0 and r.scores])
