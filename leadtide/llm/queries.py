@@ -115,6 +115,41 @@ def op10_suffixes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffixes.remove_repeats(documents(spark, sf_dir), length=100).drop("kept")
 
 
+#: Bytes are pairs of hexadecimal digits here, since SQL cuts texts by characters.
+ORACLE["op10_suffixes"] = """
+WITH bytes AS (
+  SELECT doc_id, hex(encode(coalesce(text, ''))) AS h FROM documents
+), starts AS (
+  SELECT doc_id, unnest(list_transform(range(0, length(h) // 2 - 99),
+    lambda s: {'s': s, 'string': md5_number(substr(h, 2 * s + 1, 200))})) AS x
+  FROM bytes
+), strings AS (
+  SELECT doc_id, x.s AS s, x.string AS string FROM starts
+), firsts AS (
+  SELECT string, min({'doc_id': doc_id, 's': s}) AS f FROM strings GROUP BY string HAVING count(*) > 1
+), repeats AS (
+  SELECT doc_id, s, lag(s) OVER (PARTITION BY doc_id ORDER BY s) AS before
+  FROM strings JOIN firsts USING (string) WHERE doc_id <> f.doc_id OR s <> f.s
+), runs AS (
+  SELECT doc_id, s, count(*) FILTER (WHERE before IS NULL OR s > before + 100) OVER (
+    PARTITION BY doc_id ORDER BY s) AS run
+  FROM repeats
+), spans AS (
+  SELECT doc_id, min(s) AS a, max(s) + 100 AS b FROM runs GROUP BY doc_id, run
+), parts AS (
+  SELECT doc_id, coalesce(lag(b) OVER (PARTITION BY doc_id ORDER BY a), 0) AS low, a AS high FROM spans
+  UNION ALL
+  SELECT d.doc_id, coalesce(max(b), 0), any_value(length(h) // 2) FROM bytes d LEFT JOIN spans USING (doc_id) GROUP BY d.doc_id
+), kept AS (
+  SELECT doc_id, string_agg(substr(h, 2 * low + 1, 2 * (high - low)), '' ORDER BY low) AS k
+  FROM parts JOIN bytes USING (doc_id) GROUP BY doc_id
+)
+SELECT doc_id, length(h) // 2 AS n_bytes, (length(h) - length(k)) // 2 AS n_removed,
+       (SELECT count(*) FROM spans s WHERE s.doc_id = bytes.doc_id) AS n_spans, sha256(unhex(k)) AS kept_sha256
+FROM bytes JOIN kept USING (doc_id)
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
