@@ -60,7 +60,7 @@ def cuts(ends: list[int], size: int, least: int = LEAST, most: int = MOST) -> li
     return out
 
 
-def _chunks(raw: np.ndarray, starts: np.ndarray, held: bytes) -> Iterator[tuple[int, int, int]]:
+def _chunks(raw: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int]]:
     """(text, start, end) of each chunk; places count from the start of ``raw``."""
     limit = np.uint32(1 << (32 - CUT_BITS))
     first = 0
@@ -94,7 +94,7 @@ def _packed(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
         rows = sorted(range(len(ids)), key=lambda i: (ids[i], keys[i]))
         rank = np.empty(len(rows), np.int64)
         rank[rows] = np.arange(len(rows))
-        found = np.array(list(_chunks(raw, starts, held)), np.int64).reshape(-1, 3)
+        found = np.array(list(_chunks(raw, starts)), np.int64).reshape(-1, 3)
         digest = hashlib.blake2b
         digests = b"".join([digest(held[s:e], digest_size=16).digest() for s, e in found[:, 1:].tolist()])
         record = np.zeros(len(found), _RECORD)
@@ -212,7 +212,7 @@ def deduplicate_chunks(docs: DataFrame) -> DataFrame:
             raw, starts = text_bytes(batch.column("text"))
             held = raw.tobytes()
             chunks = np.bincount(
-                np.fromiter((t for t, _, _ in _chunks(raw, starts, held)), np.int64), minlength=batch.num_rows
+                np.fromiter((t for t, _, _ in _chunks(raw, starts)), np.int64), minlength=batch.num_rows
             )
             out = []
             for i, (begins, ends) in enumerate(zip(batch.column("starts").to_pylist(), batch.column("ends").to_pylist())):

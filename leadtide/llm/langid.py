@@ -71,7 +71,7 @@ def words_of(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarra
     return first, end, np.searchsorted(first, starts)
 
 
-def word_hashes(raw: np.ndarray, first: np.ndarray, end: np.ndarray) -> np.ndarray:
+def word_hashes(raw: np.ndarray, first: np.ndarray) -> np.ndarray:
     """A 64-bit hash of each word, by its letters and their places."""
     if not len(first):
         return np.zeros(0, np.uint64)
@@ -121,7 +121,7 @@ def features(raw: np.ndarray, first: np.ndarray, end: np.ndarray, lexicon: np.nd
     for n in (2, 3):
         gram = gram << np.uint64(8) | padded[n - 1 : len(raw) + n - 1]
         grams.append(np.where(inside & (rest >= n), _slot(gram, 17 * n), nothing))
-    whole = word_hashes(raw, first, end)
+    whole = word_hashes(raw, first)
     own = (whole % np.uint64(LEXICON)).astype(np.int64)
     return affixes, grams, np.where(lexicon[own] == whole, SLOTS + own, nothing)
 
@@ -202,8 +202,8 @@ def _chains(texts: list[tuple[bytes, int]], lexicon_of: int) -> tuple[list[tuple
     for known in seen:
         often = [w for w, n in sorted(known.items(), key=lambda x: (-x[1], x[0]))[:LEXICON_WORDS] if n >= LEXICON_SEEN]
         raw = np.frombuffer(b" ".join(often), np.uint8)
-        first, end, _ = words_of(raw, np.array([0, len(raw)]))
-        whole = word_hashes(raw, first, end)
+        first, _, _ = words_of(raw, np.array([0, len(raw)]))
+        whole = word_hashes(raw, first)
         for h in whole[::-1].tolist():  # of words that share a slot the most frequent one has it
             lexicon[h % LEXICON] = h
     return chains, lexicon

@@ -367,11 +367,11 @@ def test_gear_and_chunks():
     text = words(400, 5).encode()
     starts = np.array([0, len(text), len(text) + 40])
     both = np.frombuffer(text + b"y" * 40, np.uint8)
-    found = list(chunks._chunks(both, starts, b""))
+    found = list(chunks._chunks(both, starts))
     assert [e for t, _, e in found if t == 0][-1] == len(text)
     assert all(e - s >= chunks.LEAST for _, s, e in found)
     shifted = np.frombuffer(b"new start " + text, np.uint8)
-    after = {bytes(shifted[s:e]) for _, s, e in chunks._chunks(shifted, np.array([0, len(shifted)]), b"")}
+    after = {bytes(shifted[s:e]) for _, s, e in chunks._chunks(shifted, np.array([0, len(shifted)]))}
     before = [bytes(both[s:e]) for t, s, e in found if t == 0]
     assert sum(c in after for c in before) >= len(before) - 3
 
@@ -383,7 +383,7 @@ def test_chunks_by_brute_force(spark):
     for doc_id, text, *_ in sorted((r for r in ROWS if r[0] is not None and r[0] != 4), key=lambda r: r[0]):
         raw = (text or "").encode()
         kept = b""
-        for _, s, e in chunks._chunks(np.frombuffer(raw, np.uint8), np.array([0, len(raw)]), raw):
+        for _, s, e in chunks._chunks(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])):
             if raw[s:e] not in seen:
                 kept += raw[s:e]
             seen.add(raw[s:e])
