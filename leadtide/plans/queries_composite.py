@@ -14,7 +14,7 @@ from leadtide.plans.catalog import query
 from leadtide.plans.oracle import band, config_cte, rounded, sql
 from leadtide.plans.queries_table import FEED, SUMMARY, SUMMARY_SQL, TREND
 from leadtide.sources import bindings
-from leadtide.sources.tables import lead_feed, lead_rows, new_path, read_csv, trend_feed, trend_rows
+from leadtide.sources.tables import lead_rows, new_path, read_csv, trend_rows
 
 DETAIL = "company_normalized, company, week_start, jobs_posted, tech_stack, locations, "
 CLASSES = "senior_count, junior_count, lead_count, mid_count"

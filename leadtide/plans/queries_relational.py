@@ -14,7 +14,7 @@ from leadtide.operators.detect import tech_matches, with_techs
 from leadtide.operators.quality import duplicate_groups, invalid_scores, null_or_empty
 from leadtide.operators.score import latest_week, with_matched_weight, with_previous
 from leadtide.operators.stats import GROUP, weekly_jobs
-from leadtide.operators.upsert import known_keys, new_postings, split_batch
+from leadtide.operators.upsert import known_keys, split_batch
 from leadtide.plans.catalog import query
 from leadtide.plans.oracle import (
     RAW_COLUMNS, band, config_cte, matches, narrow_class, rounded, sql, wide_class,
