@@ -11,6 +11,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 
+#: What batches of a task bring beside their buckets goes to groups so far apart.
+STRIDE = 7919
+
+
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/documents.parquet")
 
@@ -75,6 +79,14 @@ def pieces(batches: Iterator[pa.RecordBatch], most: int, column: str = "text") -
             first = last
 
 
+def once(batch: pa.RecordBatch) -> pa.RecordBatch:
+    """The batch without rows that repeat a key (which doc_id and text give)."""
+    first: dict[bytes, int] = {}
+    for i, key in enumerate(batch.column("key").to_pylist()):
+        first.setdefault(key, i)
+    return batch if len(first) == batch.num_rows else batch.take(pa.array(first.values(), pa.int64()))
+
+
 def sums_by_row(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sum of the values of each row; starts has one more entry than rows."""
     total = np.concatenate([[0.0], np.cumsum(values, dtype=np.float64)])

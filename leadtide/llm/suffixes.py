@@ -3,7 +3,8 @@
 Any two equal strings of ``LENGTH`` bytes hold the same anchor at the same place: the gram of
 ``GRAM`` bytes with the least hash among those inside (the leftmost of equal ones).  So only
 the suffixes that begin at anchors are sorted.  An anchor travels as a block: the bytes of all
-strings it is the anchor of.  Equal blocks of one batch travel once.
+strings it is the anchor of.  Equal blocks of one batch travel once; what they repeat is known in the batch and
+travels beside the ranges, dealt over as many groups by task and batch.
 
 Splitters sampled from the anchors' leading eight bytes deal the blocks over ranges.  In a
 range the suffixes are sorted by multikey quicksort, eight bytes at a time and only where
@@ -23,7 +24,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from leadtide.llm.common import pieces, row_key, stored, text_bytes
+from leadtide.llm.common import STRIDE, once, pieces, row_key, stored, text_bytes
 
 LENGTH = 100
 GRAM = 20
@@ -118,9 +119,14 @@ def splitters(docs: DataFrame, length: int = LENGTH, sample_of: int = SAMPLE_OF)
 
 
 def _blocks(batches: Iterator[pa.RecordBatch], cuts: np.ndarray, length: int) -> Iterator[pa.RecordBatch]:
-    """Blocks of each batch, packed by range; repeats of equal blocks as spans (done)."""
+    """Blocks of each batch, packed by range; repeats of equal blocks as spans (done), with a negative bucket."""
+    from pyspark import TaskContext
+
     press = zstandard.ZstdCompressor(level=1)
-    for batch in pieces(batches, MERGE_BYTES):
+    context = TaskContext.get()
+    task = context.partitionId() if context else 0
+    for turn, batch in enumerate(pieces(batches, MERGE_BYTES)):
+        batch = once(batch)
         raw, starts = text_bytes(batch.column("text"))
         ids = batch.column("doc_id").fill_null(_NONE).to_numpy()
         keys = np.frombuffer(b"".join(batch.column("key").to_pylist()), ">u8").reshape(-1, 2)
@@ -159,23 +165,29 @@ def _blocks(batches: Iterator[pa.RecordBatch], cuts: np.ndarray, length: int) ->
         rows = np.split(stay, np.flatnonzero(np.diff(bucket[stay])) + 1) if len(stay) else []
         columns: list[list] = [[] for _ in range(10)]
 
-        def add(number: int, own: np.ndarray, done: np.ndarray) -> None:
-            doc, which = np.unique(text[np.concatenate([own, done])], return_inverse=True)
+        def add(number: int, own: np.ndarray, done: tuple[np.ndarray, ...]) -> None:
+            doc, which = np.unique(np.concatenate([text[own], done[0]]), return_inverse=True)
             from_start = starts[text]
             join = b"".join([held[b : e + length] for b, e in zip(begin[own].tolist(), end[own].tolist())])
             values = (
                 ids[doc].tobytes(), keys[doc].tobytes(), which[: len(own)].astype(np.int32).tobytes(),
                 (place - from_start)[own].astype(np.int64).tobytes(), (place - begin)[own].astype(np.uint8).tobytes(),
                 (end - begin)[own].astype(np.uint8).tobytes(), hot[own].tobytes(), join,
-                np.stack([which[len(own) :], (begin - from_start)[done], (end - from_start)[done]]).astype(np.int64).tobytes(),
+                np.stack([which[len(own) :], done[1], done[2]]).astype(np.int64).tobytes(),
             )
             columns[0].append(number)
             for column, value in zip(columns[1:], values):
                 column.append(press.compress(value))
 
         nothing = np.zeros(0, np.int64)
-        for k, own in enumerate(rows):
-            add(int(bucket[own[0]]), own, gone if k == 0 else nothing)
+        for own in rows:
+            add(int(bucket[own[0]]), own, (nothing, nothing, nothing))
+        if len(gone):
+            begins = starts[text[gone]]
+            add(
+                -1 - (task + turn * STRIDE) % (len(cuts) + 1), nothing,
+                _union(text[gone], begin[gone] - begins, end[gone] - begins + length),
+            )
         yield pa.RecordBatch.from_arrays(
             [pa.array(columns[0], pa.int32()), *[pa.array(c, pa.binary()) for c in columns[1:]]],
             ["bucket", "docs", "keys", "doc", "pos", "left", "count", "hot", "text", "done"],
@@ -301,7 +313,7 @@ def _compare(table: pa.Table, length: int) -> pa.Table:
             if hot_.any():
                 leave(kept[rows[~later & hot_[rows]]], before)
     start = np.concatenate([*found_start, done[1]])
-    end = np.concatenate([*[s + length for s in found_start], done[2] + length])
+    end = np.concatenate([*[s + length for s in found_start], done[2]])
     spans = _union(np.concatenate([*found_doc, rank[done[0]]]).astype(np.int64), start, end)
     held = raw.tobytes()
     strings: dict[int, list[tuple[bytes, int]]] = {}

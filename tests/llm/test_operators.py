@@ -7,8 +7,10 @@ import itertools
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
+import zstandard
 
 from leadtide.llm import chunks, fingerprints, langid, mixing, packing, pii, quality, simhash, suffixes, toxicity
 from leadtide.llm.components import components
@@ -391,6 +393,15 @@ def test_chunks_by_brute_force(spark):
     assert found[2].n_removed > 100
 
 
+def batch_of(texts):
+    """Documents as operators read them; the doc_id is the place of the text's first row."""
+    ids = [texts.index(t) for t in texts]
+    keys = [hashlib.md5(f"{i}t{t}".encode()).digest() for i, t in zip(ids, texts)]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(ids, pa.int64()), pa.array(keys, pa.binary()), pa.array(texts, pa.string())], ["doc_id", "key", "text"]
+    )
+
+
 def brute_suffixes(texts, length=100):
     seen, out = set(), []
     for raw in texts:
@@ -418,6 +429,26 @@ def test_suffixes_by_brute_force(spark, monkeypatch, range_bytes):
         assert found[i].n_removed == len(texts[i].encode()) - len(kept)
 
 
+def test_repeats_in_a_batch_travel_beside_the_ranges(monkeypatch):
+    monkeypatch.setattr(suffixes, "MERGE_BYTES", 6000)
+    texts = [words(60, i) + " " + words(30, 70) for i in range(80)]
+    batch = batch_of([*texts, texts[-1]])  # the last row comes twice
+    cuts = np.sort(suffixes._ordered(np.random.default_rng(1).integers(0, 1 << 63, 40, dtype=np.uint64)))
+    out = pa.Table.from_batches(suffixes._blocks(iter([batch]), cuts, 100)).to_pylist()
+    unpress = zstandard.ZstdDecompressor()
+    known = [r["bucket"] for r in out if unpress.decompress(r["done"])]
+    assert len(known) > 4 and len(set(known)) == len(known) and max(known) < 0
+    assert all(not unpress.decompress(r["text"]) for r in out if r["bucket"] < 0)
+    spans: dict[bytes, list] = {}
+    for bucket in {r["bucket"] for r in out}:
+        group = pa.Table.from_pylist([r for r in out if r["bucket"] == bucket])
+        for row in suffixes._compare(group, 100).to_pylist():
+            spans.setdefault(row["key"], []).extend(zip(row["starts"], row["ends"]))
+    for key, text, kept in zip(batch["key"].to_pylist(), texts, brute_suffixes([t.encode() for t in texts])):
+        gone = {x for s, e in spans.get(key, ()) for x in range(s, e)}
+        assert bytes(x for i, x in enumerate(text.encode()) if i not in gone) == kept
+
+
 def test_suffix_sort():
     r = np.random.default_rng(6)
     raw = r.integers(97, 99, 4000, dtype=np.uint8)
