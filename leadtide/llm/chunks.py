@@ -3,7 +3,8 @@
 A gear hash rolls over the bytes of a text; a chunk ends where the top bits of the hash are
 zero, so chunks find their ends again after insertions.  Chunks travel as packed records
 (digest, document, start, length) by digest, each digest once from each batch; of equal
-chunks all but the earliest go.
+chunks all but the earliest go.  Those that a batch finds in itself need no comparison: they
+travel beside the buckets, dealt over as many groups by task and batch.
 """
 
 from __future__ import annotations
@@ -16,7 +17,7 @@ import pyarrow as pa
 import zstandard
 from pyspark.sql import DataFrame, functions as F
 
-from leadtide.llm.common import pieces, row_key, text_bytes
+from leadtide.llm.common import STRIDE, once, pieces, row_key, text_bytes
 
 #: A chunk ends with one in 2 ** CUT_BITS bytes on average, and has LEAST to MOST bytes.
 CUT_BITS, LEAST, MOST = 5, 32, 512
@@ -85,8 +86,14 @@ def _chunks(raw: np.ndarray, starts: np.ndarray) -> Iterator[tuple[int, int, int
 
 
 def _packed(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.RecordBatch]:
+    """Records of each batch: first ones by bucket (new), repeats with a negative bucket (old)."""
+    from pyspark import TaskContext
+
     press = zstandard.ZstdCompressor(level=1)
-    for batch in pieces(batches, BATCH_BYTES):
+    context = TaskContext.get()
+    task = context.partitionId() if context else 0
+    for turn, batch in enumerate(pieces(batches, BATCH_BYTES)):
+        batch = once(batch)
         raw, starts = text_bytes(batch.column("text"))
         held = raw.tobytes()
         ids = batch.column("doc_id").fill_null(_NONE).to_numpy()
@@ -113,17 +120,18 @@ def _packed(batches: Iterator[pa.RecordBatch], buckets: int) -> Iterator[pa.Reco
         record, bucket = record[order], bucket[order]
         parts = np.split(record, np.flatnonzero(np.diff(bucket)) + 1) if len(record) else []
         out: list[list] = [[], [], [], [], []]
-        for k, part in enumerate(parts):
-            sent = np.concatenate([part, done]) if k == 0 else part
-            docs, place = np.unique(sent["doc"], return_inverse=True)
-            sent = sent.copy()
-            sent["doc"] = place
-            new, old = sent[: len(part)], sent[len(part) :]
+        sent = [(int(part["high"][0] % np.uint64(buckets)), part, done[:0]) for part in parts]
+        if len(done):
+            sent.append((-1 - (task + turn * STRIDE) % buckets, done[:0], done))
+        for number, new, old in sent:
+            docs, place = np.unique(np.concatenate([new["doc"], old["doc"]]), return_inverse=True)
+            new, old = new.copy(), old.copy()
+            new["doc"], old["doc"] = place[: len(new)], place[len(new) :]
             values = (
                 ids[docs].tobytes(), b"".join([keys[d] for d in docs.tolist()]),
                 b"".join([new[c].tobytes() for c in _RECORD.names]), b"".join([old[c].tobytes() for c in _RECORD.names]),
             )
-            out[0].append(int(part["high"][0] % np.uint64(buckets)))
+            out[0].append(number)
             for column, value in zip(out[1:], values):
                 column.append(press.compress(value))
         yield pa.RecordBatch.from_arrays(

@@ -402,6 +402,31 @@ def batch_of(texts):
     )
 
 
+def test_repeats_in_a_batch_travel_beside_the_buckets(monkeypatch):
+    monkeypatch.setattr(chunks, "BATCH_BYTES", 6000)
+    texts = [words(60, i) + " " + words(60, 70) for i in range(80)]
+    batch = batch_of([*texts, texts[-1]])  # the last row comes twice
+    out = pa.Table.from_batches(chunks._packed(iter([batch]), 40)).to_pylist()
+    unpress = zstandard.ZstdDecompressor()
+    known = [r["bucket"] for r in out if unpress.decompress(r["old"])]
+    assert len(known) > 4 and len(set(known)) == len(known) and max(known) < 0
+    assert all(not unpress.decompress(r["new"]) for r in out if r["bucket"] < 0)
+    spans: dict[bytes, set] = {}
+    for bucket in {r["bucket"] for r in out}:
+        group = pa.Table.from_pylist([r for r in out if r["bucket"] == bucket])
+        for row in chunks._repeated(group).to_pylist():
+            spans.setdefault(row["key"], set()).update(zip(row["starts"], row["ends"]))
+    seen = set()
+    for key, text in zip(batch["key"].to_pylist(), texts):
+        raw = text.encode()
+        want = set()
+        for _, s, e in chunks._chunks(np.frombuffer(raw, np.uint8), np.array([0, len(raw)])):
+            if raw[s:e] in seen:
+                want.add((s, e))
+            seen.add(raw[s:e])
+        assert spans.get(key, set()) == want
+
+
 def brute_suffixes(texts, length=100):
     seen, out = set(), []
     for raw in texts:
