@@ -30,8 +30,8 @@ LENGTH = 100
 GRAM = 20
 #: Text of a range of suffixes, and of what a task hashes at a time and merges at a time.
 RANGE_BYTES, HASH_BYTES, MERGE_BYTES = 6 << 20, 1 << 20, 4 << 20
-#: One document of so many is sampled for the splitters.
-SAMPLE_OF = 64
+#: One block of so many is sampled for the splitters, and the bytes of a block.
+SAMPLE_OF, SAMPLE_BYTES = 64, 4096
 _NONE = np.int64(2**63 - 1)  # a null doc_id comes last
 
 PAYLOAD = (
@@ -103,8 +103,16 @@ def _sample(docs: DataFrame, length: int, sample_of: int) -> DataFrame:
             _, place, *_ = anchors(raw, starts, length)
             yield pa.RecordBatch.from_arrays([pa.array(_ordered(_leading(raw, place)))], ["lead"])
 
-    some = docs.where(F.pmod(F.xxhash64("key"), F.lit(sample_of)) == 0)
-    return some.select("text").mapInArrow(run, "lead long")
+    # Blocks of a text, not whole documents: the sample grows with the bytes, however few the documents.
+    # A block goes with the bytes its last string reaches into, so each string lies in one block.
+    last = F.floor((F.octet_length("text") - length) / SAMPLE_BYTES).cast("int")
+    chosen = F.filter(F.sequence(F.lit(0), last), lambda k: F.pmod(F.xxhash64("key", k), F.lit(sample_of)) == 0)
+    parts = F.transform(
+        chosen,
+        lambda k: F.substring(F.col("text").cast("binary"), k * SAMPLE_BYTES + 1, F.lit(SAMPLE_BYTES + length - 1)),
+    )
+    some = docs.where(F.octet_length("text") >= length).select(F.explode_outer(parts).alias("text"))
+    return some.where(F.col("text").isNotNull()).mapInArrow(run, "lead long")
 
 
 def splitters(docs: DataFrame, length: int = LENGTH, sample_of: int = SAMPLE_OF) -> np.ndarray:

@@ -13,6 +13,7 @@ import xxhash
 import zstandard
 
 from leadtide.llm import chunks, fingerprints, langid, mixing, packing, pii, quality, simhash, suffixes, toxicity
+from leadtide.llm.common import row_key
 from leadtide.llm.components import components
 from tests.llm.cases import ROWS, clashing, documents, rows, words
 
@@ -474,6 +475,16 @@ def test_repeats_in_a_batch_travel_beside_the_ranges(monkeypatch):
         assert bytes(x for i, x in enumerate(text.encode()) if i not in gone) == kept
 
 
+def test_splitters_of_few_long_texts(spark, monkeypatch):
+    monkeypatch.setattr(suffixes, "RANGE_BYTES", 100_000)
+    letters = np.random.default_rng(5).integers(97, 123, 2_000_000, dtype=np.uint8).tobytes().decode()
+    docs = spark.createDataFrame([(i, letters[i * 500_000 :][:500_000]) for i in range(4)], "doc_id long, text string")
+    docs = docs.select("doc_id", "text", row_key().alias("key"))
+    assert not docs.where("pmod(xxhash64(key), 64) = 0").count()  # no whole document is of the sample
+    cuts = suffixes.splitters(docs)
+    assert len(cuts) == 19 and len(set(cuts.tolist())) == 19
+
+
 def test_suffix_sort():
     r = np.random.default_rng(6)
     raw = r.integers(97, 99, 4000, dtype=np.uint8)
