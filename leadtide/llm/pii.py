@@ -5,6 +5,8 @@ is a protected entity.  For each term that stands near entities, corpus counts g
 pointwise mutual information with the entity, PMI = log2(n * both / (term * entity)), and the
 entity's own information, IC = -log2(entity / n).  PMI / IC is the share of the entity that
 the term discloses; a term whose share reaches the threshold is a span of its own there.
+There is no least count: the entity's frequency among a term's documents is smoothed as if
+``SMOOTHING`` more documents held the term, with the entity as often as in the whole corpus.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql.types import StructType
 
 from leadtide.llm.common import pieces, restored, row_key, sheltered, stored
@@ -27,8 +29,10 @@ CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
 #: Words on each side of an entity that count as its terms.
 NEAR_WORDS = 8
-#: A term discloses an entity from this share of its information on, seen in so many documents.
-THRESHOLD, LEAST_DOCUMENTS = 0.8, 3
+#: A term discloses an entity from this share of its information on.
+THRESHOLD = 0.8
+#: Documents added to those of a term, with entities as often as in all.
+SMOOTHING = 2
 #: Terms are words of at least so many characters.
 LEAST_CHARS = 4
 BATCH_BYTES = 4 << 20
@@ -151,13 +155,16 @@ def term_counts(docs: DataFrame) -> DataFrame:
     return docs.select("text").mapInArrow(run, "term string, n long").groupBy("term").agg(F.sum("n").alias("documents"))
 
 
-def disclosing(scanned: DataFrame, docs: DataFrame, threshold: float, least_documents: int) -> DataFrame:
+def mutual(both: Column, documents: Column, holders: Column, total: Column) -> Column:
+    """PMI of a term of ``documents`` and an entity of ``holders`` documents, smoothed."""
+    usual = holders / total
+    return F.log2((both + SMOOTHING * usual) / (documents + SMOOTHING) / usual)
+
+
+def disclosing(scanned: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
     """(entity, term, share) of the pairs at or over the threshold."""
     each = scanned.select("key", F.explode("near").alias("at")).select("key", "at.entity", "at.term").distinct()
-    together = stored(
-        each.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")).where(F.col("both") >= least_documents),
-        "disclosing-pairs",
-    )
+    together = stored(each.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")), "disclosing-pairs")
     holders = (
         scanned.select("key", F.explode("near.entity").alias("entity")).distinct()
         .groupBy("entity").agg(F.count(F.lit(1)).alias("holders"))
@@ -168,21 +175,21 @@ def disclosing(scanned: DataFrame, docs: DataFrame, threshold: float, least_docu
     shares = (
         together.join(terms, "term").join(holders, "entity").join(F.broadcast(total))  # one row
         .withColumn("information", -F.log2(F.col("holders") / F.col("total")))
-        .withColumn("mutual", F.log2(F.col("total") * F.col("both") / (F.greatest("documents", "both") * F.col("holders"))))
+        .withColumn("mutual", mutual(F.col("both"), F.greatest("documents", "both"), F.col("holders"), F.col("total")))
     )
     return shares.where((F.col("information") > 0) & (F.col("mutual") >= threshold * F.col("information"))).select(
         "entity", "term", (F.col("mutual") / F.col("information")).alias("share")
     )
 
 
-def find(docs: DataFrame, threshold: float = THRESHOLD, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
+def find(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """(key, doc_id, base, terms) for each distinct row: fixed spans, and the spans of disclosing terms.
 
     One row for each key, so rows equal in doc_id and text count once.  A null or empty text
     has no spans.  Only doc_id and text are read.
     """
     scanned = stored(_scan(docs).dropDuplicates(["key"]), "personal-data")
-    pairs = disclosing(scanned, docs, threshold, least_documents)
+    pairs = disclosing(scanned, docs, threshold)
     places = scanned.select("key", F.explode("near").alias("at")).select("key", "at.*")
     terms = (
         places.join(pairs, ["entity", "term"]).select("key", "start", "end").distinct()
@@ -238,13 +245,13 @@ def mask(text: str | None, base: list, terms: list) -> str | None:
     return "".join([*out, text[done:]])
 
 
-def sanitise(docs: DataFrame, threshold: float = THRESHOLD, least_documents: int = LEAST_DOCUMENTS) -> DataFrame:
+def sanitise(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     """The rows of ``docs`` with masked texts, and n_chars (if there is such a column) after masking.
 
     One row out for each row in, repeated rows too; other columns stay as they are, whatever
     their names.  A null text stays null, with its n_chars.
     """
-    found = find(docs, threshold, least_documents).where((F.size("base") > 0) | (F.size("terms") > 0))
+    found = find(docs, threshold).where((F.size("base") > 0) | (F.size("terms") > 0))
     wide = sheltered(docs, "doc_id", "text").withColumn("key", row_key()).join(
         found.select("key", "base", "terms"), "key", "left"
     ).select("doc_id", "text", "_rest", "base", "terms")

@@ -241,6 +241,15 @@ def test_disclosing_terms(spark):
     assert masked[0].n_chars == len(masked[0].text)
 
 
+def test_disclosing_terms_of_a_single_document(spark):
+    texts = [f"common words of {'all' if i % 2 else 'many'} documents" for i in range(400)]
+    texts[7] += " then zanzibar jo@home.example.org of all"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [texts[r.doc_id][t.start : t.end] for t in r.terms] for r in pii.find(docs).collect()}
+    assert set(found.pop(7)) == {"zanzibar", "then"}  # no other document has them
+    assert not any(found.values())
+
+
 def test_quality_counts_by_brute_force():
     for text in [t or "" for _, t, *_ in ROWS if len(t or "") < 10_000] + ["a b c a b c d", "x\nx\n\n \nx y", "a#b $ <>", "a b c " * 30]:
         w = [x for x in __import__("re").split(r"[\x20\x09-\x0D]+", text) if x]
