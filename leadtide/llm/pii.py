@@ -1,10 +1,11 @@
 """Personal data: fixed patterns, then terms that give the protected entities away.
 
 The patterns find e-mail addresses, IP addresses, card and phone numbers.  Each value found
-is a protected entity.  For each term that stands near entities, corpus counts give its
-pointwise mutual information with the entity, PMI = log2(n * both / (term * entity)), and the
-entity's own information, IC = -log2(entity / n).  PMI / IC is the share of the entity that
-the term discloses; a term whose share reaches the threshold is a span of its own there.
+is a protected entity.  For each term of a document that holds entities, counts of documents
+give its pointwise mutual information with an entity, PMI = log2(n * both / (term * entity)),
+and the entity's own information, IC = -log2(entity / n).  PMI / IC is the share of the entity
+that the term discloses; a term whose share reaches the threshold is a span wherever it stands
+in the documents that hold the entity.
 There is no least count: the entity's frequency among a term's documents is smoothed as if
 ``SMOOTHING`` more documents held the term, with the entity as often as in the whole corpus.
 """
@@ -27,19 +28,16 @@ EMAIL = re.compile(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+")
 IP = re.compile(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)")
 CARD = re.compile(r"[0-9]([\x20-]?[0-9])+")
 PHONE = re.compile(r"\+[0-9][\x20().0-9-]+[0-9]")
-#: Words on each side of an entity that count as its terms.
-NEAR_WORDS = 8
 #: A term discloses an entity from this share of its information on.
 THRESHOLD = 0.8
 #: Documents added to those of a term, with entities as often as in all.
 SMOOTHING = 2
-#: Terms are words of at least so many characters.
-LEAST_CHARS = 4
 BATCH_BYTES = 4 << 20
 #: A worker hands on its term counts when it holds so many.
 MOST_TERMS = 200_000
 
-_WORD = re.compile(r"[^\W\d_]{%d,}" % LEAST_CHARS)
+#: Terms are runs of letters and digits.
+_WORD = re.compile(r"[^\W_]+")
 _LOCAL = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789._%+-")
 
 
@@ -78,59 +76,68 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(out)
 
 
-def nearby_terms(text: str, spans: list[tuple[int, int, int]]) -> list[tuple[str, str, int, int]]:
-    """(entity, term, start, end) of the words near each span; words inside a span are none."""
-    out = []
-    taken = [(s, e) for s, _, e in spans]
-    for start, kind, end in spans:
-        entity = f"{KINDS[kind]}:{text[start:end]}"
-        after = []
-        for m in _WORD.finditer(text, end):
-            after.append(m)
-            if len(after) == NEAR_WORDS:
-                break
-        reach = 64
-        while True:  # back far enough for as many words before
-            left = max(0, start - reach)
-            before = list(_WORD.finditer(text, left, start))
-            if left == 0 or len(before) > NEAR_WORDS:
-                break
-            reach *= 2
-        if left:
-            before = before[1:]  # the first may be the rest of a word
-        for m in before[-NEAR_WORDS:] + after:
-            if not any(s < m.end() and m.start() < e for s, e in taken):
-                out.append((entity, m[0].lower(), m.start(), m.end()))
+def terms_of(text: str, taken: list[tuple[int, int]]) -> Iterator[tuple[str, int, int]]:
+    """(term, start, end) of each word; words that reach into the spans ``taken``, in order, are none."""
+    k = 0
+    for m in _WORD.finditer(text):
+        while k < len(taken) and taken[k][1] <= m.start():
+            k += 1
+        if k == len(taken) or taken[k][0] >= m.end():
+            yield m[0].lower(), m.start(), m.end()
+
+
+def _taken(base: list) -> list[tuple[int, int]]:
+    """Base spans in order, overlapping ones made one."""
+    out: list[tuple[int, int]] = []
+    for start, end in sorted((x["start"], x["end"]) for x in base):
+        if out and start < out[-1][1]:
+            out[-1] = (out[-1][0], max(end, out[-1][1]))
+        else:
+            out.append((start, end))
     return out
 
 
 def _scan(docs: DataFrame) -> DataFrame:
-    """(key, doc_id, base, near): the fixed spans and the terms near them, for each row."""
+    """(key, doc_id, base, entities, held) of each row: the fixed spans, their values, and the text if there are any."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, BATCH_BYTES):
-            base, near = [], []
+            base, entities, held = [], [], []
             for text in batch.column("text").to_pylist():
                 spans = base_spans(text) if text else []
                 base.append([{"start": s, "kind": k, "end": e} for s, k, e in spans])
-                near.append([
-                    {"entity": n, "term": t, "start": s, "end": e} for n, t, s, e in nearby_terms(text, spans)
-                ] if spans else [])
-            long, text = pa.int64(), pa.string()
+                entities.append(sorted({f"{KINDS[k]}:{text[s:e]}" for s, k, e in spans}))
+                held.append(text if spans else None)
+            long, string = pa.int64(), pa.string()
             yield pa.RecordBatch.from_arrays(
                 [batch.column("key"), batch.column("doc_id"),
                  pa.array(base, pa.list_(pa.struct([("start", long), ("kind", long), ("end", long)]))),
-                 pa.array(near, pa.list_(pa.struct([("entity", text), ("term", text), ("start", long), ("end", long)])))],
-                ["key", "doc_id", "base", "near"],
+                 pa.array(entities, pa.list_(string)), pa.array(held, string)],
+                ["key", "doc_id", "base", "entities", "held"],
             )
 
     return docs.select(row_key().alias("key"), F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(
         run,
         "key binary, doc_id long, base array<struct<start: long, kind: long, end: long>>, "
-        "near array<struct<entity: string, term: string, start: long, end: long>>",
+        "entities array<string>, held string",
     )
 
 
+def _terms(scanned: DataFrame) -> DataFrame:
+    """(key, term): the words of each document that holds entities, once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, BATCH_BYTES, "held"):
+            keys, terms = [], []
+            for key, base, text in zip(*(batch.column(c).to_pylist() for c in ("key", "base", "held"))):
+                own = {t for t, _, _ in terms_of(text, _taken(base))}
+                keys += [key] * len(own)
+                terms += own
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(terms, pa.string())], ["key", "term"])
+
+    return scanned.where(F.size("entities") > 0).select("key", "base", "held").mapInArrow(run, "key binary, term string")
+
+
 def term_counts(docs: DataFrame) -> DataFrame:
     """(term, documents): in how many documents each word stands."""
 
@@ -147,7 +154,7 @@ def term_counts(docs: DataFrame) -> DataFrame:
         for batch in pieces(batches, BATCH_BYTES):
             for text in batch.column("text").to_pylist():
                 if text:
-                    seen.update(set(_WORD.findall(text.lower())))
+                    seen.update({w.lower() for w in set(_WORD.findall(text))})
                     if len(seen) > MOST_TERMS:
                         yield table()
         yield table()
@@ -162,24 +169,47 @@ def mutual(both: Column, documents: Column, holders: Column, total: Column) -> C
 
 
 def disclosing(scanned: DataFrame, docs: DataFrame, threshold: float) -> DataFrame:
-    """(entity, term, share) of the pairs at or over the threshold."""
-    each = scanned.select("key", F.explode("near").alias("at")).select("key", "at.entity", "at.term").distinct()
-    together = stored(each.groupBy("entity", "term").agg(F.count(F.lit(1)).alias("both")), "disclosing-pairs")
-    holders = (
-        scanned.select("key", F.explode("near.entity").alias("entity")).distinct()
-        .groupBy("entity").agg(F.count(F.lit(1)).alias("holders"))
-    )
-    wanted = together.select("term").distinct()
-    terms = term_counts(docs).join(wanted, "term", "left_semi")
+    """(key, term) of the terms that disclose an entity of the document, at or over the threshold.
+
+    Entities of the same documents have the same counts with every term, so they are one group
+    (told apart by their number of documents and 128 bits of these).
+    """
+    each = scanned.select("key", F.explode("entities").alias("entity"))
     total = scanned.agg(F.count(F.lit(1)).alias("total"))
-    shares = (
-        together.join(terms, "term").join(holders, "entity").join(F.broadcast(total))  # one row
-        .withColumn("information", -F.log2(F.col("holders") / F.col("total")))
-        .withColumn("mutual", mutual(F.col("both"), F.greatest("documents", "both"), F.col("holders"), F.col("total")))
+    entities = stored(
+        each.groupBy("entity").agg(
+            F.count(F.lit(1)).alias("holders"), F.bit_xor(F.xxhash64("key")).alias("high"),
+            F.bit_xor(F.xxhash64("key", F.lit(1))).alias("low"),
+        ).join(F.broadcast(total)).where(F.col("holders") < F.col("total")),  # one row
+        "disclosing-entities",
+    )
+    group = ["holders", "high", "low"]
+    groups = each.join(entities, "entity").select("key", "total", *group).distinct()
+    information = -F.log2(F.col("holders") / F.col("total"))
+
+    def reaches(both: Column) -> Column:
+        return mutual(both, F.col("documents"), F.col("holders"), F.col("total")) >= threshold * information
+
+    # No term of more documents can reach the threshold, even if it stood in each one of an entity.
+    most = entities.agg(F.max("holders").alias("holders"), F.max("total").alias("total")).select(
+        ((F.col("total") + SMOOTHING) * F.pow(F.col("holders") / F.col("total"), F.lit(threshold)) + 1).alias("most")
+    )
+    terms = stored(
+        term_counts(docs).join(F.broadcast(most)).where(F.col("documents") <= F.col("most")).drop("most"), "disclosing-terms"
     )
-    return shares.where((F.col("information") > 0) & (F.col("mutual") >= threshold * F.col("information"))).select(
-        "entity", "term", (F.col("mutual") / F.col("information")).alias("share")
+    pairs = stored(
+        _terms(scanned).join(terms, "term").join(groups, "key").where(reaches(F.least("documents", "holders"))),
+        "disclosing-pairs",
     )
+    shares = stored(
+        pairs.where("holders > 1").groupBy("term", "documents", "total", *group).agg(F.count(F.lit(1)).alias("both"))
+        .where(reaches(F.col("both"))).select("term", *group),
+        "disclosing-shares",
+    )
+    # A term with an entity of one document stands there, so those pairs are decided.
+    return pairs.where("holders = 1").select("key", "term").union(
+        pairs.where("holders > 1").join(shares, ["term", *group]).select("key", "term")
+    ).distinct()
 
 
 def find(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
@@ -189,15 +219,26 @@ def find(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     has no spans.  Only doc_id and text are read.
     """
     scanned = stored(_scan(docs).dropDuplicates(["key"]), "personal-data")
-    pairs = disclosing(scanned, docs, threshold)
-    places = scanned.select("key", F.explode("near").alias("at")).select("key", "at.*")
-    terms = (
-        places.join(pairs, ["entity", "term"]).select("key", "start", "end").distinct()
-        .groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "end"))).alias("terms"))  # of one text
-    )
-    none = F.array().cast("array<struct<start: long, end: long>>")
-    return scanned.select("key", "doc_id", "base").join(terms, "key", "left").withColumn(
-        "terms", F.coalesce("terms", none)
+    terms = disclosing(scanned, docs, threshold).groupBy("key").agg(F.collect_list("term").alias("wanted"))  # of one text
+    wide = scanned.drop("entities").join(terms, "key", "left")
+    places = "array<struct<start: long, end: long>>"
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, BATCH_BYTES, "held"):
+            found = []
+            for base, text, wanted in zip(*(batch.column(c).to_pylist() for c in ("base", "held", "wanted"))):
+                known = frozenset(wanted or ())
+                found.append([
+                    {"start": s, "end": e} for t, s, e in terms_of(text, _taken(base)) if t in known
+                ] if known else [])
+            kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in ("key", "doc_id", "base")), pa.array(found, kind)],
+                ["key", "doc_id", "base", "terms"],
+            )
+
+    return wide.mapInArrow(
+        run, f"key binary, doc_id long, base array<struct<start: long, kind: long, end: long>>, terms {places}"
     )
 
 

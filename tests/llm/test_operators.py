@@ -250,6 +250,20 @@ def test_disclosing_terms_of_a_single_document(spark):
     assert not any(found.values())
 
 
+def test_disclosing_terms_of_whole_documents(spark):
+    texts = [f"common words of {'all' if i % 2 else 'many'} documents" for i in range(400)]
+    texts[7] = f"Li 4471 {texts[7]} {'of all ' * 20} jo@home.example.org {'of all ' * 20} signed zanzibar, zanzibar LI"
+    for i in (20, 21, 22):
+        texts[i] = f"Ed Quux {'of all ' * 20} {texts[i]} eve@home.example.org or 10.1.2.3"
+    texts[30] += " signed or"
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    found = {r.doc_id: [texts[r.doc_id][t.start : t.end] for t in r.terms] for r in pii.find(docs).collect()}
+    assert found.pop(7) == ["Li", "4471", "zanzibar", "zanzibar", "LI"]  # another document has "signed"
+    for i in (20, 21, 22):
+        assert found.pop(i)[:2] == ["Ed", "Quux"]
+    assert not any(found.values())
+
+
 def test_quality_counts_by_brute_force():
     for text in [t or "" for _, t, *_ in ROWS if len(t or "") < 10_000] + ["a b c a b c d", "x\nx\n\n \nx y", "a#b $ <>", "a b c " * 30]:
         w = [x for x in __import__("re").split(r"[\x20\x09-\x0D]+", text) if x]
