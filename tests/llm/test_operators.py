@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import itertools
+import json
 import zlib
 
 import numpy as np
@@ -148,6 +149,25 @@ def test_tokens_equal_tokenizers():
         assert np.frombuffer(ids.of(text), "<u4").tolist() == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
 
 
+@pytest.mark.parametrize("flags", [{}, {"lstrip": True, "single_word": True}])
+def test_added_tokens_equal_tokenizers(tmp_path, flags):
+    from tokenizers import Tokenizer
+
+    with open(tokenizer_path(), encoding="utf-8") as file:
+        held = json.load(file)
+    end = held["added_tokens"][0]
+    held["added_tokens"].append({**end, "id": end["id"] + 1, "content": end["content"] + "!", **flags})
+    path = str(tmp_path / "tokenizer.json")
+    with open(path, "w", encoding="utf-8") as file:
+        json.dump(held, file)
+    for name in (tokenizer_path(), path):
+        tokenizer, ids = Tokenizer.from_file(name), packing.TokenIds(name)
+        e = end["content"]
+        for text in [f"x {e} y", e, f"{e}{e}", f"a  {e}\n b", f"a {e}! b", f"a{e}!b {e} ", f"<|{e}|>", e[:-1], f"é{e}\t z  y"]:
+            want = tokenizer.encode(text, add_special_tokens=False).ids
+            assert np.frombuffer(ids.of(text), "<u4").tolist() == want, (name, text)
+
+
 def test_differencing_keeps_all_and_levels():
     sizes = [int(x) for x in np.random.default_rng(1).integers(1, 257, 500)]
     windows = packing.near_equal_windows(sizes)
