@@ -139,3 +139,40 @@ def sigmoid(x: np.ndarray) -> np.ndarray:
 def split_of(doc_id: Column) -> Column:
     """crc32 of the doc_id as text, modulo 4; 2 marks the rows held out of all learning."""
     return F.coalesce(F.pmod(F.crc32(doc_id.cast("string").cast("binary")), F.lit(4)), F.lit(0)).cast("int")
+
+
+def byte_runs(
+    raw: np.ndarray, starts: np.ndarray, inside: np.ndarray, cut: np.ndarray | None = None
+) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Maximal runs of bytes that the table ``inside`` (256 flags) marks, as (row, begin, end).
+
+    No run goes across rows, nor across a place where ``cut`` (a flag for each byte) tells to begin anew.
+    """
+    keep = np.zeros(len(raw) + 2, bool)
+    keep[1:-1] = inside[raw]
+    anew = np.zeros(len(raw) + 1, bool)
+    if cut is not None:
+        anew[:-1] = cut
+    anew[starts] = True
+    begin = np.flatnonzero(keep[1:-1] & (~keep[:-2] | anew[:-1]))
+    end = np.flatnonzero(keep[1:-1] & (~keep[2:] | anew[1:])) + 1
+    return np.searchsorted(starts, begin, "right") - 1, begin, end
+
+
+def spread_ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """All positions of the ranges that begin at ``begin``, one range after the other."""
+    ends = np.cumsum(length)
+    total = int(ends[-1]) if len(ends) else 0
+    return np.repeat(begin - ends + length, length) + np.arange(total)
+
+
+def strings_at(raw: np.ndarray, begin: np.ndarray, length: np.ndarray) -> pa.Array:
+    """The strings whose UTF-8 bytes lie at the given ranges."""
+    offsets = np.concatenate([[0], np.cumsum(length)]).astype(np.int64)
+    held = np.ascontiguousarray(raw[spread_ranges(begin, length)])
+    return pa.Array.from_buffers(pa.large_string(), len(begin), [None, pa.py_buffer(offsets), pa.py_buffer(held)])
+
+
+def lower_ascii(raw: np.ndarray) -> np.ndarray:
+    """A copy with the bytes A-Z in lower case."""
+    return raw + ((raw >= 65) & (raw <= 90)).astype(np.uint8) * np.uint8(32)

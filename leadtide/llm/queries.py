@@ -8,7 +8,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 import corpus_pipeline
-from leadtide.llm import chunks, fingerprints, langid, mixing, packing, pii, quality, simhash, suffixes, toxicity
+from leadtide.llm import (
+    chunks, divergence, fingerprints, langid, mixing, packing, phrases, pii, quality, simhash, suffixes, toxicity, vectorfit,
+)
 from leadtide.llm.common import documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -150,6 +152,114 @@ FROM bytes JOIN kept USING (doc_id)
 """
 
 
+@query
+def op11_vectorfit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers
+
+    return vectorfit.pack(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"), tokens=False)
+
+
+@query
+def op12_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return phrases.collocations(documents(spark, sf_dir))
+
+
+ORACLE["op12_phrases"] = """
+WITH texts AS (
+  SELECT coalesce(lang, 'und') AS lang,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), cut AS (
+  SELECT lang, unnest(regexp_split_to_array(text, '[.,;:!?\\x0A-\\x0D]')) AS piece FROM texts
+), pieces AS (
+  SELECT lang, row_number() OVER () AS piece_id, regexp_extract_all(piece, '[^\\x20\\x09]+') AS words FROM cut
+), words AS (
+  SELECT lang, piece_id, unnest(words) AS w, generate_subscripts(words, 1) AS i FROM pieces
+), sizes AS (
+  SELECT lang, count(*) AS n FROM words GROUP BY lang
+), next AS (
+  SELECT lang, w, lead(w) OVER piece AS x, lead(w, 2) OVER piece AS y FROM words WINDOW piece AS (PARTITION BY piece_id ORDER BY i)
+), grams AS (
+  SELECT lang, 1 AS size, w AS phrase FROM next
+  UNION ALL
+  SELECT lang, 2, w || ' ' || x FROM next WHERE x IS NOT NULL
+  UNION ALL
+  SELECT lang, 3, w || ' ' || x || ' ' || y FROM next WHERE y IS NOT NULL
+), counts AS (
+  SELECT lang, size, phrase, count(*) AS n, {'lang': lang, 'part': phrase} AS key FROM grams GROUP BY lang, size, phrase
+), candidates AS (
+  SELECT lang, size, phrase, n, string_split(phrase, ' ') AS w FROM counts WHERE size > 1 AND n >= 10
+), cuts AS (
+  SELECT lang, phrase, size, n AS a, k, {'lang': lang, 'part': array_to_string(w[1:k], ' ')} AS head,
+         {'lang': lang, 'part': array_to_string(w[k + 1:], ' ')} AS tail
+  FROM (SELECT *, unnest(range(1, size)) AS k FROM candidates)
+), scored AS (
+  SELECT c.lang, c.phrase, c.size, c.a, c.k, h.n AS l, t.n AS r,
+         (1000000::HUGEINT * c.a * c.a // (h.n::HUGEINT * t.n))::BIGINT AS score
+  FROM cuts c JOIN counts h ON h.key = c.head JOIN counts t ON t.key = c.tail
+), lowest AS (
+  SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1
+), holders AS (
+  SELECT lang, unnest([w[1] || ' ' || w[2], w[2] || ' ' || w[3]]) AS phrase, n FROM candidates WHERE size = 3
+), most AS (
+  SELECT lang, phrase, max(n) AS holder FROM holders GROUP BY ALL
+), free AS (
+  SELECT s.* FROM lowest s LEFT JOIN most m USING (lang, phrase)
+  WHERE s.size = 3 OR m.holder IS NULL OR 100 * m.holder < 50 * s.a
+)
+SELECT lang, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS rank,
+       phrase, a, l, r, n, score
+FROM free JOIN sizes USING (lang)
+QUALIFY rank <= 2000
+"""
+
+
+@query
+def op13_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(documents(spark, sf_dir))
+
+
+ORACLE["op13_divergence"] = """
+WITH texts AS (
+  SELECT row_number() OVER () AS d, coalesce(lang, '') AS lang, coalesce(source, '') AS source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS text
+  FROM documents
+), groups AS (
+  SELECT DISTINCT lang, source FROM texts
+), terms AS (
+  SELECT d, lang, source, unnest(regexp_extract_all(text, '[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term FROM texts
+), kept AS (
+  SELECT lang, term FROM terms GROUP BY ALL HAVING count(DISTINCT d) >= 30
+), counts AS (
+  SELECT lang, source, term, count(*) AS n FROM terms SEMI JOIN kept USING (lang, term) GROUP BY ALL
+), dense AS (
+  SELECT g.lang, g.source, k.term, coalesce(c.n, 0)::HUGEINT AS n
+  FROM groups g JOIN kept k USING (lang) LEFT JOIN counts c USING (lang, source, term)
+), shares AS (
+  SELECT lang, source, term, n, 1 + 1000000000 * (n + 5)
+           // (sum(n) OVER (PARTITION BY lang, source) + 5 * count(*) OVER (PARTITION BY lang, source)) AS p
+  FROM dense
+), lang_counts AS (
+  SELECT lang, term, sum(n) AS n FROM dense GROUP BY ALL
+), lang_shares AS (
+  SELECT lang, term, 1 + 1000000000 * (n + 5)
+           // (sum(n) OVER (PARTITION BY lang) + 5 * count(*) OVER (PARTITION BY lang)) AS q
+  FROM lang_counts
+), found AS (
+  SELECT a.lang, a.source, 'pair' AS part, b.source AS item,
+         coalesce((SELECT sum(abs(x.p - y.p)) FROM shares x JOIN shares y ON x.lang = y.lang AND x.term = y.term
+                   WHERE x.lang = a.lang AND x.source = a.source AND y.source = b.source), 0)::BIGINT AS value
+  FROM groups a JOIN groups b ON a.lang = b.lang AND a.source <> b.source
+  UNION ALL
+  SELECT lang, source, 'term', term, (p - q)::BIGINT FROM shares JOIN lang_shares USING (lang, term) WHERE n > 0 AND p > q
+)
+SELECT lang, source, part, item, value,
+       (row_number() OVER (PARTITION BY lang, source, part ORDER BY value DESC, item))::INTEGER AS rank
+FROM found
+QUALIFY part = 'pair' OR rank <= 50
+"""
+
+
 @query
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     return corpus_pipeline.run(spark, sf_dir)
