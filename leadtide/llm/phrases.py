@@ -37,7 +37,9 @@ LEAST_IN_SAMPLE = 2
 #: Bits of a bitmap of proposals, 8 MB: a power of two and a multiple of the bits of one bucket.
 BITS = 1 << 26
 BUCKET_BITS = 32768
-BATCH_BYTES = 8 << 20
+BATCH_BYTES = 4 << 20
+#: Cells of the table that numbers the words of a batch.
+MOST_CELLS = 8 << 20
 SALTS = 16
 
 _BLANK = pa.scalar(" ", pa.large_string())
@@ -67,19 +69,28 @@ def _held(bitmap: np.ndarray, hashes: np.ndarray) -> np.ndarray:
     return (bitmap[at >> np.uint64(3)] >> (at & np.uint64(7)).astype(np.uint8)) & 1 == 1
 
 
-def word_hashes(langs: list[str], words: list[str]) -> np.ndarray:
-    seeds: dict[str, int] = {}
-    for lang in set(langs):
-        seeds[lang] = xxhash.xxh64_intdigest(lang.encode("utf-8"))
-    found = [xxhash.xxh64_intdigest(w.encode("utf-8"), seeds[lang]) for lang, w in zip(langs, words)]
-    return np.array(found, np.uint64)
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+def word_hashes(langs: pa.Array, words: pa.Array) -> np.ndarray:
+    """A hash of each (lang, word); words are not empty."""
+    if not len(words):
+        return np.zeros(0, np.uint64)
+    coded = langs.dictionary_encode()
+    seeds = [xxhash.xxh64_intdigest(lang.encode("utf-8")) for lang in coded.dictionary.to_pylist()]
+    raw, starts = text_bytes(words)
+    length = np.diff(starts)
+    powers = np.cumprod(np.full(int(length.max()), 0x9E3779B97F4A7C15, np.uint64))
+    terms = (raw.astype(np.uint64) + np.uint64(1)) * powers[np.arange(len(raw)) - np.repeat(starts[:-1], length)]
+    return _mixed(np.add.reduceat(terms, starts[:-1]) ^ np.array(seeds, np.uint64)[coded.indices.to_numpy()])
 
 
 def pair_hashes(first: np.ndarray, second: np.ndarray) -> np.ndarray:
     """A hash of each pair from those of its words."""
-    x = first * np.uint64(0x9E3779B97F4A7C15) + (second ^ (second >> np.uint64(29)))
-    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
-    return x ^ (x >> np.uint64(32))
+    return _mixed(first * np.uint64(0x9E3779B97F4A7C15) + second)
 
 
 class Words:
@@ -96,10 +107,16 @@ class Words:
         words = strings_at(raw, begin, end - begin).dictionary_encode()
         many = max(1, len(words.dictionary))
         key = langs.indices.to_numpy()[row].astype(np.int64) * many + words.indices.to_numpy()
-        keys, self.number = np.unique(key, return_inverse=True)
+        if len(langs.dictionary) * many <= MOST_CELLS:  # numbered by a table, without a sort
+            seen = np.zeros(len(langs.dictionary) * many, bool)
+            seen[key] = True
+            keys = np.flatnonzero(seen)
+            self.number = (np.cumsum(seen) - 1)[key]
+        else:
+            keys, self.number = np.unique(key, return_inverse=True)
         self.langs = langs.dictionary.take(pa.array(keys // many)).cast(pa.large_string())
         self.texts = words.dictionary.take(pa.array(keys % many))
-        self.hashes = word_hashes(self.langs.to_pylist(), self.texts.to_pylist())
+        self.hashes = word_hashes(self.langs, self.texts)
 
     def after(self) -> np.ndarray:
         """Places of words that the next word follows in the same piece."""
@@ -179,9 +196,9 @@ def _count_rows(batch: pa.RecordBatch, now: Proposals, before: Proposals | None)
 def _hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """(kind, hash) of frequent words and pairs."""
     for batch in batches:
-        langs, parts = batch.column("lang").to_pylist(), [p.split(" ") for p in batch.column("phrase").to_pylist()]
-        hashes = word_hashes(langs, [p[0] for p in parts])
-        last = word_hashes(langs, [p[-1] for p in parts])
+        langs, parts = batch.column("lang"), [p.split(" ") for p in batch.column("phrase").to_pylist()]
+        hashes = word_hashes(langs, pa.array([p[0] for p in parts], pa.string()))
+        last = word_hashes(langs, pa.array([p[-1] for p in parts], pa.string()))
         size = batch.column("size").to_numpy()
         hashes = np.where(size == 2, pair_hashes(hashes, last), hashes) if len(size) else hashes
         yield pa.RecordBatch.from_arrays(
