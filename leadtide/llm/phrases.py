@@ -38,11 +38,13 @@ LEAST_IN_SAMPLE = 2
 BITS = 1 << 26
 BUCKET_BITS = 32768
 BATCH_BYTES = 4 << 20
+#: Rows of a batch that a task gives out.
+OUT_ROWS = 1 << 16
 #: Cells of the table that numbers the words of a batch.
 MOST_CELLS = 8 << 20
 SALTS = 16
 
-_BLANK = pa.scalar(" ", pa.large_string())
+_BLANK, _LINE_END = pa.scalar(" ", pa.large_string()), pa.scalar("\n", pa.large_string())
 _SPACE = np.zeros(256, bool)
 _SPACE[[9, 32]] = True
 _STOP = np.zeros(256, bool)
@@ -142,27 +144,27 @@ def _sample_rows(batch: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
 
 
 def _count_rows(batch: pa.RecordBatch, now: Proposals, before: Proposals | None) -> Iterator[pa.RecordBatch]:
-    """(lang, size, phrase, n) of what ``now`` has counted and ``before`` has not (None: not even words).
+    """(key, n) of what ``now`` has counted and ``before`` has not (None: not even words).
 
-    Size 0 stands for all words of a lang."""
+    A key is the lang, a line end, which no phrase holds, and the phrase; none stands for all words."""
     w = Words(batch)
 
-    def out(size: int, first: np.ndarray, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays(
-            [w.langs.take(pa.array(first)).cast(pa.string()), pa.array(np.full(len(counts), size, np.int32)),
-             phrases.cast(pa.string()), pa.array(counts.astype(np.int64))],
-            ["lang", "size", "phrase", "n"],
-        )
+    def out(keys: pa.Array, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for low in range(0, len(counts), OUT_ROWS):
+            part = slice(low, low + OUT_ROWS)
+            yield pa.RecordBatch.from_arrays([keys[part].cast(pa.string()), pa.array(counts[part], pa.int64())], ["key", "n"])
 
     if not len(w.number):
         return
+    words = pc.binary_join_element_wise(w.langs, w.texts, _LINE_END)
     if before is None:
         counts = np.bincount(w.number, minlength=len(w.hashes))
-        every = np.arange(len(counts))
-        yield out(1, every, w.texts, counts)
+        yield from out(words, counts)
         lang = w.langs.dictionary_encode().indices.to_numpy()  # rises, as entries are in order of lang
         first = np.flatnonzero(np.diff(lang, prepend=-1))
-        yield out(0, first, pa.array([""] * len(first), pa.large_string()), np.add.reduceat(counts, first))
+        none = pa.array([""] * len(first), pa.large_string())
+        langs = pc.binary_join_element_wise(w.langs.take(pa.array(first)), none, _LINE_END)
+        yield from out(langs, np.add.reduceat(counts, first))
     many = len(w.hashes)
     at = w.after()
 
@@ -176,11 +178,11 @@ def _count_rows(batch: pa.RecordBatch, now: Proposals, before: Proposals | None)
     keys, counts, number = _counted(w.number[at_in].astype(np.int64) * many + w.number[at_in + 1])
     first, second = keys // many, keys % many
     hashes = pair_hashes(w.hashes[first], w.hashes[second])
-    texts = pc.binary_join_element_wise(w.texts.take(pa.array(first)), w.texts.take(pa.array(second)), _BLANK)
+    texts = pc.binary_join_element_wise(words.take(pa.array(first)), w.texts.take(pa.array(second)), _BLANK)
     fresh = np.zeros(len(keys), bool)
     fresh[number[beyond[inside]]] = True
     new = np.flatnonzero(fresh)
-    yield out(2, first[new], texts.take(pa.array(new)), counts[new])
+    yield from out(texts if len(new) == len(texts) else texts.take(pa.array(new)), counts[new])
     # triples of two proposed pairs, one after the other
     ok = _held(now.pairs, hashes)[number]
     next_ = np.flatnonzero((at_in[1:] == at_in[:-1] + 1) & ok[1:] & ok[:-1])
@@ -189,8 +191,9 @@ def _count_rows(batch: pa.RecordBatch, now: Proposals, before: Proposals | None)
         next_ = next_[~(was[next_] & was[next_ + 1])]
     triples, counts, _ = _counted(number[next_].astype(np.int64) * many + w.number[at_in[next_] + 2])
     pair, third = triples // many, triples % many
-    both = pc.binary_join_element_wise(texts.take(pa.array(pair)), w.texts.take(pa.array(third)), _BLANK)
-    yield out(3, first[pair], both, counts)
+    yield from out(
+        pc.binary_join_element_wise(texts.take(pa.array(pair)), w.texts.take(pa.array(third)), _BLANK), counts
+    )
 
 
 def _hash_rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -266,9 +269,15 @@ def frequent_phrases(
             for batch in pieces(batches, BATCH_BYTES):
                 yield from _count_rows(batch, now, before)
 
-        rows = texts.mapInArrow(run, "lang string, size int, phrase string, n long")
-        sums = rows.groupBy("lang", "size", "phrase").agg(F.sum("n").alias("n"))
-        return stored(sums.where((F.col("n") >= least) | (F.col("size") == 0)), "phrases")
+        # what a batch has counted hardly repeats in a task, so it is dealt out before it is summed
+        sums = texts.mapInArrow(run, "key string, n long").repartition("key").groupBy("key").agg(F.sum("n").alias("n"))
+        phrase = F.substring_index("key", "\n", -1)
+        frequent = sums.withColumn("phrase", phrase).where((F.col("n") >= least) | (F.col("phrase") == ""))
+        blanks = F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit("")))
+        return stored(frequent.select(
+            F.expr("left(key, length(key) - length(phrase) - 1)").alias("lang"),
+            F.when(F.col("phrase") == "", 0).otherwise(blanks + 1).alias("size"), "phrase", "n",
+        ), "phrases")
 
     now, before = propose(texts, sample_of, least_in_sample), None
     found = None
