@@ -1,12 +1,11 @@
 """Keyword detection: which technologies of a config table a posting names.
 
 A technology is found when one of its keywords is a substring of the lower-cased title or
-description.  The config is read once, while the plan is built, and made canonical: rows
-without a name are left out, rows of one name are one technology with the keywords of all.
-Postings are tested where they lie, in one pass: no join, no shuffle.  A short config is
-folded into the plan; a long one travels as a broadcast, whose size is checked, and its
-keywords are sought all at once by an automaton in Arrow batches.  Both test the same list
-for the same condition.
+description.  Rows of the config without a name are left out, rows of one name are one
+technology with the keywords of all.  A short config is read while the plan is built and
+folded into it: postings are tested where they lie, in one pass, with no join and no shuffle.
+A long one is never read by the driver: it is a table, joined by an index of grams
+(``gramindex``).  Both test the same condition.
 """
 
 from __future__ import annotations
@@ -14,19 +13,15 @@ from __future__ import annotations
 import json
 from collections.abc import Iterable
 from dataclasses import dataclass
-from functools import lru_cache
 
-import ahocorasick
-import pandas as pd
-from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, functions as F
 
-# What is folded into a plan; more goes to the automaton.
+from leadtide.operators.gramindex import substring_hits, text_key, with_found
+
+# What is folded into a plan; more is joined as a table.
 MAX_TECHS = 250
 MAX_KEYWORDS = 2_000
 MAX_KEYWORD_CHARS = 100_000
-#: A config of more characters is refused: it would not fit the memory of a worker.
-MAX_CONFIG_CHARS = 64_000_000
 
 MASK_BITS = 62  # technologies per BIGINT mask
 
@@ -39,10 +34,11 @@ class Tech:
 
 @dataclass(frozen=True)
 class Techs:
-    """The canonical config, ordered by name."""
+    """The canonical config: rows ordered by name where it is folded into plans, else the table."""
 
     rows: list[Tech]
-    small: bool  # whether it is folded into plans
+    small: bool
+    table: DataFrame
 
 
 def _needed(keywords: Iterable[str | None]) -> tuple[str, ...]:
@@ -59,8 +55,7 @@ def _canonical(rows) -> list[Tech]:
     for name, keywords in rows:
         if name is not None:
             words.setdefault(name, set()).update(k for k in keywords or [] if k is not None)
-    many = sum(map(len, words.values())) > MAX_KEYWORDS
-    return [Tech(name, tuple(sorted(words[name])) if many else _needed(words[name])) for name in sorted(words)]
+    return [Tech(name, _needed(words[name])) for name in sorted(words)]
 
 
 def read_techs(
@@ -69,7 +64,7 @@ def read_techs(
     max_keywords: int = MAX_KEYWORDS,
     max_chars: int = MAX_KEYWORD_CHARS,
 ) -> Techs:
-    """Read the config (runs a job, two for a long one).  The limits choose the plan only."""
+    """Read the config up to the limits (runs a job), which choose the plan only."""
     words = F.coalesce("keywords", F.array().cast("array<string>"))
     chars = F.aggregate(words, F.lit(0), lambda n, k: n + F.coalesce(F.length(k), F.lit(0)))
     within = (F.size(words) <= max_keywords) & (chars <= max_chars)
@@ -78,45 +73,14 @@ def read_techs(
         .limit(max_techs + 1)
         .collect()
     )
-    if (
+    small = (
         len(rows) <= max_techs
         and all(r["keywords"] is not None for r in rows)
         and sum(len(r["keywords"]) for r in rows) <= max_keywords
         and sum(r["chars"] for r in rows) <= max_chars
-    ):
-        return Techs(_canonical((r["tech_name"], r["keywords"]) for r in rows), True)
-    size = config.agg(F.sum(chars.cast("long") + F.coalesce(F.length("tech_name"), F.lit(0)))).first()[0] or 0
-    if size > MAX_CONFIG_CHARS:
-        raise ValueError(f"a config of {size} characters is too large; {MAX_CONFIG_CHARS} are allowed")
-    return Techs(_canonical(config.select("tech_name", "keywords").collect()), False)
-
-
-@lru_cache(maxsize=4)
-def _automaton(words: Broadcast):
-    """(automaton, numbers found in any text) of a broadcast list of keyword tuples; one per worker."""
-    of: dict[str, list[int]] = {}
-    for number, keywords in enumerate(words.value):
-        for keyword in keywords:
-            of.setdefault(keyword, []).append(number)
-    always = of.pop("", [])
-    automaton = ahocorasick.Automaton()
-    for keyword, numbers in of.items():
-        automaton.add_word(keyword, numbers)
-    if of:
-        automaton.make_automaton()
-    return automaton if of else None, always
-
-
-def _found(words: Broadcast, *texts: str | None) -> list[int]:
-    """Numbers of the keyword tuples of which some word occurs in some text, in order."""
-    automaton, always = _automaton(words)
-    found = set(always)
-    if automaton is not None:
-        for text in texts:
-            if text:
-                for _, numbers in automaton.iter(text):
-                    found.update(numbers)
-    return sorted(found)
+    )
+    known = _canonical((r["tech_name"], r["keywords"]) for r in rows) if small else []
+    return Techs(known, small, config)
 
 
 def _bind(value: Column, body) -> Column:
@@ -200,7 +164,7 @@ def with_techs(
     """Add ``techs``, the sorted names found in each posting."""
     techs = config if isinstance(config, Techs) else read_techs(config, **limits)
     if not techs.small:
-        return jobs.withColumn("techs", _sought(jobs, techs.rows)(F.lower(title), F.lower(description)))
+        return _sought(jobs, techs.table, title, description)
     specs = constant(
         [{"name": t.name, "keywords": t.keywords} for t in techs.rows],
         "array<struct<name:string,keywords:array<string>>>",
@@ -213,17 +177,18 @@ def with_techs(
     return jobs.withColumn("techs", _with_texts(title, description, body))
 
 
-def _sought(jobs: DataFrame, techs: list[Tech]):
-    """A function of two lowered texts: the names found in them."""
-    words = jobs.sparkSession.sparkContext.broadcast([t.keywords for t in techs])
-    names = jobs.sparkSession.sparkContext.broadcast([t.name for t in techs])
-
-    @F.pandas_udf("array<string>")
-    def found(title: pd.Series, description: pd.Series) -> pd.Series:
-        known = names.value
-        return pd.Series([[known[i] for i in _found(words, t, d)] for t, d in zip(title, description)])
-
-    return found
+def _sought(jobs: DataFrame, config: DataFrame, title: str, description: str) -> DataFrame:
+    """``jobs`` with ``techs``; each different pair of texts is sought once."""
+    parts = [F.coalesce(F.lower(c), F.lit("")) for c in (title, description)]
+    texts = jobs.select(text_key(*parts).alias("key"), F.array(*parts).alias("parts"))
+    texts = texts.groupBy("key").agg(F.min("parts").alias("parts"))
+    needles = config.where("tech_name IS NOT NULL").select(
+        F.col("tech_name").alias("what"), F.explode("keywords").alias("needle")
+    )
+    found = substring_hits(texts, needles)
+    every = with_found(jobs, text_key(*parts), found, "techs", jobs.columns)
+    none = F.array().cast("array<string>")
+    return every.withColumn("techs", F.array_sort(F.coalesce("techs", none)))
 
 
 def tech_matches(jobs: DataFrame, config: DataFrame, **options) -> DataFrame:

@@ -2,30 +2,24 @@
 
 from __future__ import annotations
 
-import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from leadtide.functions import scores
-from leadtide.operators.detect import MAX_CONFIG_CHARS, MAX_TECHS, _found, constant
+from leadtide.operators.detect import MAX_TECHS, constant
+from leadtide.operators.gramindex import substring_hits, text_key, with_found
 
 
 def target_techs(config: DataFrame) -> DataFrame:
     return config.where("is_target").select("tech_name", "score_weight")
 
 
-def read_targets(config: DataFrame, max_targets: int = MAX_TECHS) -> tuple[list[tuple[str, float | None]], bool]:
-    """(name, weight) of all target rows in a total order, and whether they are few enough to fold
-    into a plan.  Rows without a name are none; every row of a name counts.  Runs a job, three
-    for a long list."""
-    targets = target_techs(config).where(F.col("tech_name").isNotNull())
-    rows = targets.limit(max_targets + 1).collect()
-    small = len(rows) <= max_targets
-    if not small:
-        size = targets.agg(F.sum(F.length("tech_name").cast("long"))).first()[0]
-        if size > MAX_CONFIG_CHARS:
-            raise ValueError(f"target names of {size} characters are too large; {MAX_CONFIG_CHARS} are allowed")
-        rows = targets.collect()
-    return sorted(((n, w) for n, w in rows), key=lambda r: (r[0], r[1] is None, r[1] or 0.0)), small
+def read_targets(config: DataFrame, max_targets: int = MAX_TECHS) -> list[tuple[str, float | None]] | None:
+    """(name, weight) of all target rows in a total order, or None where they are too many to fold into
+    a plan.  Rows without a name are none; every row of a name counts.  Runs a job."""
+    rows = target_techs(config).where(F.col("tech_name").isNotNull()).limit(max_targets + 1).collect()
+    if len(rows) > max_targets:
+        return None
+    return sorted(((n, w) for n, w in rows), key=lambda r: (r[0], r[1] is None, r[1] or 0.0))
 
 
 def with_previous(stats: DataFrame) -> DataFrame:
@@ -49,12 +43,11 @@ def with_matched_weight(
     Names match as substrings; ``exact`` compares whole list entries.
     """
     zero = F.lit(0.0)
-    targets, small = read_targets(config, max_targets)
+    targets = read_targets(config, max_targets)
+    if targets is None:
+        return _weights_by_stack(stats, config, exact)
     known = [w for _, w in targets if w is not None]
     possible = F.lit(sum(known) if known else None).cast("double")
-    if not small:
-        matched = _sought_weight(stats, targets, exact)(F.col("tech_stack"))
-        return stats.withColumns({"matched_weight": matched, "possible_weight": possible})
     weighted = constant(
         [{"name": n, "weight": w} for n, w in targets], "array<struct<name:string,weight:double>>"
     )
@@ -66,32 +59,34 @@ def with_matched_weight(
     return stats.withColumns({"matched_weight": matched, "possible_weight": possible})
 
 
-def _sought_weight(stats: DataFrame, targets: list[tuple[str, float | None]], exact: bool):
-    """A function of a technology list: the weights of the targets in it, added up in their order."""
-    context = stats.sparkSession.sparkContext
-    words = context.broadcast([(n,) for n, _ in targets])
-    weights = context.broadcast([w or 0.0 for _, w in targets])
-    numbers: dict[str, list[int]] = {}
-    for i, (name, _) in enumerate(targets):
-        numbers.setdefault(name, []).append(i)
-    by_name = context.broadcast(numbers if exact else {})
-
-    @F.pandas_udf("double")
-    def weight(stacks: pd.Series) -> pd.Series:
-        value, named = weights.value, by_name.value
-
-        def of(stack: str | None) -> float:
-            if stack is None:
-                return 0.0
-            if exact:
-                found = sorted(i for name in set(stack.split(",")) for i in named.get(name, ()))
-            else:
-                found = _found(words, stack)
-            return float(sum(value[i] for i in found))
-
-        return stacks.map(of)
-
-    return weight
+def _weights_by_stack(stats: DataFrame, config: DataFrame, exact: bool) -> DataFrame:
+    """The same for any number of targets: each different technology list is weighed once.
+
+    The lists meet the targets by an index of grams, or, if exact, by their entries; the weights of
+    a list are added up in the order of the names.
+    """
+    targets = target_techs(config).where(F.col("tech_name").isNotNull())
+    possible = targets.agg(F.sum("score_weight")).scalar()
+    key = text_key(F.col("tech_stack"))
+    stacks = stats.where(F.col("tech_stack").isNotNull()).select(key.alias("key"), "tech_stack").distinct()
+    what = F.struct("tech_name", F.isnull("score_weight").alias("none"), "score_weight", "times")
+    known = targets.groupBy("tech_name", "score_weight").agg(F.count("*").alias("times"))
+    needles = known.select(F.col("tech_name").alias("needle"), what.alias("what"))
+    if exact:  # an entry may stand in a large part of all lists
+        salts = F.explode(F.sequence(F.lit(0), F.lit(15)))
+        entries = stacks.select("key", F.explode(F.array_distinct(F.split("tech_stack", ","))).alias("needle"))
+        entries = entries.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(16)).cast("int"))
+        found = entries.join(needles.withColumn("salt", salts), ["needle", "salt"]).groupBy("key").agg(
+            F.collect_list("what").alias("found")
+        )
+    else:
+        found = substring_hits(stacks.select("key", F.array("tech_stack").alias("parts")), needles)
+    one = F.coalesce("matched_weight", F.array().cast(found.schema["found"].dataType))
+    # a row of the config that is repeated counts each time
+    weights = F.flatten(F.transform(F.array_sort(one), lambda t: F.array_repeat(t["score_weight"], t["times"].cast("int"))))
+    matched = F.aggregate(weights, F.lit(0.0), lambda total, w: total + F.coalesce(w, F.lit(0.0)))
+    every = with_found(stats, key, found, "matched_weight", stats.columns)
+    return every.withColumns({"matched_weight": matched, "possible_weight": possible.cast("double")})
 
 
 def score_all_weeks(

@@ -128,6 +128,6 @@ def company_stats(
         ),
     )
     # an empty config detects nothing and reports nothing
-    if not techs.rows:
+    if techs.small and not techs.rows:
         return out.where(F.lit(False))
     return out

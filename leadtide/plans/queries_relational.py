@@ -332,7 +332,7 @@ def j2(b):
 
 @query("j2_keyword_match_large_config", MATCH_SQL)
 def j2_large(b):
-    """The automaton that long configs go to, chosen by a limit of zero."""
+    """The index of grams that long configs are joined by, chosen by a limit of zero."""
     return tech_matches(b.postings, b.config, max_techs=0).select("job_id", "title", "tech_name")
 
 
@@ -452,7 +452,7 @@ def j4(b):
 
 @query("j4_matched_weight_many_targets", WEIGHTS_SQL)
 def j4_many(b):
-    """The automaton that long target lists go to, chosen by a limit of zero."""
+    """Each different technology list weighed once, as for long target lists; chosen by a limit of zero."""
     return with_matched_weight(b.stored_stats, b.config, max_targets=0).select(
         *GROUP, scores.round_to(F.col("matched_weight")).alias("matched_weight")
     )

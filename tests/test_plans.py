@@ -7,7 +7,7 @@ import pytest
 from leadtide.operators.clean import clean_postings
 from leadtide.operators.detect import tech_matches
 from leadtide.operators.report import score_histogram
-from leadtide.operators.score import lead_scores
+from leadtide.operators.score import lead_scores, with_matched_weight
 from leadtide.operators.stats import company_stats
 from leadtide.schemas import CLEANED_JOBS, RAW_JOBS
 from leadtide.sources.bindings import part_config
@@ -57,9 +57,13 @@ def test_matching_does_not_shuffle_and_tests_once(spark, tables):
     assert "Exchange" not in text and text.count("lambdafunction(exists") == 1
 
 
-def test_long_config_tests_each_posting_where_it_lies(spark, tables):
-    text = plan(tech_matches(tables["cleaned_jobs"], part_config(spark), max_techs=0).select("job_id", "tech_name"))
-    assert "Exchange" not in text and "Join" not in text and text.count("ArrowEvalPython") == 1
+def test_long_configs_are_joined_without_python(spark, tables):
+    found = tech_matches(tables["cleaned_jobs"], part_config(spark), max_techs=0).select("job_id", "tech_name")
+    text = plan(found)
+    no_python_no_cross(text)
+    assert "hashpartitioning(_key" in text
+    weights = with_matched_weight(tables["company_stats"], part_config(spark), max_targets=0)
+    no_python_no_cross(plan(weights))
 
 
 def test_scores_have_no_global_window(spark, tables):
