@@ -1,7 +1,8 @@
 """The pipeline: batch -> raw_jobs -> cleaned_jobs -> company_stats -> lead_scores -> exports.
 
 Every stage is stored and the next one reads the stored table, so a lost executor never
-costs more than the running stage, and a stage can be run again on its own.
+costs more than the running stage, and a stage can be run again on its own.  raw_jobs is a
+ledger, to which a run adds what its batch brings.
 """
 
 from __future__ import annotations
@@ -13,8 +14,8 @@ from leadtide.operators.quality import all_checks
 from leadtide.operators.report import export_bundle
 from leadtide.operators.score import lead_scores
 from leadtide.operators.stats import company_stats
-from leadtide.operators.upsert import ingest_accounting, upsert_postings
-from leadtide.schemas import RAW_JOBS
+from leadtide.sources import ledger
+from leadtide.sources.batches import accepted, refused
 from leadtide.sources.tables import discard, new_path, read_table, refresh_table, require_unique, store
 
 
@@ -39,25 +40,35 @@ def run(
 ) -> dict[str, str]:
     """Run all stages into ``folder/version``, going on from ``folder/previous``.
 
-    The batch is stored first, since it is read several times.  A NULL in a required column or
-    a second row of a key stops the run.  Returns the path of each table, export and accounting.
+    ``batch`` holds typed records, or lines (``read_lines``): then lines without a record go to
+    the table ``refusals``, with the reason, and the rest is taken in.  The batch is stored
+    first, since it is read several times.  ``folder/ledger`` takes it in after the batch of the
+    previous run; a run that is repeated, or another one from the same previous run, replaces
+    what its batch wrote there.  A NULL in a required column or a second row of a key stops the
+    run.  Returns the path of each table, export and accounting.
     """
     at = {
         name: f"{folder}/{version}/{name}"
-        for name in ["raw_jobs", "cleaned_jobs", "company_stats", "lead_scores", "checks", "ingest"]
+        for name in ["cleaned_jobs", "company_stats", "lead_scores", "checks", "ingest", "refusals", "batch_number"]
     }
-    if previous is None:
-        raw = spark.createDataFrame([], RAW_JOBS)
-    else:
-        raw = read_table(spark, f"{folder}/{previous}/raw_jobs", "raw_jobs")
+    at["ledger"] = f"{folder}/ledger"
+    number = 1
+    if previous is not None:
+        number += spark.read.schema("number long").json(f"{folder}/{previous}/batch_number").first()["number"]
     kept = new_path(spark, "batch")
     batch.write.parquet(kept)
     batch = spark.read.schema(batch.schema).parquet(kept)
-    ingest_accounting(raw, batch).write.mode("overwrite").parquet(at["ingest"])
-    refresh_table(upsert_postings(raw, batch), at["raw_jobs"], "raw_jobs")
+    if batch.columns == ["line"]:
+        refused(batch).write.mode("overwrite").parquet(at["refusals"])
+        batch = accepted(batch)
+    else:
+        del at["refusals"]
+    ledger.take_in(batch, at["ledger"], number)
+    ledger.accounting(batch, at["ledger"], number).write.mode("overwrite").parquet(at["ingest"])
+    spark.range(1).select(F.lit(number).alias("number")).write.mode("overwrite").json(at["batch_number"])
     discard(spark, kept)
 
-    raw = read_table(spark, at["raw_jobs"], "raw_jobs")
+    raw = ledger.current(spark, at["ledger"], number + 1)
     require_unique(raw, "raw_jobs")
     refresh_table(clean_postings(raw), at["cleaned_jobs"], "cleaned_jobs")
 

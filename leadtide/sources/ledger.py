@@ -1,62 +1,149 @@
-"""raw_jobs as a ledger: what a batch writes follows the batch, not the table.
+"""raw_jobs as a ledger: what a batch reads and writes follows the batch, not the table.
 
-``<folder>/postings/batch=N`` holds the rows whose key batch N brought first, and
-``<folder>/sightings/batch=N`` the known keys it saw again, with the latest scrape.  The
-table is the postings with the latest sighting of each; ``fold`` writes it out anew when
-the sightings have grown long.  Batch N reads what earlier batches wrote and replaces what
-it wrote itself, so a batch that is repeated after a failure leaves the same.
+``<folder>/postings`` holds the rows whose key a batch brought first, and ``<folder>/sightings`` the
+known keys it saw again, with the latest scrape.  Both are laid out by batch, by bucket (a hash
+of ``job_id``) and, within, as Spark's bucketed tables, whose buckets are the same: a batch is
+joined with the table bucket by bucket, so the table is not shuffled, and of the table only
+the buckets that the batch touches are read.  The number of buckets is fixed when a ledger
+begins (``<folder>/layout``); at least as many as there are shuffle partitions keep Spark from
+shuffling the table after all.
+
+The table is the postings with the latest sighting of each; ``fold`` writes it out anew when the
+sightings have grown long.  Batch N reads what earlier batches wrote and replaces what it
+wrote itself, so a batch that is repeated after a failure leaves the same.
 """
 
 from __future__ import annotations
 
+import hashlib
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from leadtide.operators.upsert import PAYLOAD, RAW, known_keys, one_per_job
+from leadtide.operators.upsert import PAYLOAD, RAW, one_per_job
 from leadtide.schemas import RAW_JOBS, require_columns
+from leadtide.sources.tables import discard, make_folder, new_path
+
+COLUMNS = {
+    "postings": ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_JOBS),
+    "sightings": "job_id string, seen timestamp_ntz",
+}
 
-POSTINGS = f"{', '.join(f'{f.name} {f.dataType.simpleString()}' for f in RAW_JOBS)}, batch bigint"
-SIGHTINGS = "job_id string, seen timestamp_ntz, batch bigint"
 
+def begin(spark: SparkSession, folder: str, buckets: int | None = None) -> int:
+    """Lay out a new ledger; an existing one is refused.  By default as many buckets as shuffle partitions."""
+    buckets = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    spark.range(1).select(F.lit(buckets).alias("buckets")).coalesce(1).write.json(f"{folder}/layout")
+    for name in COLUMNS:
+        make_folder(spark, f"{folder}/{name}")
+    return buckets
 
-def _part(spark: SparkSession, folder: str, name: str, schema: str, before: int | None) -> DataFrame:
+
+def _buckets(spark: SparkSession, folder: str) -> int | None:
     try:
-        rows = spark.read.schema(schema).parquet(f"{folder}/{name}")
+        return spark.read.schema("buckets int").json(f"{folder}/layout").first()["buckets"]
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        rows = spark.createDataFrame([], schema)
+        return None
+
+
+def _table(spark: SparkSession, folder: str, name: str, buckets: int) -> str:
+    """The name under which the session knows a part of the ledger, with all its partitions."""
+    table = f"ledger_{hashlib.md5(folder.encode()).hexdigest()[:16]}_{name}"
+    place = f"{folder}/{name}".replace("'", "\\'")
+    if not spark.catalog.tableExists(table):
+        spark.sql(
+            f"CREATE TABLE {table} ({COLUMNS[name]}, batch bigint, bucket int) USING parquet "
+            f"PARTITIONED BY (batch, bucket) CLUSTERED BY (job_id) SORTED BY (job_id) INTO {buckets} BUCKETS "
+            f"LOCATION '{place}'"
+        )
+    spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")  # what other sessions have written
+    return table
+
+
+def _part(spark: SparkSession, folder: str, name: str, before: int | None) -> DataFrame:
+    buckets = _buckets(spark, folder)
+    if buckets is None:
+        return spark.createDataFrame([], f"{COLUMNS[name]}, batch bigint, bucket int")
+    rows = spark.table(_table(spark, folder, name, buckets))
     return rows if before is None else rows.where(F.col("batch") < before)
 
 
+def bucket_of(buckets: int) -> Column:
+    """The bucket of a job_id, as Spark's bucketed tables have it."""
+    return F.expr(f"cast(pmod(hash(job_id), {buckets}) AS int)")
+
+
+def _replace(rows: DataFrame, folder: str, name: str, number: int, buckets: int) -> None:
+    """Write a batch's part, in place of what an earlier attempt has written."""
+    spark = rows.sparkSession
+    table = _table(spark, folder, name, buckets)
+    spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch = {number})")
+    discard(spark, f"{folder}/{name}/batch={number}")
+    placed = rows.withColumns({"batch": F.lit(number).cast("long"), "bucket": bucket_of(buckets)})
+    # one task, and one file, for each bucket
+    placed.repartition(buckets, "job_id").write.mode("append").insertInto(table)
+
+
 def current(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
-    """The raw_jobs table, as of all batches or of those before a number."""
-    postings = _part(spark, folder, "postings", POSTINGS, before)
-    seen = (
-        _part(spark, folder, "sightings", SIGHTINGS, before)
-        .groupBy("job_id").agg(F.max_by("seen", "batch").alias("_seen"))
-    )
+    """The raw_jobs table, as of all batches or of those before a number; nothing is shuffled."""
+    postings = _part(spark, folder, "postings", before)
+    seen = _part(spark, folder, "sightings", before).groupBy("job_id").agg(F.max_by("seen", "batch").alias("_seen"))
     return postings.join(seen, "job_id", "left").select(
         "job_id", *PAYLOAD, "first_scraped_at", F.coalesce("_seen", "last_scraped_at").alias("last_scraped_at")
     )
 
 
+def known_of(batch: DataFrame, folder: str, number: int) -> DataFrame:
+    """The rows of ``batch``, unique by job_id, with ``known``: whether an earlier batch brought the key.
+
+    At most as many bucket numbers as there are buckets come to the driver.
+    """
+    spark = batch.sparkSession
+    buckets = _buckets(spark, folder)
+    touched = [r[0] for r in batch.select(bucket_of(buckets)).distinct().collect()]
+    table = _part(spark, folder, "postings", number).where(F.col("bucket").isin(touched))
+    held = table.select("job_id", F.lit(True).alias("known")).join(batch, "job_id", "right")
+    return held.select(*batch.columns, F.coalesce("known", F.lit(False)).alias("known"))
+
+
 def take_in(batch: DataFrame, folder: str, number: int) -> None:
-    """Append a typed batch.  Of the table only the keys are read; ``batch`` is read three times."""
+    """Append a typed batch, which is read once.  Of the table only the keys of touched buckets are read."""
+    spark = batch.sparkSession
+    buckets = _buckets(spark, folder) or begin(spark, folder)
+    kept = new_path(spark, "batch")
+    checked = require_columns(batch, RAW_JOBS, ["job_id", "company", "title", "source"])
+    one_per_job(checked).select(*RAW).write.parquet(kept)
+    rows = known_of(spark.read.schema(RAW_JOBS).parquet(kept), folder, number)
+    seen = rows.where("known").select("job_id", F.col("last_scraped_at").alias("seen"))
+    _replace(seen, folder, "sightings", number, buckets)
+    _replace(rows.where("NOT known").select(*RAW), folder, "postings", number, buckets)
+    discard(spark, kept)
+
+
+def accounting(batch: DataFrame, folder: str, number: int) -> DataFrame:
+    """One row: records of batch ``number``, keys it inserted, keys that were there (see ``ingest_accounting``).
+
+    The keys are counted in what the batch has written."""
     spark = batch.sparkSession
-    known = _part(spark, folder, "postings", POSTINGS, number).select("job_id")
-    fresh = one_per_job(require_columns(batch, RAW_JOBS, ["job_id", "company", "title", "source"]))
-    fresh = fresh.join(known_keys(known, batch, small=False), "job_id", "left_anti")
-    seen = batch.groupBy("job_id").agg(F.max("scraped_at").alias("seen")).join(known, "job_id", "left_semi")
-    seen.write.mode("overwrite").parquet(f"{folder}/sightings/batch={number}")
-    fresh.select(*RAW).write.mode("overwrite").parquet(f"{folder}/postings/batch={number}")
+
+    def written(name: str) -> Column:
+        rows = _part(spark, folder, name, None).where(F.col("batch") == number)
+        return rows.agg(F.count("*")).scalar()
+
+    return batch.agg(F.count("*").alias("total_jobs_scraped")).select(
+        "total_jobs_scraped", written("postings").alias("jobs_inserted"), written("sightings").alias("existing_jobs_updated")
+    )
 
 
 def fold(spark: SparkSession, folder: str, into: str) -> None:
     """Write the table to a new ledger ``into``, as its batch 0, without sightings."""
-    current(spark, folder).write.parquet(f"{into}/postings/batch=0")
+    buckets = begin(spark, into, _buckets(spark, folder))
+    _replace(current(spark, folder), into, "postings", 0, buckets)
 
 
-def seed(table: DataFrame, folder: str) -> None:
+def seed(table: DataFrame, folder: str, buckets: int | None = None) -> None:
     """Begin a ledger with an existing raw_jobs table, as its batch 0; an existing ledger is refused."""
-    require_columns(table, RAW_JOBS).select(*RAW).write.parquet(f"{folder}/postings/batch=0")
+    rows = require_columns(table, RAW_JOBS).select(*RAW)
+    _replace(rows, folder, "postings", 0, begin(table.sparkSession, folder, buckets))

@@ -87,6 +87,12 @@ def store(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def make_folder(spark: SparkSession, path: str) -> None:
+    """Make an empty folder; any file system Spark knows."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete what ``new_path`` gave, when a run is done with it; any file system Spark knows."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)

@@ -6,13 +6,13 @@ from pyspark.sql import functions as F
 from leadtide.operators.upsert import one_per_job
 from leadtide.plans.pipeline import run
 from leadtide.schemas import COMPANY_STATS, RAW_JOBS
-from leadtide.sources.batches import read_batch, typed
+from leadtide.sources.batches import read_batch, read_lines, typed
 from leadtide.sources.config import tech_config
-from leadtide.sources.ledger import current, fold, seed, take_in
+from leadtide.sources.ledger import bucket_of, current, fold, known_of, seed, take_in
 from leadtide.sources.tables import read_csv, read_table, refresh_table, require_unique
 from leadtide.plans.queries_table import FEED, SUMMARY
 from leadtide.streaming.ingest import arriving, upsert_arriving
-from tests.helpers import raw
+from tests.helpers import plan, raw
 
 
 def record(job_id, day, **fields):
@@ -48,7 +48,7 @@ def test_two_runs(spark, tmp_path):
     run(spark, one, config, out, "v1")
     paths = run(spark, two, config, out, "v2", previous="v1")
 
-    raw = {r.job_id: r for r in read_table(spark, paths["raw_jobs"], "raw_jobs").collect()}
+    raw = {r.job_id: r for r in current(spark, paths["ledger"]).collect()}
     assert set(raw) == set("abcde") and raw["a"].title == "Dev"
     assert (raw["a"].first_scraped_at.day, raw["a"].last_scraped_at.day) == (2, 9)
     assert read_table(spark, paths["cleaned_jobs"], "cleaned_jobs").count() == 4
@@ -69,6 +69,22 @@ def test_two_runs(spark, tmp_path):
     assert len(checks) == 6 and checks["targets_configured"] and not checks["minimum_leads"]
 
 
+def test_lines_refused_and_runs_repeated(spark, tmp_path):
+    config, out = tech_config(spark), str(tmp_path / "out")
+    first = read_lines(spark, write(tmp_path / "in", "1.json", [*FIRST, "{broken", "", record("f", 9, title=None)]))
+    run(spark, first, config, out, "v1")
+    second = read_lines(spark, write(tmp_path / "in", "2.json", SECOND))
+    for _ in range(2):  # the second time as after a failure
+        paths = run(spark, second, config, out, "v2", previous="v1")
+    refusals = spark.read.parquet(f"{out}/v1/refusals")
+    assert sorted(r.reason for r in refusals.collect()) == ["missing: title", "not a JSON record"]
+    assert spark.read.parquet(paths["refusals"]).count() == 0
+    assert tuple(spark.read.parquet(f"{out}/v1/ingest").first()) == (3, 3, 0)
+    assert tuple(spark.read.parquet(paths["ingest"]).first()) == (3, 2, 1)
+    assert sorted(r.job_id for r in current(spark, paths["ledger"]).collect()) == list("abcde")
+    assert sorted(r.job_id for r in current(spark, paths["ledger"], before=2).collect()) == list("abc")
+
+
 def test_weekly_partitions_are_pruned(spark, tmp_path):
     one = typed(read_batch(spark, write(tmp_path / "in", "1.json", FIRST + SECOND[1:])))
     paths = run(spark, one, tech_config(spark), str(tmp_path / "out"), "v1")
@@ -120,6 +136,28 @@ def test_a_batch_writes_what_it_brings(spark, tmp_path):
     assert current(spark, str(tmp_path / "ledger")).count() == 50_001
 
 
+def test_the_ledger_is_not_shuffled_and_read_where_touched(spark, tmp_path):
+    table = spark.range(3000).selectExpr("string(id) AS job_id").selectExpr(
+        "job_id", *[f"'x' AS {c}" for c in ("company", "title", "description", "location")], "date'2024-01-01' AS posting_date",
+        "'u' AS url", "'s' AS source", "timestamp_ntz'2024-01-01' AS first_scraped_at", "timestamp_ntz'2024-01-01' AS last_scraped_at",
+    )
+    folder = str(tmp_path / "ledger")
+    seed(table, folder, buckets=16)
+    batch = table.where("job_id IN ('7', '8')").unionByName(table.limit(1).withColumn("job_id", F.lit("new")))
+    touched = {r[0] for r in batch.select(bucket_of(16)).collect()}
+    marked = known_of(batch, folder, 1)
+    assert {r.job_id: r.known for r in marked.collect()} == {"7": True, "8": True, "new": False}
+    text, scan = "", ""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables too large to be sent
+    try:
+        text, whole = plan(known_of(batch, folder, 1)), plan(current(spark, folder))
+        scan = next(line for line in text.split("\n") if "FileScan" in line)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert "Bucketed: true" in scan and "PartitionFilters" in scan and f"InMemoryFileIndex({len(touched)} paths)" in scan
+    assert "Exchange" not in text[: text.index(scan)] and "Exchange" not in whole
+
+
 def test_constraints_stop_the_run(spark, tmp_path):
     bad = raw(spark, {"job_id": "1"}).withColumn("company", F.lit(None).cast("string"))
     with pytest.raises(Exception, match="company is NULL"):
