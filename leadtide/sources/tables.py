@@ -119,16 +119,58 @@ def trend_feed(stats: DataFrame) -> DataFrame:
     return trend_rows(stats).orderBy("company_normalized", "week_start")
 
 
-# Values are kept as they are: no trimming, and an empty field is an empty string.
+# Values are kept as they are: no trimming, an empty field is an empty string, quotes are doubled.
 CSV = {
     "header": True,
+    "escape": '"',
     "ignoreLeadingWhiteSpace": False,
     "ignoreTrailingWhiteSpace": False,
 }
 
 
+def _one_file(df: DataFrame, path: str, kind: str, options: dict, head: bytes) -> None:
+    """Write ``df``, in its order, as the one file ``path``: tasks write the parts, which are then joined.
+
+    A file system that can join files does it itself; others copy the parts' bytes in order, in a small
+    buffer.  The file gets its name only when it is whole; readers never see a part of it.
+    """
+    spark = df.sparkSession
+    hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
+    parts = f"{path}.parts-{uuid.uuid4().hex}"
+    getattr(df.write.options(**options), kind)(parts)
+    whole, target = hadoop.fs.Path(f"{parts}/whole"), hadoop.fs.Path(path)
+    files = whole.getFileSystem(conf)
+    found = sorted(
+        (f.getPath() for f in files.listStatus(hadoop.fs.Path(parts)) if f.getPath().getName().startswith("part-")),
+        key=lambda p: p.getName(),
+    )
+    out = files.create(whole, True)
+    try:
+        out.write(bytearray(head))
+        joins = bool(head) and files.getScheme() == "hdfs"
+        for part in [] if joins else found:
+            source = files.open(part)
+            try:
+                hadoop.io.IOUtils.copyBytes(source, out, 1 << 16, False)
+            finally:
+                source.close()
+    finally:
+        out.close()
+    if joins and found:
+        array = spark.sparkContext._gateway.new_array(hadoop.fs.Path, len(found))
+        for k, part in enumerate(found):
+            array[k] = part
+        files.concat(whole, array)
+    files.delete(target, True)
+    if not files.rename(whole, target):
+        raise OSError(f"{path} could not be written")
+    discard(spark, parts)
+
+
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").options(**CSV).csv(path)
+    """One CSV file of the rows in their order, with one header."""
+    head = ",".join(df.columns) + "\n"
+    _one_file(df, path, "csv", {**CSV, "header": False}, head.encode())
 
 
 def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
@@ -136,4 +178,5 @@ def read_csv(spark: SparkSession, path: str, schema: str) -> DataFrame:
 
 
 def write_json(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").json(path)
+    """One file of JSON lines."""
+    _one_file(df, path, "json", {}, b"")

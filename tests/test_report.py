@@ -88,3 +88,25 @@ def test_constraints(spark):
     df = raw(spark, {"job_id": "a"}, {"job_id": "a"}, {"job_id": "b"})
     got = {(r.constraint, r["columns"]): r.violations for r in constraint_report(df, "raw_jobs").collect()}
     assert got["primary_key", "job_id"] == 1 and got["not_null", "title"] == 0
+
+
+def test_exports_are_single_files_in_order(spark, tmp_path):
+    import csv
+
+    from leadtide.sources.tables import read_csv, write_csv, write_json
+
+    path = str(tmp_path / "out" / "rows.csv")
+    rows = spark.range(5000).repartition(7).selectExpr("id", "concat(' a,\"', id, '\"') AS name", "if(id = 3, null, '') AS gap")
+    for _ in range(2):  # the second time replaces the first
+        write_csv(rows.orderBy("id"), path)
+    with open(path, newline="") as file:
+        got = list(csv.reader(file))
+    assert got[0] == ["id", "name", "gap"] and [r[0] for r in got[1:]] == [str(i) for i in range(5000)]
+    assert got[8][1] == ' a,"7"'
+    back = read_csv(spark, path, "id long, name string, gap string")
+    assert back.count() == 5000 and back.where("id = 7").first().name == ' a,"7"'
+    assert [f.name for f in (tmp_path / "out").iterdir() if not f.name.startswith(".")] == ["rows.csv"]
+    write_csv(rows.limit(0), path)
+    assert open(path).read() == "id,name,gap\n"
+    write_json(spark.range(1), str(tmp_path / "one.json"))
+    assert open(tmp_path / "one.json").read() == '{"id":0}\n'
