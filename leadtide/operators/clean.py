@@ -60,9 +60,13 @@ def clean_postings(raw: DataFrame) -> DataFrame:
 def dedup_accounting(raw: DataFrame, cleaned: DataFrame) -> DataFrame:
     """One row: rows before and after, rows removed, and their share as text."""
     before = raw.agg(F.count("*").alias("raw_job_count"))
-    after = cleaned.agg(F.count("*")).scalar()
+    return accounted(before.withColumn("cleaned_job_count", cleaned.agg(F.count("*")).scalar()))
+
+
+def accounted(counts: DataFrame) -> DataFrame:
+    """The same from the two counts."""
     removed = F.col("raw_job_count") - F.col("cleaned_job_count")
-    return before.withColumn("cleaned_job_count", after).select(
+    return counts.select(
         "raw_job_count",
         "cleaned_job_count",
         removed.alias("duplicates_removed"),

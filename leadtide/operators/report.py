@@ -75,20 +75,26 @@ def lead_summary(leads: DataFrame) -> DataFrame:
     )
 
 
-def scores_overview(leads: DataFrame) -> DataFrame:
-    """One row: band counts, the four averages, the top lead."""
+def overview_figures() -> list[Column]:
+    """Band counts, the four averages and the top lead, as aggregates over leads."""
+    # fixed values: the names of the fields
     order = F.struct((-F.col("composite_score")).alias("s"), F.col("company_normalized"))
     averages = [
         scores.round_to(F.avg(name)).alias(f"avg_{name}") for name in [*COMPONENTS, "composite_score"]
     ]
-    return leads.agg(
+    return [
         F.count("*").alias("total_companies_scored"),
         F.coalesce(iso_date(F.max("week_start")), F.lit("N/A")).alias("scoring_date"),
         *band_counts(),
         *averages,
         F.coalesce(F.min_by("company", order), F.lit("None")).alias("top_lead_company"),
         F.coalesce(F.max("composite_score"), F.lit(0.0)).alias("top_lead_score"),
-    )
+    ]
+
+
+def scores_overview(leads: DataFrame) -> DataFrame:
+    """One row: band counts, the four averages, the top lead."""
+    return leads.agg(*overview_figures())
 
 
 def summary_document(leads: DataFrame, stats: DataFrame, generated_at: Column) -> DataFrame:

@@ -137,6 +137,14 @@ def accounting(batch: DataFrame, folder: str, number: int) -> DataFrame:
     )
 
 
+def withdraw(spark: SparkSession, folder: str, number: int) -> None:
+    """Take a batch out again."""
+    buckets = _buckets(spark, folder)
+    for name in COLUMNS if buckets else []:
+        spark.sql(f"ALTER TABLE {_table(spark, folder, name, buckets)} DROP IF EXISTS PARTITION (batch = {number})")
+        discard(spark, f"{folder}/{name}/batch={number}")
+
+
 def fold(spark: SparkSession, folder: str, into: str) -> None:
     """Write the table to a new ledger ``into``, as its batch 0, without sightings."""
     buckets = begin(spark, into, _buckets(spark, folder))

@@ -99,6 +99,15 @@ def discard(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
 
 
+def move(spark: SparkSession, path: str, to: str) -> None:
+    """Rename a file or folder, in place of what has the name."""
+    source, target = (spark._jvm.org.apache.hadoop.fs.Path(p) for p in (path, to))
+    files = source.getFileSystem(spark._jsc.hadoopConfiguration())
+    files.delete(target, True)
+    if not files.rename(source, target):
+        raise OSError(f"{path} could not be moved to {to}")
+
+
 def lead_rows(leads: DataFrame) -> DataFrame:
     return leads.select(
         "company", "composite_score", "velocity_score", "tech_match_score", "volume_score",
@@ -138,7 +147,7 @@ def _one_file(df: DataFrame, path: str, kind: str, options: dict, head: bytes) -
     hadoop, conf = spark._jvm.org.apache.hadoop, spark._jsc.hadoopConfiguration()
     parts = f"{path}.parts-{uuid.uuid4().hex}"
     getattr(df.write.options(**options), kind)(parts)
-    whole, target = hadoop.fs.Path(f"{parts}/whole"), hadoop.fs.Path(path)
+    whole = hadoop.fs.Path(f"{parts}/whole")
     files = whole.getFileSystem(conf)
     found = sorted(
         (f.getPath() for f in files.listStatus(hadoop.fs.Path(parts)) if f.getPath().getName().startswith("part-")),
@@ -161,9 +170,7 @@ def _one_file(df: DataFrame, path: str, kind: str, options: dict, head: bytes) -
         for k, part in enumerate(found):
             array[k] = part
         files.concat(whole, array)
-    files.delete(target, True)
-    if not files.rename(whole, target):
-        raise OSError(f"{path} could not be written")
+    move(spark, f"{parts}/whole", path)
     discard(spark, parts)
 
 

@@ -4,6 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from leadtide.operators.upsert import one_per_job
+from leadtide.operators.report import scores_overview
 from leadtide.plans.pipeline import run
 from leadtide.schemas import COMPANY_STATS, RAW_JOBS
 from leadtide.sources.batches import read_batch, read_lines, typed
@@ -85,6 +86,33 @@ def test_lines_refused_and_runs_repeated(spark, tmp_path):
     assert sorted(r.job_id for r in current(spark, paths["ledger"], before=2).collect()) == list("abc")
 
 
+def test_accounts_come_with_the_tables(spark, tmp_path):
+    one = typed(read_batch(spark, write(tmp_path / "in", "1.json", FIRST)))
+    paths = run(spark, one, tech_config(spark), str(tmp_path / "out"), "v1")
+    assert tuple(spark.read.parquet(paths["dedup_accounting"]).first()) == (3, 2, 1, "33.3%")
+    leads = read_table(spark, paths["lead_scores"], "lead_scores")
+    assert spark.read.parquet(paths["scores_overview"]).first() == scores_overview(leads).first()
+    none = run(spark, one, tech_config(spark, [("A", ["zzz"], "l", False, 1.0)]), str(tmp_path / "none"), "v1")
+    assert read_table(spark, none["lead_scores"], "lead_scores").count() == 0
+    assert spark.read.parquet(none["scores_overview"]).first()["total_companies_scored"] == 0
+
+
+def test_nothing_is_published_with_a_broken_key(spark, tmp_path):
+    config, out = tech_config(spark), str(tmp_path / "out")
+    one = typed(read_batch(spark, write(tmp_path / "in", "1.json", FIRST)))
+    two = typed(read_batch(spark, write(tmp_path / "in", "2.json", SECOND)))
+    paths = run(spark, one, config, out, "v1")
+    before = sorted(map(tuple, read_table(spark, paths["cleaned_jobs"], "cleaned_jobs").collect()))
+    for version, previous in (("v2", "v1"), ("v1", None)):  # a new version, and one that is there
+        with pytest.raises(ValueError, match="tech_config has 2 rows of one key"):
+            run(spark, two, config.union(config.limit(1)), out, version, previous=previous)
+    assert not (tmp_path / "out" / "v2" / "cleaned_jobs").exists()
+    assert sorted(map(tuple, read_table(spark, paths["cleaned_jobs"], "cleaned_jobs").collect())) == before
+    paths = run(spark, one, config, out, "v1")
+    run(spark, two, config, out, "v2", previous="v1")
+    assert sorted(r.job_id for r in current(spark, paths["ledger"]).collect()) == list("abcde")
+
+
 def test_weekly_partitions_are_pruned(spark, tmp_path):
     one = typed(read_batch(spark, write(tmp_path / "in", "1.json", FIRST + SECOND[1:])))
     paths = run(spark, one, tech_config(spark), str(tmp_path / "out"), "v1")
