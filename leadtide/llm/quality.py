@@ -1,8 +1,9 @@
 """Quality rules: counts that reject at once, then a calibrated classifier on hashed n-grams.
 
 The classifier is logistic regression on the relative frequencies of hashed word 1-grams,
-word 2-grams and byte 3-grams, fitted on a bounded sample of labelled rows and calibrated
-(Platt) on a quarter of the sample that the fit has not seen.  Rows are scored in Arrow
+word 2-grams and character 3-grams, fitted on a bounded sample of labelled rows and calibrated
+(Platt) on a quarter of the sample that the fit has not seen.  No n-gram reaches from one text
+into another, so a verdict does not depend on the rows beside it.  Rows are scored in Arrow
 batches, vectorised over all texts of a batch.
 """
 
@@ -22,7 +23,7 @@ from leadtide.llm.common import examples, fit_logistic, pieces, restored, shelte
 #: Most labelled rows the classifier is fitted on, taken in the order of a hash of doc_id.
 SAMPLE_ROWS = 4000
 #: Hash slots of each kind of n-gram.
-SLOTS = 512
+SLOTS = 2048
 #: Rejected below this calibrated probability of good quality.
 LEAST_PROBABILITY = 0.5
 #: A document needs so many words, and at most this share of them in repeated windows.
@@ -46,6 +47,27 @@ class Model:
         return sigmoid(self.slope * margin + self.shift)
 
 
+def _following(items: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Each item's next one in its text; 0 after the last."""
+    out = np.zeros_like(items)
+    out[:-1] = items[1:]
+    out[starts[1:][np.diff(starts) > 0] - 1] = 0
+    return out
+
+
+def _characters(raw: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The UTF-8 bytes of each code point as one number, and each row's first code point."""
+    if not (raw > 127).any():
+        return raw.astype(np.uint32), starts
+    at = np.flatnonzero(raw & 0xC0 != 0x80)
+    length = np.diff(at, append=len(raw))
+    chars = raw[at].astype(np.uint32)
+    for k in (1, 2, 3):
+        longer = np.flatnonzero(length > k)
+        chars[longer] |= raw[at[longer] + k].astype(np.uint32) << np.uint32(8 * k)
+    return chars, np.searchsorted(at, starts)
+
+
 def _slots(raw: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
     """For each kind of n-gram: the slot of every n-gram, and each row's first n-gram."""
     out = []
@@ -64,13 +86,12 @@ def _slots(raw: np.ndarray, starts: np.ndarray) -> list[tuple[np.ndarray, np.nda
     of_row = np.searchsorted(first, starts)
     shift = np.uint32(32 - SLOTS.bit_length() + 1)
     out.append((words * np.uint32(0x9E3779B1) >> shift, of_row))
-    pairs = words.copy()
-    pairs[:-1] = words[:-1] * np.uint32(0x85EBCA6B) + words[1:]
+    pairs = words * np.uint32(0x85EBCA6B) + _following(words, of_row)
     out.append(((pairs * np.uint32(0x9E3779B1) >> shift) + np.uint32(SLOTS), of_row))
-    grams = raw.astype(np.uint32)
-    if len(grams) > 2:
-        grams[:-2] |= grams[1:-1] << np.uint32(8) | grams[2:] << np.uint32(16)
-    out.append(((grams * np.uint32(0x9E3779B1) >> shift) + np.uint32(2 * SLOTS), starts))
+    chars, of_char = _characters(raw, starts)
+    second = _following(chars, of_char)
+    grams = (chars * np.uint32(0x85EBCA6B) + second) * np.uint32(0xC2B2AE35) + _following(second, of_char)
+    out.append(((grams * np.uint32(0x9E3779B1) >> shift) + np.uint32(2 * SLOTS), of_char))
     return out
 
 
@@ -82,16 +103,30 @@ def margins(texts: pa.Array, weights: np.ndarray) -> np.ndarray:
     return total
 
 
-def features(texts: pa.Array) -> np.ndarray:
-    out = np.zeros((len(texts), 3 * SLOTS), np.float32)
-    for slots, starts in _slots(*text_bytes(texts)):
-        for i in range(len(texts)):
+def sparse(texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """The slots each text uses, and its n-gram frequencies there."""
+    kinds = _slots(*text_bytes(texts))
+    for i in range(len(texts)):
+        row = np.zeros(3 * SLOTS, np.float32)
+        for slots, starts in kinds:
             own = slots[starts[i] : starts[i + 1]]
             if len(own):
-                out[i] += np.bincount(own, minlength=3 * SLOTS) / np.float32(len(own))
+                row += np.bincount(own, minlength=3 * SLOTS) / np.float32(len(own))
+        used = np.flatnonzero(row).astype(np.uint16)
+        yield used, row[used]
+
+
+def dense(rows: list[tuple[np.ndarray, np.ndarray]]) -> np.ndarray:
+    out = np.zeros((len(rows), 3 * SLOTS), np.float32)
+    for own, (slots, values) in zip(out, rows):
+        own[slots] = values
     return out
 
 
+def features(texts: pa.Array) -> np.ndarray:
+    return dense(list(sparse(texts)))
+
+
 def counts(text: str) -> tuple[int, int, int, int, int]:
     """n_words, word_chars, n_symbols, n_dup_lines and n_repeat_words of a text."""
     raw = text.encode()
@@ -125,26 +160,33 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS, held
         .orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample_rows)
     )
 
-    def dense(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def grams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, BATCH_BYTES):
-            rows = features(batch.column("text")).astype(np.float16)
+            slots, values = zip(*sparse(batch.column("text")))
             yield pa.RecordBatch.from_arrays(
                 [batch.column("doc_id"), batch.column("quality").cast(pa.int32()),
-                 pa.array([r.tobytes() for r in rows], pa.binary())],
-                ["doc_id", "quality", "x"],
+                 pa.array([s.tobytes() for s in slots], pa.binary()), pa.array([v.tobytes() for v in values], pa.binary())],
+                ["doc_id", "quality", "slots", "freqs"],
             )
 
     rows = (
         examples(docs, chosen).select("doc_id", "quality", "text")
-        .mapInArrow(dense, "doc_id long, quality int, x binary").toArrow()  # bounded by sample_rows
+        # bounded by sample_rows; a row has at most 3 * SLOTS slots
+        .mapInArrow(grams, "doc_id long, quality int, slots binary, freqs binary").toArrow()
     )
-    x = np.frombuffer(b"".join(rows["x"].to_pylist()), np.float16).reshape(-1, 3 * SLOTS)
-    y = rows["quality"].to_numpy().astype(np.float32)
-    order = np.lexsort((y, x[:, 0], rows["doc_id"].to_numpy()))
-    x, y = x[order], y[order]
+    order = np.argsort(rows["doc_id"].to_numpy())  # unique
+    y = rows["quality"].to_numpy().astype(np.float32)[order]
     late = np.arange(len(y)) % 4 == 3
-    weights, bias = fit_logistic(x[~late], y[~late])
-    slope, shift = fit_logistic((x[late].astype(np.float32) @ weights + bias)[:, None], y[late], 1e-4)
+
+    def chosen_rows(at: np.ndarray) -> np.ndarray:
+        return dense([
+            (np.frombuffer(rows["slots"][i].as_buffer(), np.uint16), np.frombuffer(rows["freqs"][i].as_buffer(), np.float32))
+            for i in at.tolist()
+        ])
+
+    weights, bias = fit_logistic(chosen_rows(order[~late]), y[~late], own=True)
+    margin = chosen_rows(order[late]) @ weights + bias
+    slope, shift = fit_logistic(margin[:, None], y[late], 1e-4)
     return Model(weights.astype(np.float32), bias, float(slope[0]), shift)
 
 
