@@ -33,6 +33,8 @@ THRESHOLD = 0.8
 #: Documents added to those of a term, with entities as often as in all.
 SMOOTHING = 2
 BATCH_BYTES = 4 << 20
+#: A row that is repeated is reported in shares of so many.
+SHARE = 100_000
 #: A worker hands on its term counts when it holds so many.
 MOST_TERMS = 200_000
 
@@ -213,12 +215,14 @@ def disclosing(scanned: DataFrame, docs: DataFrame, threshold: float) -> DataFra
 
 
 def find(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
-    """(key, doc_id, base, terms) for each distinct row: fixed spans, and the spans of disclosing terms.
+    """(key, doc_id, times, base, terms) for each distinct row: fixed spans, and the spans of disclosing terms.
 
-    One row for each key, so rows equal in doc_id and text count once.  A null or empty text
-    has no spans.  Only doc_id and text are read.
+    One row for each key, with the number of rows that have it, so rows equal in doc_id and text
+    count once.  A null or empty text has no spans.  Only doc_id and text are read.
     """
-    scanned = stored(_scan(docs).dropDuplicates(["key"]), "personal-data")
+    rows = _scan(docs)
+    same = [F.first(c).alias(c) for c in rows.columns if c != "key"]
+    scanned = stored(rows.groupBy("key").agg(*same, F.count(F.lit(1)).alias("times")), "personal-data")
     terms = disclosing(scanned, docs, threshold).groupBy("key").agg(F.collect_list("term").alias("wanted"))  # of one text
     wide = scanned.drop("entities").join(terms, "key", "left")
     places = "array<struct<start: long, end: long>>"
@@ -233,12 +237,12 @@ def find(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
                 ] if known else [])
             kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
             yield pa.RecordBatch.from_arrays(
-                [*(batch.column(c) for c in ("key", "doc_id", "base")), pa.array(found, kind)],
-                ["key", "doc_id", "base", "terms"],
+                [*(batch.column(c) for c in ("key", "doc_id", "times", "base")), pa.array(found, kind)],
+                ["key", "doc_id", "times", "base", "terms"],
             )
 
     return wide.mapInArrow(
-        run, f"key binary, doc_id long, base array<struct<start: long, kind: long, end: long>>, terms {places}"
+        run, f"key binary, doc_id long, times long, base array<struct<start: long, kind: long, end: long>>, terms {places}"
     )
 
 
@@ -253,8 +257,14 @@ def merged(base: list, terms: list) -> list[tuple[int, int, str]]:
 
 
 def report(found: DataFrame) -> DataFrame:
-    """doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans of each row of ``find``."""
-    kinds = F.array(*[F.lit(k) for k in KINDS])
+    """key, doc_id, n_email, n_ip, n_card, n_phone, base_sha256 and spans of each row that ``find`` has read.
+
+    A row that is repeated comes as often again: in shares of ``SHARE``, which are dealt out first.
+    """
+    kinds = F.array(*[F.lit(k) for k in (*KINDS, "term")])
+
+    def of_kind(place: int) -> Column:  # a second parameter of the lambda would be the index in the array
+        return F.size(F.filter("base", lambda span: span["kind"] == place))
 
     def named(span):
         return F.concat_ws(":", kinds[span["kind"].cast("int")], span["start"], span["end"])
@@ -265,13 +275,16 @@ def report(found: DataFrame) -> DataFrame:
         F.transform("terms", lambda s: F.struct(
             s["start"].alias("start"), F.lit(len(KINDS)).cast("long").alias("kind"), s["end"].alias("end"))),
     ))
-    kinds = F.array(*[F.lit(k) for k in (*KINDS, "term")])
-    return found.select(
-        "key", "doc_id",
-        *[F.size(F.filter("base", lambda s, i=i: s["kind"] == i)).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)],
+    told = found.select(
+        "key", "doc_id", "times",
+        *[of_kind(i).cast("long").alias(f"n_{k}") for i, k in enumerate(KINDS)],
         F.sha2(F.concat_ws(",", F.transform(ordered, named)), 256).alias("base_sha256"),
         F.concat_ws(",", F.transform(every, named)).alias("spans"),
     )
+    shares = told.withColumn("share", F.explode(F.sequence(F.lit(0), ((F.col("times") - 1) / SHARE).cast("long"))))
+    own = F.least(F.lit(SHARE), F.col("times") - F.col("share") * SHARE).cast("int")
+    each = shares.repartition("key", "share").withColumn("copy", F.explode(F.array_repeat(F.lit(0).cast("byte"), own)))
+    return each.drop("times", "share", "copy")
 
 
 def mask(text: str | None, base: list, terms: list) -> str | None:

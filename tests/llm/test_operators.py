@@ -14,7 +14,7 @@ import xxhash
 import zstandard
 
 from leadtide.llm import chunks, fingerprints, langid, mixing, packing, pii, quality, simhash, suffixes, toxicity
-from leadtide.llm.common import row_key
+from leadtide.llm.common import row_key, text_bytes
 from leadtide.llm.components import components
 from tests.llm.cases import ROWS, clashing, documents, rows, words
 
@@ -68,7 +68,7 @@ def test_awkward_empty_and_clashing(spark, name):
     assert run(docs.limit(0)).count() == 0
     other = run(clashing(docs))
     assert rows(other.select(*[f"`{c}`" for c in plain.columns])) == result
-    if name not in ("packing", "pii", "mixing", "one_of_each"):
+    if name not in ("packing", "mixing", "one_of_each"):
         assert len(result) == len(ROWS)
     if name in ("sanitise", "one_of_each"):
         clash = clashing(docs)
@@ -246,6 +246,50 @@ def test_pii_patterns():
         assert [(s, e) for s, k, e in pii.base_spans(text) if k == 0] == plain
 
 
+def test_pii_report_by_brute_force(spark):
+    import re
+
+    def base(text):
+        parts = {
+            "email": [m for m in re.finditer(pii.EMAIL.pattern, text)],
+            "ip": [m for m in re.finditer(pii.IP.pattern, text) if all(int(x) <= 255 for x in m[0].split("."))],
+            "card": [], "phone": [],
+        }
+        for m in re.finditer(pii.CARD.pattern, text):
+            digits = [int(c) for c in m[0] if c.isdigit()]
+            doubled = [sum(divmod(2 * d, 10)) if k % 2 else d for k, d in enumerate(reversed(digits))]
+            if 12 <= len(digits) <= 19 and sum(doubled) % 10 == 0:
+                parts["card"].append(m)
+        for m in re.finditer(pii.PHONE.pattern, text):
+            if 9 <= sum(c.isdigit() for c in m[0]) <= 15:
+                parts["phone"].append(m)
+        spans = sorted((m.start(), list(parts).index(k), m.end(), k) for k, found in parts.items() for m in found)
+        return [len(found) for found in parts.values()], [f"{k}:{s}:{e}" for s, _, e, k in spans]
+
+    r = np.random.default_rng(9)
+    bits = ["4539 1488 0343 6467", "4539148803436468", "+49 (30) 123-4567", "+1 2", "10.0.0.255", "10.0.256.1", "1.2.3.4.5",
+            "a.b@c-d.org", "é@x.y", "me@host.example.org", "€", "of all", "-", "378282246310005", "0"]
+    texts = [" ".join(r.choice(bits, 12)) for _ in range(60)] + ["", None, "plain words"]
+    every = [(k, t) for k, t in enumerate(texts)] * 3 + [(1, "other 10.0.0.1"), (None, None)]
+    pii_rows = pii.report(pii.find(spark.createDataFrame(every, "doc_id long, text string"))).collect()
+    want = []
+    for doc_id, text in every:
+        numbers, spans = base(text or "")
+        want.append((doc_id, *numbers, hashlib.sha256(",".join(spans).encode()).hexdigest(), tuple(spans)))
+    found = []
+    for row in pii_rows:
+        spans = tuple(s for s in row.spans.split(",") if s and not s.startswith("term:"))
+        found.append((row.doc_id, row.n_email, row.n_ip, row.n_card, row.n_phone, row.base_sha256, spans))
+    assert sorted(found, key=repr) == sorted(want, key=repr)  # a row for each row
+
+
+def test_pii_report_in_shares(spark, monkeypatch):
+    monkeypatch.setattr(pii, "SHARE", 3)
+    docs = spark.createDataFrame([(1, "10.0.0.1")] * 7 + [(2, None)] * 3 + [(3, "x")], "doc_id long, text string")
+    told = pii.report(pii.find(docs)).groupBy("doc_id").count().collect()
+    assert {r.doc_id: r["count"] for r in told} == {1: 7, 2: 3, 3: 1}
+
+
 def test_disclosing_terms(spark):
     secret = "jo@home.example.org"
     texts = [f"{words(10, i)} captain zanzibar {secret} of {words(10, 50 + i)}" for i in range(4)]
@@ -309,6 +353,21 @@ def test_quality_learns(spark):
     assert np.allclose(scores, dense, atol=1e-3)
 
 
+def test_quality_grams_by_brute_force():
+    texts = ["aé€😀 aé€", "", None, "ñ", "x y x y", "€€€€", "z"]
+    together = quality.features(pa.array(texts))
+    for text, row in zip(texts, together):
+        # the same alone as beside others
+        assert np.array_equal(row, quality.features(pa.array([text], pa.string()))[0])
+    chars, starts = quality._characters(*text_bytes(pa.array(texts)))
+    for k, text in enumerate(texts):
+        own = [int.from_bytes(c.encode(), "little") for c in text or ""]
+        assert chars[starts[k] : starts[k + 1]].tolist() == own
+    # characters of three bytes: equal grams but for the two at the end
+    third = together[5][2 * quality.SLOTS :]
+    assert sorted(third[third > 0].tolist()) == [0.25, 0.25, 0.5]
+
+
 def test_models_take_nothing(spark):
     docs, none = documents(spark), labels(spark).limit(0)
     assert quality.quality_rules(docs, none).count() == len(ROWS)
