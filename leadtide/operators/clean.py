@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from leadtide.functions.scores import share
 from leadtide.functions.text import normalise, percent_text
@@ -20,24 +20,41 @@ def with_normalised(raw: DataFrame) -> DataFrame:
     )
 
 
+def clean_key() -> Column:
+    """One text for each key of the cleaned table: the lengths tell where its parts end."""
+    parts = ["company_normalized", "title_normalized"]
+    return F.sha2(F.concat_ws("|", *[F.length(c) for c in parts], *parts, F.coalesce("location", F.lit(""))), 256)
+
+
 def clean_postings(raw: DataFrame) -> DataFrame:
     """One row per normalised company, normalised title and location (NULL = empty).
 
-    The smallest row in ``FIRST_ORDER`` is kept.  ``min`` over the whole row as a struct
-    combines before the shuffle, so a key that holds a large part of the table reaches
-    its reducer as one row per map task; a window would bring all its rows there.  This
-    aggregation sorts, and the hash in front lets it sort by a number; strings are
-    compared only where hashes are equal.
+    The smallest row in ``FIRST_ORDER`` is kept.
+    """
+    seen = {"first_seen": F.col("first_scraped_at"), "last_seen": F.col("last_scraped_at")}
+    return merge_postings(raw.withColumns(seen)).drop("kept_at")
+
+
+def merge_postings(rows: DataFrame) -> DataFrame:
+    """The same of raw postings that stand for others too: seen from ``first_seen`` to ``last_seen``.
+
+    ``kept_at`` tells the first scrape of the row that is kept; with it as ``first_scraped_at``
+    a cleaned row meets further postings of its key as all rows would that it stands for.
+
+    ``min`` over the whole row as a struct combines before the shuffle, so a key that holds a
+    large part of the table reaches its reducer as one row per map task; a window would bring
+    all its rows there.  This aggregation sorts, and the hash in front lets it sort by a number;
+    strings are compared only where hashes are equal.
     """
     key = ["company_normalized", "title_normalized", "_place"]
     grouped = (
-        with_normalised(raw)
+        with_normalised(rows)
         .withColumn("_place", F.coalesce("location", F.lit("")))
         .groupBy(F.xxhash64(*key).alias("_hash"), *key)
         .agg(
             F.min(F.struct(*FIRST_ORDER)).alias("_first"),
-            F.min("first_scraped_at").alias("first_seen"),
-            F.max("last_scraped_at").alias("last_seen"),
+            F.min("first_seen").alias("first_seen"),
+            F.max("last_seen").alias("last_seen"),
         )
     )
     kept = {name: F.col(f"_first.{name}") for name in FIRST_ORDER}
@@ -54,6 +71,7 @@ def clean_postings(raw: DataFrame) -> DataFrame:
         kept["source"].alias("source"),
         "first_seen",
         "last_seen",
+        kept["first_scraped_at"].alias("kept_at"),
     )
 
 

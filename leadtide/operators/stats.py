@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, functions as F
 
 from leadtide.functions.dates import week_start
 from leadtide.functions.titles import CLASSES, seniority, seniority_narrow
@@ -35,29 +35,35 @@ def company_stats(
     """
     jobs = weekly_jobs(cleaned)
     techs = read_techs(config, **limits)
-    things = [F.struct(F.lit("title").alias("kind"), F.col("title").alias("value"))]
-    if detail:
-        things.append(F.struct(F.lit("location").alias("kind"), F.col("location").alias("value")))
     if not techs.small:
-        rows = with_techs(jobs, techs).withColumn("matched", F.size("techs") > 0)
-        thing = F.explode_outer(  # never empty; see tech_matches for the outer form
-            F.concat(
-                F.array(*things),
-                F.transform(
-                    "techs", lambda t: F.struct(F.lit("tech").alias("kind"), t.alias("value"))
-                ),
-            )
-        )
-        masks = []
-    else:
-        columns = tech_masks(techs.rows)
-        masks = [f"mask{i}" for i in range(len(columns))]
-        found = F.lit(False)
-        for name in masks:
-            found = found | (F.col(name) != 0)
-        rows = jobs.withColumns(dict(zip(masks, columns))).withColumn("matched", found)
-        thing = F.explode(F.array(*things)) if detail else things[0]
+        return stats_of_detected(with_techs(jobs, techs), detail=detail)
+    columns = tech_masks(techs.rows)
+    masks = [f"mask{i}" for i in range(len(columns))]
+    found = F.lit(False)
+    for name in masks:
+        found = found | (F.col(name) != 0)
+    rows = jobs.withColumns(dict(zip(masks, columns))).withColumn("matched", found)
+    things = _things(detail)
+    thing = F.explode(F.array(*things)) if detail else things[0]
+    out = _rolled_up(rows, thing, detail, masks, names_of_masks(techs.rows, masks))
+    # an empty config detects nothing and reports nothing
+    return out if techs.rows else out.where(F.lit(False))
+
+
+def _things(detail: bool) -> list[Column]:
+    names = ["title", "location"] if detail else ["title"]
+    return [F.struct(F.lit(name).alias("kind"), F.col(name).alias("value")) for name in names]
 
+
+def stats_of_detected(jobs: DataFrame, *, detail: bool = False) -> DataFrame:
+    """The same of weekly postings whose technologies are known (``techs``, sorted names)."""
+    named = F.transform("techs", lambda t: F.struct(F.lit("tech").alias("kind"), t.alias("value")))
+    thing = F.explode_outer(F.concat(F.array(*_things(detail)), named))  # never empty; see tech_matches for the outer form
+    return _rolled_up(jobs.withColumn("matched", F.size("techs") > 0), thing, detail, [], F.array_sort("tech_list"))
+
+
+def _rolled_up(rows: DataFrame, thing: Column, detail: bool, masks: list[str], tech_array: Column) -> DataFrame:
+    """Both aggregations; technologies come as bits of ``masks``, or as things."""
     per_value = (
         rows.select(*GROUP, "company", "matched", *masks, thing.alias("thing"))
         .select(*GROUP, "company", "matched", *masks, "thing.kind", "thing.value")
@@ -91,7 +97,7 @@ def company_stats(
             F.collect_list(place).alias("all_places"),
             F.collect_list(F.when(F.col("matched"), place)).alias("hit_places"),
         ]
-    if not techs.small:
+    if not masks:
         lists.append(
             F.collect_list(F.when(F.col("kind") == "tech", F.col("value"))).alias("tech_list")
         )
@@ -107,8 +113,7 @@ def company_stats(
     def choose(name: str):
         return F.when(F.col("any_hit"), F.col(f"hit_{name}")).otherwise(F.col(f"all_{name}"))
 
-    tech_array = names_of_masks(techs.rows, masks) if techs.small else F.array_sort("tech_list")
-    out = grouped.select(
+    return grouped.select(
         "company_normalized",
         choose("company").alias("company"),
         "week_start",
@@ -127,7 +132,3 @@ def company_stats(
             else []
         ),
     )
-    # an empty config detects nothing and reports nothing
-    if techs.small and not techs.rows:
-        return out.where(F.lit(False))
-    return out

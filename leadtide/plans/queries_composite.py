@@ -11,9 +11,9 @@ from leadtide.operators.score import score_all_weeks
 from leadtide.operators.stats import GROUP, company_stats
 from leadtide.operators.upsert import upsert_postings
 from leadtide.plans.catalog import query
-from leadtide.plans.oracle import band, config_cte, rounded, sql
+from leadtide.plans.oracle import band, config_cte, normal, rounded, sql
 from leadtide.plans.queries_table import FEED, SUMMARY, SUMMARY_SQL, TREND
-from leadtide.sources import bindings
+from leadtide.sources import bindings, ledger, maintained
 from leadtide.sources.tables import lead_rows, new_path, read_csv, trend_rows
 
 DETAIL = "company_normalized, company, week_start, jobs_posted, tech_stack, locations, "
@@ -39,6 +39,48 @@ def c2(b):
     return b.cleaned
 
 
+AFTER_TWO = (
+    f"SELECT *, {normal('company')} AS company_normalized, {normal('title')} AS title_normalized, "
+    "coalesce(location, '') AS place FROM (SELECT * FROM touched UNION ALL SELECT * FROM fresh) AS t"
+)
+
+
+def two_batches(b) -> str:
+    """A ledger that began with the snapshot and took the batch in, with its cleaned rows."""
+    folder = new_path(b.spark, "ledger")
+    ledger.seed(b.snapshot, folder)
+    maintained.take_in_cleaned(b.spark, folder, 0)
+    ledger.take_in(b.batch, folder, 1)
+    return folder
+
+
+@query(
+    "c2_maintained_postings",
+    sql("SELECT * FROM cleaned", "touched", "fresh", "cleaned", normalised=AFTER_TWO),
+)
+def c2_maintained(b):
+    """Cleaned rows brought up to a second batch by what it changes."""
+    folder = two_batches(b)
+    maintained.take_in_cleaned(b.spark, folder, 1)
+    return maintained.cleaned_jobs(b.spark, folder)
+
+
+@query(
+    "c3_maintained_stats",
+    sql(
+        "SELECT company_normalized, company, week_start, jobs_posted, tech_stack FROM stats",
+        "touched", "fresh", "stats", normalised=AFTER_TWO,
+    ),
+)
+def c3_maintained(b):
+    """Weekly statistics brought up to a second batch; only weeks it changes are written."""
+    folder = two_batches(b)
+    maintained.take_in_stats(b.spark, folder, 0, b.config)
+    maintained.take_in_cleaned(b.spark, folder, 1)
+    maintained.take_in_stats(b.spark, folder, 1, b.config)
+    return maintained.weekly_stats(b.spark, folder)
+
+
 def detail_rows(df):
     return df.withColumn("locations", F.array_join("locations", "|")).drop("tech_array")
 

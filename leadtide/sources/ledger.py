@@ -19,15 +19,24 @@ import hashlib
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
+from pyspark.sql.types import StructType
 
 from leadtide.operators.upsert import PAYLOAD, RAW, one_per_job
-from leadtide.schemas import RAW_JOBS, require_columns
+from leadtide.schemas import CLEANED_JOBS, RAW_JOBS, require_columns
 from leadtide.sources.tables import discard, make_folder, new_path
 
+def _ddl(schema: StructType) -> str:
+    return ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in schema)
+
+
 COLUMNS = {
-    "postings": ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in RAW_JOBS),
+    "postings": _ddl(RAW_JOBS),
     "sightings": "job_id string, seen timestamp_ntz",
+    # written by sources/maintained.py
+    "cleaned": f"clean_key string, {_ddl(CLEANED_JOBS)}, kept_at timestamp_ntz",
 }
+#: What a part is bucketed by.
+KEYED_BY = {"postings": "job_id", "sightings": "job_id", "cleaned": "clean_key"}
 
 
 def begin(spark: SparkSession, folder: str, buckets: int | None = None) -> int:
@@ -52,10 +61,12 @@ def _table(spark: SparkSession, folder: str, name: str, buckets: int) -> str:
     """The name under which the session knows a part of the ledger, with all its partitions."""
     table = f"ledger_{hashlib.md5(folder.encode()).hexdigest()[:16]}_{name}"
     place = f"{folder}/{name}".replace("'", "\\'")
+    key = KEYED_BY[name]
     if not spark.catalog.tableExists(table):
+        make_folder(spark, f"{folder}/{name}")
         spark.sql(
             f"CREATE TABLE {table} ({COLUMNS[name]}, batch bigint, bucket int) USING parquet "
-            f"PARTITIONED BY (batch, bucket) CLUSTERED BY (job_id) SORTED BY (job_id) INTO {buckets} BUCKETS "
+            f"PARTITIONED BY (batch, bucket) CLUSTERED BY ({key}) SORTED BY ({key}) INTO {buckets} BUCKETS "
             f"LOCATION '{place}'"
         )
     spark.sql(f"ALTER TABLE {table} RECOVER PARTITIONS")  # what other sessions have written
@@ -70,9 +81,15 @@ def _part(spark: SparkSession, folder: str, name: str, before: int | None) -> Da
     return rows if before is None else rows.where(F.col("batch") < before)
 
 
-def bucket_of(buckets: int) -> Column:
-    """The bucket of a job_id, as Spark's bucketed tables have it."""
-    return F.expr(f"cast(pmod(hash(job_id), {buckets}) AS int)")
+def bucket_of(buckets: int, key: str = "job_id") -> Column:
+    """The bucket of a key, as Spark's bucketed tables have it."""
+    return F.expr(f"cast(pmod(hash({key}), {buckets}) AS int)")
+
+
+def touched_buckets(rows: DataFrame, folder: str, key: str = "job_id") -> list[int]:
+    """The buckets that the keys of ``rows`` lie in; at most as many numbers as there are buckets."""
+    buckets = _buckets(rows.sparkSession, folder)
+    return [r[0] for r in rows.select(bucket_of(buckets, key)).distinct().collect()]
 
 
 def _replace(rows: DataFrame, folder: str, name: str, number: int, buckets: int) -> None:
@@ -81,28 +98,30 @@ def _replace(rows: DataFrame, folder: str, name: str, number: int, buckets: int)
     table = _table(spark, folder, name, buckets)
     spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION (batch = {number})")
     discard(spark, f"{folder}/{name}/batch={number}")
-    placed = rows.withColumns({"batch": F.lit(number).cast("long"), "bucket": bucket_of(buckets)})
+    placed = rows.withColumns({"batch": F.lit(number).cast("long"), "bucket": bucket_of(buckets, KEYED_BY[name])})
     # one task, and one file, for each bucket
-    placed.repartition(buckets, "job_id").write.mode("append").insertInto(table)
+    placed.repartition(buckets, KEYED_BY[name]).write.mode("append").insertInto(table)
+
 
+def current(
+    spark: SparkSession, folder: str, before: int | None = None, buckets: list[int] | None = None
+) -> DataFrame:
+    """The raw_jobs table, as of all batches or of those before a number; nothing is shuffled.
 
-def current(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
-    """The raw_jobs table, as of all batches or of those before a number; nothing is shuffled."""
-    postings = _part(spark, folder, "postings", before)
-    seen = _part(spark, folder, "sightings", before).groupBy("job_id").agg(F.max_by("seen", "batch").alias("_seen"))
+    ``buckets`` reads these only."""
+    postings, sightings = (_part(spark, folder, name, before) for name in ("postings", "sightings"))
+    if buckets is not None:
+        postings, sightings = (rows.where(F.col("bucket").isin(buckets)) for rows in (postings, sightings))
+    seen = sightings.groupBy("job_id").agg(F.max_by("seen", "batch").alias("_seen"))
     return postings.join(seen, "job_id", "left").select(
         "job_id", *PAYLOAD, "first_scraped_at", F.coalesce("_seen", "last_scraped_at").alias("last_scraped_at")
     )
 
 
 def known_of(batch: DataFrame, folder: str, number: int) -> DataFrame:
-    """The rows of ``batch``, unique by job_id, with ``known``: whether an earlier batch brought the key.
-
-    At most as many bucket numbers as there are buckets come to the driver.
-    """
+    """The rows of ``batch``, unique by job_id, with ``known``: whether an earlier batch brought the key."""
     spark = batch.sparkSession
-    buckets = _buckets(spark, folder)
-    touched = [r[0] for r in batch.select(bucket_of(buckets)).distinct().collect()]
+    touched = touched_buckets(batch, folder)
     table = _part(spark, folder, "postings", number).where(F.col("bucket").isin(touched))
     held = table.select("job_id", F.lit(True).alias("known")).join(batch, "job_id", "right")
     return held.select(*batch.columns, F.coalesce("known", F.lit(False)).alias("known"))
@@ -146,7 +165,8 @@ def withdraw(spark: SparkSession, folder: str, number: int) -> None:
 
 
 def fold(spark: SparkSession, folder: str, into: str) -> None:
-    """Write the table to a new ledger ``into``, as its batch 0, without sightings."""
+    """Write the table to a new ledger ``into``, as its batch 0, without sightings and without cleaned rows
+    (``maintained.take_in_cleaned`` writes these anew)."""
     buckets = begin(spark, into, _buckets(spark, folder))
     _replace(current(spark, folder), into, "postings", 0, buckets)
 
