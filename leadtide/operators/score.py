@@ -142,7 +142,15 @@ def lead_scores(
         .agg(F.max_by("jobs_posted", "week_start").alias("jobs_last_week"))
     )
     rows = latest_week(stats).join(before, "company_normalized", "left")
-    scored = _scored(rows, stats, config, exact, max_targets)
+    return leads_of_week(rows, stats, config, exact=exact, max_targets=max_targets)
+
+
+def leads_of_week(
+    rows: DataFrame, counts: DataFrame, config: DataFrame, *, exact: bool = False, max_targets: int = MAX_TECHS
+) -> DataFrame:
+    """Rounded scores of the rows of one week, which have ``jobs_last_week``; ``counts`` has the
+    ``jobs_posted`` whose largest is full volume."""
+    scored = _scored(rows, counts, config, exact, max_targets)
     total = scores.composite(
         F.col("velocity_score"), F.col("tech_match_score"), F.col("volume_score")
     )

@@ -81,6 +81,19 @@ def c3_maintained(b):
     return maintained.weekly_stats(b.spark, folder)
 
 
+@query(
+    "c8_maintained_leads",
+    sql("SELECT * FROM leads", "touched", "fresh", "leads", normalised=AFTER_TWO),
+)
+def c8_maintained(b):
+    """Scores after a second batch, with late weeks, from each company's two newest weeks."""
+    folder = two_batches(b)
+    maintained.take_in_scores(b.spark, folder, 0, maintained.take_in_stats(b.spark, folder, 0, b.config))
+    maintained.take_in_cleaned(b.spark, folder, 1)
+    maintained.take_in_scores(b.spark, folder, 1, maintained.take_in_stats(b.spark, folder, 1, b.config))
+    return maintained.maintained_leads(b.spark, folder, b.config)
+
+
 def detail_rows(df):
     return df.withColumn("locations", F.array_join("locations", "|")).drop("tech_array")
 

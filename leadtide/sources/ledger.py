@@ -34,9 +34,10 @@ COLUMNS = {
     "sightings": "job_id string, seen timestamp_ntz",
     # written by sources/maintained.py
     "cleaned": f"clean_key string, {_ddl(CLEANED_JOBS)}, kept_at timestamp_ntz",
+    "companies": "company_normalized string, newest array<struct<week_start: date, jobs_posted: int>>",
 }
 #: What a part is bucketed by.
-KEYED_BY = {"postings": "job_id", "sightings": "job_id", "cleaned": "clean_key"}
+KEYED_BY = {"postings": "job_id", "sightings": "job_id", "cleaned": "clean_key", "companies": "company_normalized"}
 
 
 def begin(spark: SparkSession, folder: str, buckets: int | None = None) -> int:

@@ -1,4 +1,4 @@
-"""cleaned_jobs and company_stats kept up to date by what a batch of the ledger changes.
+"""cleaned_jobs, company_stats and lead scores kept up to date by what a batch of the ledger changes.
 
 The part ``cleaned`` of a ledger holds, for each batch, the cleaned rows of the keys the batch touched,
 as they are after it, in buckets of ``clean_key``: held rows and changed postings meet bucket by
@@ -11,16 +11,21 @@ changes takes one away.  Sums of these over all batches are the rows there are n
 rolled up again without the texts; keywords are sought in changed rows only.  ``<folder>/weekly/stats`` is
 company_stats by week; only weeks with changes are written.
 
+The part ``companies`` holds each company's two newest weeks with their counts, and
+``<folder>/weekly/maxima`` the largest count of each week, both by the batch that changed them:
+scores need no more of the weeks before the newest one.
+
 Batches are taken in order.  One that is repeated after a failure replaces what it wrote.
 """
 
 from __future__ import annotations
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from leadtide.operators.clean import clean_key, merge_postings, with_normalised
 from leadtide.operators.detect import with_techs
+from leadtide.operators.score import leads_of_week
 from leadtide.operators.stats import stats_of_detected, weekly_jobs
 from leadtide.operators.upsert import RAW
 from leadtide.schemas import CLEANED_JOBS, COMPANY_STATS, conform
@@ -123,8 +128,8 @@ def _config_print(config: DataFrame) -> str:
     return "/".join(map(str, row))
 
 
-def take_in_stats(spark: SparkSession, folder: str, number: int, config: DataFrame) -> None:
-    """Bring the weekly statistics up to batch ``number``, whose cleaned rows are there.
+def take_in_stats(spark: SparkSession, folder: str, number: int, config: DataFrame) -> list:
+    """Bring the weekly statistics up to batch ``number``, whose cleaned rows are there; the weeks written.
 
     Technologies are those of ``config``; if it is another one than before, all facts are written
     anew.  The weeks of one batch come to the driver.
@@ -160,6 +165,7 @@ def take_in_stats(spark: SparkSession, folder: str, number: int, config: DataFra
     left = set() if config.isEmpty() else _weeks(now)
     for week in set(weeks) - left:  # no row is left; nothing was written in place of the old ones
         discard(spark, f"{stats}/week_start={week}")
+    return weeks
 
 
 def _known_config(spark: SparkSession, folder: str) -> tuple[str | None, int | None]:
@@ -177,3 +183,79 @@ def weekly_stats(spark: SparkSession, folder: str) -> DataFrame:
     """company_stats as kept; equals ``company_stats`` of the cleaned table."""
     make_folder(spark, f"{folder}/weekly/stats")
     return conform(spark.read.schema(COMPANY_STATS).parquet(f"{folder}/weekly/stats"), COMPANY_STATS)
+
+
+def company_state(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
+    """company_normalized and ``newest``: its two newest weeks with their counts, newest first; not shuffled."""
+    rows = _part(spark, folder, "companies", before)
+    return rows.groupBy("company_normalized").agg(F.max_by("newest", "batch").alias("newest"))
+
+
+def _two_newest(weeks: Column) -> Column:
+    return F.slice(F.sort_array(weeks, asc=False), 1, 2)
+
+
+def _by_company(stats: DataFrame) -> DataFrame:
+    """Company and its weeks; a company has one row a week."""
+    return stats.groupBy("company_normalized").agg(F.collect_list(F.struct("week_start", "jobs_posted")).alias("found"))
+
+
+def week_maxima(spark: SparkSession, folder: str, before: int | None = None) -> DataFrame:
+    """week_start and the largest ``jobs_posted`` of each week that has rows."""
+    make_folder(spark, f"{folder}/weekly/maxima")
+    rows = spark.read.schema("week_start date, jobs_posted int, batch bigint").parquet(f"{folder}/weekly/maxima")
+    if before is not None:
+        rows = rows.where(F.col("batch") < before)
+    newest = rows.groupBy("week_start").agg(F.max_by("jobs_posted", "batch").alias("jobs_posted"))
+    return newest.where("jobs_posted IS NOT NULL")
+
+
+def take_in_scores(spark: SparkSession, folder: str, number: int, weeks: list) -> None:
+    """Bring what scores need up to batch ``number``; ``weeks`` is what ``take_in_stats`` wrote for it.
+
+    Weeks may come late, change and go.  Of the statistics, the weeks written are read.  Where a
+    company loses a week, so that one older than the two held may have moved up, its weeks are
+    looked up in the statistics again.
+    """
+    buckets = _buckets(spark, folder)
+    stats = weekly_stats(spark, folder)
+    if week_maxima(spark, folder, number).isEmpty():  # nothing is held yet
+        weeks = sorted({*weeks, *_weeks(stats)})
+    written = stats.where(F.col("week_start").isin(weeks))
+    week = spark.createDataFrame([(w,) for w in weeks], "week_start date")
+    most = written.groupBy("week_start").agg(F.max("jobs_posted").alias("jobs_posted"))
+    maxima = f"{folder}/weekly/maxima/batch={number}"
+    week.join(F.broadcast(most), "week_start", "left").coalesce(1).write.mode("overwrite").parquet(maxima)
+
+    both = company_state(spark, folder, number).join(_by_company(written), "company_normalized", "full")
+    left = F.filter("newest", lambda e: ~e["week_start"].isin(weeks))
+    none = F.array().cast(both.schema["newest"].dataType)
+    merged = _two_newest(F.concat(F.coalesce("left", none), F.coalesce("found", none)))
+    # weeks that are not held are older than both that are
+    since = F.when(F.size("newest") == 2, F.col("newest")[1]["week_start"])
+    sure = F.size(F.filter("merged", lambda e: e["week_start"] >= F.col("since"))) == 2
+    kept = new_path(spark, "companies")
+    changed = both.withColumns({"left": left, "since": since}).where("found IS NOT NULL OR size(left) < size(newest)")
+    changed.withColumn("merged", merged).select(
+        "company_normalized", "merged", F.coalesce(F.col("since").isNull() | sure, F.lit(False)).alias("sure")
+    ).write.parquet(kept)
+    rows = spark.read.parquet(kept)
+    after = rows.where("sure").select("company_normalized", F.col("merged").alias("newest"))
+    unsure = rows.where("NOT sure").select("company_normalized")
+    if not unsure.isEmpty():
+        again = unsure.join(_by_company(stats.join(unsure, "company_normalized", "left_semi")), "company_normalized", "left")
+        newest = F.coalesce(_two_newest(F.col("found")), none)
+        after = after.unionByName(again.select("company_normalized", newest.alias("newest")))
+    _replace(after, folder, "companies", number, buckets)
+    discard(spark, kept)
+
+
+def maintained_leads(spark: SparkSession, folder: str, config: DataFrame, **options) -> DataFrame:
+    """Scores of the newest week; equals ``lead_scores`` of the statistics, of which one week is read."""
+    maxima = week_maxima(spark, folder)
+    newest = F.lit(maxima.agg(F.max("week_start")).first()[0]).cast("date")
+    earlier = F.filter("newest", lambda e: e["week_start"] < newest)
+    last = F.try_element_at(earlier, F.lit(1))["jobs_posted"]
+    before = company_state(spark, folder).select("company_normalized", last.alias("jobs_last_week"))
+    rows = weekly_stats(spark, folder).where(F.col("week_start") == newest)
+    return leads_of_week(rows.join(before, "company_normalized", "left"), maxima, config, **options)

@@ -5,10 +5,13 @@ import os
 from datetime import datetime
 
 from leadtide.operators.clean import clean_postings
+from leadtide.operators.score import lead_scores
 from leadtide.operators.stats import company_stats
 from leadtide.sources.config import tech_config
 from leadtide.sources.ledger import current, seed, take_in
-from leadtide.sources.maintained import cleaned_jobs, take_in_cleaned, take_in_stats, weekly_stats
+from leadtide.sources.maintained import (
+    cleaned_jobs, company_state, maintained_leads, take_in_cleaned, take_in_scores, take_in_stats, weekly_stats,
+)
 from tests.helpers import batch, plan, raw
 from datetime import date
 
@@ -21,7 +24,14 @@ def same(spark, folder, config):
     whole = clean_postings(current(spark, folder))
     kept = cleaned_jobs(spark, folder)
     assert kept.columns == whole.columns and rows(kept) == rows(whole)
-    assert rows(weekly_stats(spark, folder)) == rows(company_stats(whole, config))
+    stats = company_stats(whole, config)
+    assert rows(weekly_stats(spark, folder)) == rows(stats)
+    assert rows(maintained_leads(spark, folder, config)) == rows(lead_scores(stats, config))
+    weeks = {}
+    for r in stats.collect():
+        weeks.setdefault(r.company_normalized, []).append((r.week_start, r.jobs_posted))
+    held = {r.company_normalized: [tuple(w) for w in r.newest] for r in company_state(spark, folder).collect() if r.newest}
+    assert held == {company: sorted(w, reverse=True)[:2] for company, w in weeks.items()}
 
 
 def begin(spark, folder, config):
@@ -40,7 +50,7 @@ def begin(spark, folder, config):
 
 def up(spark, folder, number, config):
     take_in_cleaned(spark, folder, number)
-    take_in_stats(spark, folder, number, config)
+    take_in_scores(spark, folder, number, take_in_stats(spark, folder, number, config))
 
 
 def files(folder):
@@ -101,6 +111,28 @@ def test_a_lost_attempt_with_another_batch(spark, tmp_path):
         same(spark, folder, config)
 
 
+def test_an_older_week_moves_up_when_a_newer_one_goes(spark, tmp_path):
+    folder, config = str(tmp_path / "ledger"), tech_config(spark)
+    seed(raw(spark, *[{"title": t, "posting_date": date(2024, 1, day), "description": "python"}
+                      for t, day in (("one", 3), ("two", 10), ("three", 17), ("four", 24))]), folder, 4)
+    up(spark, folder, 0, config)
+    same(spark, folder, config)
+    # an earlier scrape of the newest title has an older date; then of the next one too
+    for number, (title, day) in enumerate((("four", 2), ("three", 4)), 1):
+        moved = {"job_id": f"m{number}", "title": title, "location": "Toronto", "description": "python",
+                 "posting_date": date(2024, 1, day), "scraped_at": datetime(2024, 1, 1)}
+        take_in(batch(spark, moved), folder, number)
+        up(spark, folder, number, config)
+        same(spark, folder, config)
+
+
+def test_scores_read_one_week(spark, tmp_path):
+    folder, config = str(tmp_path / "ledger"), tech_config(spark)
+    begin(spark, folder, config)
+    scans = plan(maintained_leads(spark, folder, config)).split("PartitionFilters: ")[1:]
+    assert any("week_start" in s.split("PushedFilters")[0] and "= 2024-02-05" in s for s in scans)
+
+
 def test_held_rows_are_not_shuffled(spark, tmp_path):
     from leadtide.sources.maintained import cleaned_rows
 
