@@ -11,10 +11,12 @@ from leadtide.operators.clean import dedup_accounting, with_normalised
 from leadtide.operators.detect import tech_matches, with_techs
 from leadtide.operators.quality import duplicate_groups
 from leadtide.operators.score import latest_week
+from leadtide.operators.stackindex import build_index, tech_counts
 from leadtide.operators.stats import company_stats
 from leadtide.plans.catalog import query
 from leadtide.plans.oracle import rounded, sql, wide_class
 from leadtide.plans.queries_table import SUMMARY_SQL
+from leadtide.sources.tables import new_path
 
 
 @query(
@@ -259,6 +261,14 @@ def a21(b):
     return report.tech_distribution(b.stats)
 
 
+@query("a21_tech_distribution_indexed", sql("SELECT * FROM dist", "dist"))
+def a21_indexed(b):
+    """Counted by the bits of the index."""
+    folder = new_path(b.spark, "stack_index")
+    build_index(b.stats, folder)
+    return tech_counts(b.spark, folder)
+
+
 @query(
     "a22_tech_distribution_latest_week",
     sql("SELECT tech, count(*) AS company_count FROM stack_techs WHERE week_start = "

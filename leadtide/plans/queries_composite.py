@@ -13,7 +13,7 @@ from leadtide.operators.upsert import upsert_postings
 from leadtide.plans.catalog import query
 from leadtide.plans.oracle import band, config_cte, normal, rounded, sql
 from leadtide.plans.queries_table import FEED, SUMMARY, SUMMARY_SQL, TREND
-from leadtide.sources import bindings, ledger, maintained
+from leadtide.sources import bindings, daily, ledger, maintained
 from leadtide.sources.tables import lead_rows, new_path, read_csv, trend_rows
 
 DETAIL = "company_normalized, company, week_start, jobs_posted, tech_stack, locations, "
@@ -292,6 +292,18 @@ def c15(b):
     return report.recent_count(b.postings, b.postings.agg(F.max("last_scraped_at")).scalar())
 
 
+@query(
+    "c15_recent_count_by_day",
+    sql("SELECT count(*) AS job_count FROM postings WHERE last_scraped_at >= "
+        "(SELECT max(last_scraped_at) FROM postings) - INTERVAL 7 DAY", "postings"),
+)
+def c15_by_day(b):
+    path = new_path(b.spark, "by_day")
+    daily.write_by_day(b.postings, path)
+    rows = daily.recent(daily.read_by_day(b.spark, path), daily.newest_sighting(b.spark, path), 7)
+    return rows.agg(F.count("*").alias("job_count"))
+
+
 @query(
     "c16_top_leads_table",
     sql(

@@ -8,20 +8,22 @@ from leadtide.functions import scores
 from leadtide.functions.dates import within_days
 from leadtide.functions.text import dedup_key
 from leadtide.functions.titles import seniority, seniority_narrow
-from leadtide.operators import report
+from leadtide.operators import report, stackindex
 from leadtide.operators.clean import with_normalised
 from leadtide.operators.detect import tech_matches, with_techs
 from leadtide.operators.quality import duplicate_groups, invalid_scores, null_or_empty
 from leadtide.operators.score import latest_week, with_matched_weight, with_previous
+from leadtide.operators.stackindex import build_index
 from leadtide.operators.stats import GROUP, weekly_jobs
 from leadtide.operators.upsert import known_keys, split_batch
 from leadtide.plans.catalog import query
 from leadtide.plans.oracle import (
     RAW_COLUMNS, band, config_cte, matches, narrow_class, rounded, sql, wide_class,
 )
+from leadtide.sources import daily, ledger
 from leadtide.sources.bindings import document_config
 from leadtide.sources.config import DEFAULT_TECHS, tech_config
-from leadtide.sources.tables import lead_feed
+from leadtide.sources.tables import lead_feed, lead_rows, new_path
 
 STATS_COLUMNS = "company_normalized, company, week_start, jobs_posted, tech_stack"
 KEY_SQL = "company_normalized || '|' || title_normalized || '|' || place"
@@ -167,6 +169,47 @@ def p13(b):
     )
 
 
+def by_day(b) -> str:
+    """The postings laid out by the day of their last sighting."""
+    path = new_path(b.spark, "by_day")
+    daily.write_by_day(b.postings, path)
+    return path
+
+
+@query(
+    "p13_recent_by_day",
+    sql(
+        "SELECT job_id, last_scraped_at FROM postings WHERE last_scraped_at >= "
+        "(SELECT max(last_scraped_at) FROM postings) - INTERVAL 30 DAY",
+        "postings",
+    ),
+)
+def p13_by_day(b):
+    path = by_day(b)
+    rows = daily.recent(daily.read_by_day(b.spark, path), daily.newest_sighting(b.spark, path), 30)
+    return rows.select("job_id", "last_scraped_at")
+
+
+@query(
+    "p13_recent_by_day_after_batch",
+    sql(
+        "SELECT job_id, last_scraped_at FROM after WHERE last_scraped_at >= "
+        "(SELECT max(last_scraped_at) FROM after) - INTERVAL 30 DAY",
+        "touched", "fresh", "tech",
+        tech="SELECT 1 AS one), after AS (SELECT * FROM touched UNION ALL SELECT * FROM fresh",
+    ),
+)
+def p13_by_day_after_batch(b):
+    """A second batch moves the postings it sees again to their new day."""
+    folder, path = new_path(b.spark, "ledger"), new_path(b.spark, "by_day")
+    ledger.seed(b.snapshot, folder)
+    daily.write_by_day(ledger.current(b.spark, folder), path)
+    ledger.take_in(b.batch, folder, 1)
+    daily.take_in_days(b.spark, folder, path, 1)
+    rows = daily.recent(daily.read_by_day(b.spark, path), daily.newest_sighting(b.spark, path), 30)
+    return rows.select("job_id", "last_scraped_at")
+
+
 WEEK_SCORE = "company_normalized, week_start, composite_score"
 
 
@@ -219,6 +262,25 @@ def p18(b):
     return b.stats.where(report.has_techs(["Widget", "Promo"]))
 
 
+def stack_index(b, rows) -> str:
+    folder = new_path(b.spark, "stack_index")
+    build_index(rows, folder)
+    return folder
+
+
+@query(
+    "p18_all_techs_indexed",
+    sql(
+        f"SELECT {STATS_COLUMNS} FROM stats WHERE contains(tech_stack, 'Widget') "
+        "AND contains(tech_stack, 'Promo')",
+        "stats",
+    ),
+)
+def p18_indexed(b):
+    folder = stack_index(b, b.stats)
+    return stackindex.search(stackindex.indexed_rows(b.spark, folder), folder, ["Widget", "Promo"])
+
+
 @query(
     "p18_all_techs_regex",
     sql(
@@ -301,6 +363,13 @@ def p23_count(b):
     return search(b).agg(F.count("*").alias("found"))
 
 
+@query("p23_search_leads_indexed", sql(f"SELECT * {SEARCH_SQL}", "scored"))
+def p23_indexed(b):
+    folder = stack_index(b, lead_rows(b.scored))
+    rows = report.search_leads(stackindex.indexed_rows(b.spark, folder), 40, 2)
+    return stackindex.search(rows, folder, ["Widget", "Gear"])
+
+
 # --- joins -------------------------------------------------------------------------------------
 
 
@@ -617,6 +686,15 @@ def o4(b):
     return report.recent_postings(b.postings).select("job_id", "company", "title", "posting_date")
 
 
+@query(
+    "o4_recent_postings_by_day",
+    sql("SELECT job_id, company, title, posting_date FROM postings ORDER BY last_scraped_at DESC, "
+        "job_id, title, company LIMIT 5", "postings"),
+)
+def o4_by_day(b):
+    return daily.last_seen(b.spark, by_day(b)).select("job_id", "company", "title", "posting_date")
+
+
 @query("o5_top_techs", sql("SELECT * FROM dist ORDER BY company_count DESC, tech LIMIT 10", "dist"))
 def o5(b):
     return report.tech_distribution(b.stats).orderBy(F.desc("company_count"), "tech").limit(10)

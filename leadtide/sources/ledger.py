@@ -142,6 +142,12 @@ def take_in(batch: DataFrame, folder: str, number: int) -> None:
     discard(spark, kept)
 
 
+def batch_rows(spark: SparkSession, folder: str, number: int) -> DataFrame:
+    """The keys that batch ``number`` brought or saw again."""
+    parts = [_part(spark, folder, name, None).where(F.col("batch") == number) for name in ("postings", "sightings")]
+    return parts[0].select("job_id").union(parts[1].select("job_id"))
+
+
 def accounting(batch: DataFrame, folder: str, number: int) -> DataFrame:
     """One row: records of batch ``number``, keys it inserted, keys that were there (see ``ingest_accounting``).
 
