@@ -2,8 +2,9 @@
 
 Tokens are words and, for words never seen, their first letters.  A token's score is the log
 of how much more often it stands in toxic documents, under an informative Dirichlet prior
-drawn from all labelled documents, less one standard error and a constant, so that the mean
-score is negative.  A linear scan finds every maximal-scoring segment of a text.  Segment
+drawn from all labelled documents, brought nearer to zero by one standard error, less a constant,
+so that the mean score is negative.  Words of clean documents score below that constant, mild
+ones between it and zero.  A linear scan finds every maximal-scoring segment of a text.  Segment
 scores follow an extreme-value distribution; lambda and K, fitted to clean documents, turn a
 segment's score and the text's length into an expected number of chance segments (E), and
 segments of E below a bound are significant.  The -log E of these, summed, and of the best
@@ -28,8 +29,10 @@ from leadtide.llm.common import examples, fit_logistic, pieces, sigmoid, split_o
 SAMPLE_ROWS = 12_000
 #: Weight of the prior in documents: its part by the token's share, and its part for every token.
 PRIOR, EVEN_PRIOR = 4.0, 0.5
-#: What every token's score is lowered by, and the least score that a token keeps.
-DRIFT, LEAST_SCORE = 1.0, 0.5
+#: What every token's score is lowered by; a word of which nothing is known scores minus this.
+DRIFT = 1.5
+#: Documents a token must stand in to have a score of its own.
+LEAST_DOCUMENTS = 3
 #: Numbers of first letters that stand for a word that is not known; the first known ones count.
 PREFIXES = (6, 5, 4)
 #: Expected chance segments in a text up to which a segment is significant.
@@ -42,36 +45,34 @@ _EULER = 0.5772156649
 
 @dataclass(frozen=True)
 class Model:
-    words: dict[str, float]  # scores over LEAST_SCORE; 0 for known words of no account
+    words: dict[str, float]
     prefixes: dict[str, float]
     rate: float  # lambda of the extreme-value distribution
     size: float  # log K
     weights: tuple[float, float, float]  # of the calibration: sum, best, bias
 
-    def hits(self, text: str) -> tuple[list[tuple[int, float]], int]:
-        """(number, score) of the words with a positive score, and the number of words."""
+    def scores(self, text: str) -> list[float]:
+        """The score of each word of the text."""
         words, prefixes = self.words, self.prefixes
         out = []
-        found = _WORD.findall(text.lower())
-        for i, word in enumerate(found):
+        for word in _WORD.findall(text.lower()):
             score = words.get(word)
             if score is None:
-                score = 0.0
+                score = -DRIFT
                 for letters in PREFIXES:
                     if len(word) > letters and (known := prefixes.get(word[:letters])) is not None:
                         score = known
                         break
-            if score > 0:
-                out.append((i, score))
-        return out, len(found)
+            out.append(score)
+        return out
 
     def measures(self, text: str) -> tuple[float, float, list[tuple[int, int, float]]]:
         """The sum and the largest of -log E over the significant segments, and these segments."""
-        hits, n = self.hits(text)
+        scores = self.scores(text)
         total = best = 0.0
         significant = []
-        for first, last, score in segments(hits):
-            surprise = self.rate * score - self.size - math.log(max(n, 1))  # -log E
+        for first, last, score in segments(scores):
+            surprise = self.rate * score - self.size - math.log(max(len(scores), 1))  # -log E
             if surprise >= -math.log(MOST_EXPECTED):
                 total += surprise
                 best = max(best, surprise)
@@ -79,20 +80,20 @@ class Model:
         return total, best, significant
 
 
-def segments(hits: list[tuple[int, float]], drift: float = DRIFT) -> list[tuple[int, int, float]]:
+def segments(scores: list[float]) -> list[tuple[int, int, float]]:
     """(first word, last word, score) of all maximal-scoring segments, in one pass.
 
-    ``hits`` has the positive scores by word number; words between them score -drift.  The
-    list of candidates holds for each the running total before and after it; a new one joins
+    The list of candidates holds for each the running total before and after it; a new one joins
     the last that began lower, if its end is higher than that one's, and else stands alone.
     """
     stack: list[list] = []  # first word, last word, total before, total after, previous of lower start
-    total, at = 0.0, 0
-    for number, score in hits:
-        total -= drift * (number - at)
-        at = number + 1
-        first, before = number, total
+    total = 0.0
+    for number, score in enumerate(scores):
+        before = total
         total += score
+        if score <= 0:
+            continue
+        first = number
         while True:
             k = len(stack) - 1
             while k >= 0 and stack[k][2] >= before:
@@ -111,15 +112,17 @@ def _tokens(text: str) -> set[str]:
 
 
 def _log_odds(counts: Counter, toxic: Counter, n_toxic: int, n: int, drift: float) -> dict[str, float]:
-    """Scores by token from document counts; the prior has a token's share in all documents."""
+    """Scores by token from document counts; the prior has a token's share in all documents.
+
+    Log-odds that lie within a standard error of zero count as zero."""
     out = {}
     for token, all_ in counts.items():
         share = (all_ + 0.5) / (n + 1)
         a, b = PRIOR * share + EVEN_PRIOR, PRIOR * (1 - share) + EVEN_PRIOR
         yes, no = toxic[token] + a, n_toxic - toxic[token] + b
         clean, rest = all_ - toxic[token] + a, n - n_toxic - all_ + toxic[token] + b
-        score = math.log(yes / no) - math.log(clean / rest) - math.sqrt(1 / yes + 1 / clean) - drift
-        out[token] = score if score >= LEAST_SCORE and toxic[token] >= 3 else 0.0
+        odds = math.log(yes / no) - math.log(clean / rest)
+        out[token] = math.copysign(max(abs(odds) - math.sqrt(1 / yes + 1 / clean), 0.0), odds) - drift
     return out
 
 
@@ -154,23 +157,22 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     counted = (
         rows.where("not late").select("text", "toxic").mapInArrow(count, "token string, n long, n_toxic long")
         .groupBy("token").agg(F.sum("n").alias("n"), F.sum("n_toxic").alias("n_toxic"))
-        .where("token = '' or n_toxic >= 3 or n >= 20").toArrow()  # bounded by the sample
+        .where((F.col("token") == "") | (F.col("n") >= LEAST_DOCUMENTS)).toArrow()  # bounded by the sample
     )
     every = Counter(dict(zip(counted["token"].to_pylist(), counted["n"].to_pylist())))
     toxic = Counter(dict(zip(counted["token"].to_pylist(), counted["n_toxic"].to_pylist())))
     n, n_toxic = every.pop("", 0), toxic.pop("", 0)
     scores = _log_odds(every, toxic, n_toxic, n, DRIFT)
-    words = {t: s for t, s in scores.items() if not t.endswith("*") and (s > 0 or every[t] >= 20)}
-    prefixes = {t[:-1]: s for t, s in scores.items() if t.endswith("*") and (s > 0 or every[t] >= 20)}
+    words = {t: s for t, s in scores.items() if not t.endswith("*")}
+    prefixes = {t[:-1]: s for t, s in scores.items() if t.endswith("*")}
     draft = Model(words, prefixes, 1.0, 0.0, (0.0, 0.0, 0.0))
 
     def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in pieces(batches, BATCH_BYTES):
             rows = []
             for text, label in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist()):
-                hits, length = draft.hits(text)
-                found = segments(hits)
-                rows.append((int(label == 1), length, [s for *_, s in found]))
+                each = draft.scores(text)
+                rows.append((int(label == 1), len(each), [s for *_, s in segments(each)]))
             yield pa.RecordBatch.from_arrays(
                 [pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.int64()),
                  pa.array([r[2] for r in rows], pa.list_(pa.float64()))],
@@ -183,7 +185,7 @@ def fit(docs: DataFrame, labels: DataFrame, sample_rows: int = SAMPLE_ROWS) -> M
     best = np.array([(max(r.scores), math.log(max(r.length, 1))) for r in late if r.toxic == 0 and r.scores])
     clean = [r for r in late if r.toxic == 0]
     if len(best) >= 10:
-        # The clean documents without any hit are left out, so this errs to the cautious side.
+        # The clean documents without any segment are left out, so this errs to the cautious side.
         rate = math.pi / math.sqrt(6) / max(float((best[:, 0]).std()), 0.5)
         rate = min(rate, 2.0)
         share = math.log(len(best) / len(clean))

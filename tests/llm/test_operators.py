@@ -5,13 +5,17 @@ from __future__ import annotations
 import hashlib
 import itertools
 import json
+import math
+import re
 import zlib
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 import pytest
 import xxhash
 import zstandard
+from pyspark.sql import functions as F
 
 from leadtide.llm import chunks, fingerprints, langid, mixing, packing, pii, quality, simhash, suffixes, toxicity
 from leadtide.llm.common import row_key, text_bytes
@@ -456,12 +460,61 @@ def test_segments_are_maximal():
 
     for _ in range(200):
         n = int(r.integers(1, 14))
-        scores = [float(r.integers(1, 40)) / 7 + r.random() / 100 if r.random() < 0.5 else -1.0 for _ in range(n)]
-        found = toxicity.segments([(i, s) for i, s in enumerate(scores) if s > 0], 1.0)
+        scores = [float(r.integers(1, 40)) / 7 + r.random() / 100 if r.random() < 0.5 else -3 * r.random() for _ in range(n)]
+        found = toxicity.segments(scores)
         assert [(a, b) for a, b, _ in found] == brute(scores, 0, n)
         assert all(abs(s - sum(scores[a : b + 1])) < 1e-9 for a, b, s in found)
 
 
+def test_log_odds_of_both_signs():
+    counts, toxic = Counter(bad=40, clean=400, even=500, rare=3), Counter(bad=38, clean=4, even=50, rare=1)
+    scores = toxicity._log_odds(counts, toxic, 100, 1000, 1.0)
+    assert scores["bad"] > 1 and scores["even"] == -1.0 and scores["clean"] < -1.5
+    a, b = 4 * 40.5 / 1001 + 0.5, 4 * (1 - 40.5 / 1001) + 0.5
+    odds = math.log((38 + a) / (62 + b)) - math.log((2 + a) / (898 + b))
+    assert abs(scores["bad"] - (odds - math.sqrt(1 / (38 + a) + 1 / (2 + a)) - 1)) < 1e-12
+
+
+def test_scores_by_brute_force(spark):
+    """Scores and segments of every row from the definitions: all segments by splitting, E, the calibration."""
+    docs = spark.read.parquet("/root/testdata/sf0.001/documents.parquet").unionByName(documents(spark), True)
+    model = toxicity.fit(docs, spark.read.parquet("/root/testdata/sf0.001/labels.parquet"))
+    assert min(model.words.values()) < -1.5 and max(model.words.values()) > 0
+
+    def split(scores, low):
+        total, start, best = 0.0, 0, (1e-9, 0, 0)
+        for i, s in enumerate(scores):
+            if total <= 0:
+                total, start = 0.0, i
+            total += s
+            best = max(best, (total, -start, -i))
+        if best[0] <= 1e-9:
+            return []
+        i, j = -best[1], -best[2] + 1
+        return split(scores[:i], low) + [(low + i, low + j - 1, best[0])] + split(scores[j:], low + j)
+
+    def brute(text):
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        scores = []
+        for w in words:
+            heads = [model.prefixes[w[:n]] for n in (6, 5, 4) if len(w) > n and w[:n] in model.prefixes]
+            scores.append(model.words.get(w, heads[0] if heads else -toxicity.DRIFT))
+        found = [(i, j, model.rate * s - model.size - math.log(max(len(words), 1))) for i, j, s in split(scores, 0)]
+        found = [f for f in found if math.exp(-f[2]) <= 0.5 + 1e-12]
+        a, b, bias = model.weights
+        z = a * math.log1p(sum(f[2] for f in found)) + b * math.log1p(max((f[2] for f in found), default=0.0)) + bias
+        return 1 / (1 + math.exp(-z)), found
+
+    rows = docs.withColumn("doc_id", F.monotonically_increasing_id())
+    texts = {r.doc_id: r.text for r in rows.collect()}
+    scored = toxicity.score(rows, model).collect()
+    assert len(scored) == len(texts)
+    for r in scored:
+        p, found = brute(texts[r.doc_id])
+        assert abs(r.score - p) < 1e-6 and r.predicted == int(r.score >= 0.3)
+        assert [(x.first, x.last) for x in r.segments] == [(i, j) for i, j, _ in found]
+
+
 def test_gear_and_chunks():
     raw = np.frombuffer(words(400, 5).encode(), np.uint8)
     h, want = 0, []
