@@ -322,3 +322,46 @@ def identify(docs: DataFrame, model: Model) -> DataFrame:
 def languages(docs: DataFrame) -> DataFrame:
     """Fit on the labelled rows and identify every document; see ``fit`` and ``identify``."""
     return identify(docs, fit(docs))
+
+
+def _lowered(text: str) -> str:
+    """In lower case, with each character at its place; one that would become two stays as it is."""
+    low = text.lower()
+    return low if len(low) == len(text) else "".join(c.lower() if len(c.lower()) == 1 else c for c in text)
+
+
+def word_runs(docs: DataFrame, model: Model) -> DataFrame:
+    """doc_id and runs (start, end, lang) of each row: stretches of words whose most probable label is one language.
+
+    Labels are those of largest probability by forward-backward, ties to the first language by
+    name.  A run goes from its first word's beginning to its last word's end, in code points of
+    the text, end exclusive; the runs of a text hold all its words in order, and neighbours differ
+    in language.  Null texts, those without a letter, and all texts if no language was
+    learned have an empty list.  Rows that repeat come out as often; other columns play no part.
+    """
+    kind = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64()), ("lang", pa.string())]))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in pieces(batches, FEATURE_BYTES):
+            texts = [t if t and model.languages and _LETTER.search(t) else "" for t in batch.column("text").to_pylist()]
+            coded = [_lowered(t).encode() for t in texts]
+            starts = np.cumsum([0, *map(len, coded)])
+            raw = np.frombuffer(b"".join(coded), np.uint8)
+            first, end, of_text = words_of(raw, starts)
+            found: list[list[dict]] = [[] for _ in texts]
+            if len(first):
+                p, _ = forward_backward(emissions(raw, first, end, model), of_text, model.transitions)
+                label, owner = p.argmax(axis=1), np.searchsorted(of_text, np.arange(len(first)), "right") - 1
+                change = (label[1:] != label[:-1]) | (owner[1:] != owner[:-1])
+                begins = np.concatenate([[0], np.flatnonzero(change) + 1])
+                lasts = np.concatenate([begins[1:], [len(first)]]) - 1
+                point = np.concatenate([[0], np.cumsum((raw & 0xC0) != 0x80)])  # code points before each byte
+                whose = owner[begins]
+                low = point[first[begins]] - point[starts[whose]]
+                high = point[end[lasts]] - point[starts[whose]]
+                for i, a, b, k in zip(whose.tolist(), low.tolist(), high.tolist(), label[begins].tolist()):
+                    found[i].append({"start": a, "end": b, "lang": model.languages[k]})
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(found, kind)], ["doc_id", "runs"])
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    return rows.mapInArrow(run, "doc_id long, runs array<struct<start: long, end: long, lang: string>>")

@@ -438,6 +438,52 @@ def test_languages_of_held_out_rows(spark):
     assert sum(r.lang == r.lang_pred for r in found) >= 0.97 * len(found)
 
 
+def test_runs_of_spliced_texts(spark):
+    """Stretches of held-out texts, put together, are found again."""
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    model = langid.fit(docs)
+    told = docs.where("pmod(crc32(cast(cast(doc_id AS string) AS binary)), 4) = 2 AND length(text) > 200").orderBy("doc_id").limit(60)
+    stretches = [(" ".join(r.text.split()[:25]), r.lang) for r in told.collect() if r.lang in model.languages]
+    texts, want = [], []
+    for i in range(0, len(stretches) - 2, 3):
+        at, marks = 0, []
+        for part, lang in stretches[i : i + 3]:
+            marks += [(at, at + len(part), lang)]
+            at += len(part) + 1
+        texts.append(" ".join(part for part, _ in stretches[i : i + 3]))
+        want.append(marks)
+    assert len(texts) >= 10
+    found = langid.word_runs(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), model).collect()
+    right = total = 0
+    for r in found:
+        for a, b, lang in want[r.doc_id]:
+            total += b - a
+            right += sum(max(0, min(b, x.end) - max(a, x.start)) for x in r.runs if x.lang == lang)
+    assert right >= 0.9 * total
+
+
+def test_runs_by_brute_force(spark):
+    model = langid.train([(words(300, i), lang) for i, lang in enumerate(["de", "en"])])
+    texts = [t for _, t, *_ in ROWS] + ["İstanbul " + words(9, 50) + " " + words(9, 1)]
+    table = clashing(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"))
+    found = {r.doc_id: [tuple(x) for x in r.runs] for r in langid.word_runs(table, model).collect()}
+    for i, text in enumerate(texts):
+        want = []
+        places = [m.span() for m in re.finditer(r"[A-Za-z\u0080-\U0010FFFF]+", text or "")]
+        if places and any(c.isalpha() for c in text):
+            raw = np.frombuffer("".join(c.lower() if len(c.lower()) == 1 else c for c in text).encode(), np.uint8)
+            first, end, of_text = langid.words_of(raw, np.array([0, len(raw)]))
+            p, _ = langid.forward_backward(langid.emissions(raw, first, end, model), of_text, model.transitions)
+            labelled = zip(places, p.argmax(axis=1).tolist(), strict=True)
+            for k, group in itertools.groupby(labelled, lambda x: x[1]):
+                spans = [span for span, _ in group]
+                want.append((spans[0][0], spans[-1][1], model.languages[k]))
+        assert found[i] == want
+    assert langid.word_runs(table.limit(0), model).count() == 0
+    none = langid.word_runs(table, langid.train([])).collect()
+    assert len(none) == len(texts) and not any(r.runs for r in none)
+
+
 def test_toxicity_of_held_out_rows(spark):
     docs = spark.read.parquet("/root/testdata/sf0.1/documents.parquet")
     marked = spark.read.parquet("/root/testdata/sf0.1/labels.parquet")
