@@ -27,6 +27,32 @@ def normalise(text) -> Column:
     return F.when(suspect, F.btrim(plain, F.lit(WHITESPACE))).otherwise(plain)
 
 
+def packed(*texts) -> Column:
+    """One text for several, which tells them apart and compares as they do one by one, NULL first.
+
+    NULL is 0; another text is 1, the text and 0.  In it 0 is written as 1 1 and 1 as 1 2.
+    """
+    zero, one = F.lit("\u0000"), F.lit("\u0001")
+
+    def part(text) -> Column:
+        plain = F.replace(F.replace(text, one, F.lit("\u0001\u0002")), zero, F.lit("\u0001\u0001"))
+        return F.coalesce(F.concat(one, plain, zero), zero)
+
+    return F.concat(*[part(F.col(t) if isinstance(t, str) else t) for t in texts])
+
+
+def unpacked(text: Column, count: int) -> list[Column]:
+    """The ``count`` texts of ``packed``."""
+    zero, one = F.lit("\u0000"), F.lit("\u0001")
+
+    def part(number: int) -> Column:
+        whole = F.split_part(text, zero, F.lit(number))
+        plain = F.replace(F.replace(whole.substr(2, 2**31 - 1), F.lit("\u0001\u0001"), zero), F.lit("\u0001\u0002"), one)
+        return F.when(whole != "", plain)
+
+    return [part(n) for n in range(1, count + 1)]
+
+
 def dedup_key(company, title, location) -> Column:
     """Readable posting key; grouping uses the three columns, so ``|`` cannot collide."""
     return F.concat_ws("|", company, title, F.coalesce(location, F.lit("")))

@@ -5,13 +5,15 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leadtide.functions.scores import share
-from leadtide.functions.text import normalise, percent_text
+from leadtide.functions.text import normalise, packed, percent_text, unpacked
 
 # "First" in a total order, so that the kept row does not depend on the partitioning.
 FIRST_ORDER = [
     "first_scraped_at", "job_id", "title", "description", "location", "url", "source",
     "company", "last_scraped_at", "posting_date",
 ]
+# The texts among them, which follow one another and travel as one text in the same order.
+TEXTS = FIRST_ORDER[1:8]
 
 
 def with_normalised(raw: DataFrame) -> DataFrame:
@@ -31,47 +33,52 @@ def clean_postings(raw: DataFrame) -> DataFrame:
 
     The smallest row in ``FIRST_ORDER`` is kept.
     """
-    seen = {"first_seen": F.col("first_scraped_at"), "last_seen": F.col("last_scraped_at")}
-    return merge_postings(raw.withColumns(seen)).drop("kept_at")
+    return merge_postings(raw, spans=False).drop("kept_at")
 
 
-def merge_postings(rows: DataFrame) -> DataFrame:
-    """The same of raw postings that stand for others too: seen from ``first_seen`` to ``last_seen``.
+def merge_postings(rows: DataFrame, *, spans: bool = True) -> DataFrame:
+    """The same of raw postings that stand for others too: seen from ``first_seen`` to ``last_seen``
+    (without ``spans`` from their first to their last scrape).
 
     ``kept_at`` tells the first scrape of the row that is kept; with it as ``first_scraped_at``
     a cleaned row meets further postings of its key as all rows would that it stands for.
 
     ``min`` over the whole row as a struct combines before the shuffle, so a key that holds a
     large part of the table reaches its reducer as one row per map task; a window would bring
-    all its rows there.  This aggregation sorts, and the hash in front lets it sort by a number;
-    strings are compared only where hashes are equal.
+    all its rows there.  This aggregation sorts and spills what it is given, so it gets narrow
+    rows: 128 bits in place of the three texts of the key, and one text in place of seven, which
+    compares as these do.  The normalised texts are those of the kept row.
     """
-    key = ["company_normalized", "title_normalized", "_place"]
-    grouped = (
-        with_normalised(rows)
-        .withColumn("_place", F.coalesce("location", F.lit("")))
-        .groupBy(F.xxhash64(*key).alias("_hash"), *key)
-        .agg(
-            F.min(F.struct(*FIRST_ORDER)).alias("_first"),
-            F.min("first_seen").alias("first_seen"),
-            F.max("last_seen").alias("last_seen"),
-        )
+    place = F.coalesce("location", F.lit(""))
+    texts = packed(*TEXTS)
+    rest = [c for c in FIRST_ORDER if c not in TEXTS]
+    narrow = with_normalised(rows).select(
+        F.unhex(F.md5(packed("company_normalized", "title_normalized", place))).alias("_key"),
+        F.struct(rest[0], texts.alias("texts"), *rest[1:]).alias("_row"),
+        *(["first_seen", "last_seen"] if spans else []),
     )
-    kept = {name: F.col(f"_first.{name}") for name in FIRST_ORDER}
-    return grouped.select(
-        kept["job_id"].alias("job_id"),
-        kept["company"].alias("company"),
+    grouped = narrow.groupBy("_key").agg(
+        F.min("_row").alias("_first"),
+        F.min("first_seen" if spans else "_row.first_scraped_at").alias("first_seen"),
+        F.max("last_seen" if spans else "_row.last_scraped_at").alias("last_seen"),
+    )
+    kept = {name: F.col(f"_first.{name}") for name in rest}
+    kept |= dict(zip(TEXTS, unpacked(F.col("_first.texts"), len(TEXTS))))
+    first = grouped.select(*[kept[name].alias(name) for name in FIRST_ORDER], "first_seen", "last_seen")
+    return with_normalised(first).select(
+        "job_id",
+        "company",
         "company_normalized",
-        kept["title"].alias("title"),
+        "title",
         "title_normalized",
-        kept["description"].alias("description"),
-        kept["location"].alias("location"),
-        kept["posting_date"].alias("posting_date"),
-        kept["url"].alias("url"),
-        kept["source"].alias("source"),
+        "description",
+        "location",
+        "posting_date",
+        "url",
+        "source",
         "first_seen",
         "last_seen",
-        kept["first_scraped_at"].alias("kept_at"),
+        F.col("first_scraped_at").alias("kept_at"),
     )
 
 

@@ -1,6 +1,10 @@
 import random
 from datetime import date, datetime
+from itertools import product
 
+from pyspark.sql import functions as F
+
+from leadtide.functions.text import packed, unpacked
 from leadtide.operators.clean import FIRST_ORDER, clean_postings, dedup_accounting
 from leadtide.operators.quality import deduplication_effective, no_null_companies
 from tests.helpers import JAN, raw
@@ -89,3 +93,22 @@ def test_null_company_check(spark):
     df = clean_postings(raw(spark, {"company": "  "}, {"company": "b"}))
     check = no_null_companies(df).first()
     assert (check.passed, check.measured, check.limit, check.note) == (False, 1, 2, "50.00%")
+
+
+def test_packed_texts_come_back_and_compare_as_they_do_one_by_one(spark):
+    texts = [None, "", "\0", "\1", "\2", "a", "a\0", "a\1", "\0\1", "\1\0", "\0\2", "\1\2", "\1\1", "ab", "é", "\uffff", "\U0001f600"]
+    rows = spark.createDataFrame(list(product(texts, texts)), "a string, b string").withColumn("p", packed("a", "b"))
+    back = rows.select("a", "b", *[c.alias(n) for c, n in zip(unpacked(F.col("p"), 2), "xy")])
+    assert back.where("NOT (a <=> x AND b <=> y)").count() == 0
+    one_by_one, at_once = ([r[:2] for r in rows.orderBy(*by).collect()] for by in (["a", "b"], ["p"]))
+    assert one_by_one == at_once
+
+
+def test_control_characters_and_nulls_do_not_mix_keys(spark):
+    rows = raw(
+        spark,
+        {"company": "a\0", "title": "b"}, {"company": "a", "title": "\0b"}, {"company": "a\1\0", "title": "b"},
+        {"company": "x", "title": "x\0", "location": None}, {"company": "x", "title": "x", "location": "\0"},
+    )
+    found = clean_postings(rows).collect()
+    assert sorted((r.company, r.title) for r in found) == sorted((r.company, r.title) for r in rows.collect())
