@@ -9,6 +9,8 @@ from leadtide.operators.detect import tech_matches
 from leadtide.operators.report import score_histogram
 from leadtide.operators.score import lead_scores, with_matched_weight
 from leadtide.operators.stats import company_stats
+from leadtide.plans import queries_relational, queries_table
+from leadtide.plans.catalog import Base
 from leadtide.schemas import CLEANED_JOBS, RAW_JOBS
 from leadtide.sources.bindings import part_config
 from leadtide.sources.tables import read_table, refresh_table
@@ -85,3 +87,25 @@ def test_histogram_counts_before_it_joins(tables, spark):
 def test_declared_schemas(tables):
     assert tables["raw_jobs"].schema.names == RAW_JOBS.names
     assert tables["cleaned_jobs"].schema.names == CLEANED_JOBS.names
+
+
+def test_cleaning_sorts_and_shuffles_narrow_rows(tables):
+    """The key goes as 128 bits, the texts of a row as one."""
+    shuffled = re.findall(r"Exchange hashpartitioning\(([^)]*)\)", plan(clean_postings(tables["raw_jobs"])))
+    assert [re.sub(r"#\d+", "", s) for s in shuffled] == [f"_key, {shuffled[0].split(', ')[1]}"]
+
+
+def test_full_refresh_cleans_once_for_both_runs(spark, monkeypatch, tables):
+    seen = []
+    monkeypatch.setattr(queries_table, "refresh_table", lambda df, path, name: seen.append(plan(df)))
+    base = Base(spark, "")
+    base.postings = tables["raw_jobs"]
+    monkeypatch.setattr(queries_table, "read_table", lambda *_: None)
+    queries_table.k6(base)
+    assert len(seen) == 2 and not any("Aggregate" in text for text in seen)
+
+
+def test_long_target_lists_meet_stored_statistics(spark, tables):
+    base = Base(spark, "")
+    base.postings = tables["raw_jobs"]
+    assert "title_normalized" not in plan(queries_relational.j4_untidy_many(base)) and "stored_stats" in base.__dict__
