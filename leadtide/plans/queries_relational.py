@@ -545,7 +545,7 @@ def j4_untidy(b):
 
 @query("j4_matched_weight_untidy_targets_many", UNTIDY_WEIGHTS)
 def j4_untidy_many(b):
-    return with_matched_weight(b.stats, untidy_config(b), max_targets=0).select(
+    return with_matched_weight(b.stored_stats, untidy_config(b), max_targets=0).select(
         *GROUP, scores.round_to(F.col("matched_weight")).alias("matched_weight")
     )
 
