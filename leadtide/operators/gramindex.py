@@ -87,11 +87,14 @@ def substring_hits(texts: DataFrame, needles: DataFrame) -> DataFrame:
         "rarest",
     )
     salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    keyed = needles.join(rarest, "needle").withColumn("salt", salts)
+    # a needle that is its own gram is in all texts that give the gram out, so it needs no test and does not travel (a
+    # replacement character may stand for bytes that are no UTF-8)
+    tested = F.when((F.col("needle") != F.col("gram")) | F.contains("needle", F.lit("\ufffd")), F.col("needle"))
+    keyed = needles.join(rarest, "needle").select("gram", tested.alias("needle"), "what", salts.alias("salt"))
     # a gram may stand in a large part of all texts
     held = _grams_in(texts, rarest).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
     near = held.join(keyed, ["gram", "salt"]).groupBy("key").agg(F.collect_set(F.struct("needle", "what")).alias("near"))
-    sure = F.filter("near", lambda n: F.exists("parts", lambda p: F.contains(p, n["needle"])))
+    sure = F.filter("near", lambda n: F.exists("parts", lambda p: n["needle"].isNull() | F.contains(p, n["needle"])))
     found = F.array_distinct(F.transform(sure, lambda n: n["what"]))
     return texts.join(near, "key").select("key", found.alias("found")).where(F.size("found") > 0)
 

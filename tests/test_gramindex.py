@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -39,6 +40,17 @@ def test_empty_needles_and_tables(spark):
     assert sought(spark, [], [("abc", "x")]) == {}
 
 
+def test_only_needles_longer_than_their_gram_are_tested(spark, monkeypatch):
+    """A needle of five letters is its own gram; bytes that are no UTF-8 are not the replacement character."""
+    texts = spark.createDataFrame([("k", [b"abcde abcdef", b"x\xffy"])], "key string, parts array<binary>")
+    texts = texts.withColumn("parts", F.transform("parts", lambda p: p.cast("string")))
+    needles = [("abcde", "short"), ("abcdef", "long"), ("\ufffd", "bytes"), ("zzzzz", "none")]
+    found = gramindex.substring_hits(texts, spark.createDataFrame(needles, "needle string, what string"))
+    assert sorted(found.first().found) == ["long", "short"]
+    text = found._jdf.queryExecution().executedPlan().toString()
+    assert re.search(r"CASE WHEN \(NOT \(needle#\d+ = gram#\d+\)", text)
+
+
 def test_every_row_of_a_text_gets_its_hits(spark):
     rows = spark.range(200).select("id", F.lit("same").alias("text"))
     found = spark.createDataFrame([(["w"],)], "found array<string>").withColumn("key", gramindex.text_key(F.lit("same")))
