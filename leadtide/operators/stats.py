@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, functions as F
 
 from leadtide.functions.dates import week_start
+from leadtide.functions.text import packed
 from leadtide.functions.titles import CLASSES, seniority, seniority_narrow
 from leadtide.operators.detect import names_of_masks, read_techs, tech_masks, with_techs
 
@@ -63,21 +64,27 @@ def stats_of_detected(jobs: DataFrame, *, detail: bool = False) -> DataFrame:
 
 
 def _rolled_up(rows: DataFrame, thing: Column, detail: bool, masks: list[str], tech_array: Column) -> DataFrame:
-    """Both aggregations; technologies come as bits of ``masks``, or as things."""
-    per_value = (
-        rows.select(*GROUP, "company", "matched", *masks, thing.alias("thing"))
-        .select(*GROUP, "company", "matched", *masks, "thing.kind", "thing.value")
-        # in both groupings a hash comes first, so that sort-based aggregation sorts by a number
-        .groupBy(F.xxhash64(*GROUP, "kind", "value").alias("_hash"), *GROUP, "kind", "value")
-        .agg(
-            F.bool_or("matched").alias("matched"),
-            F.min("company").alias("company"),
-            F.min(F.when(F.col("matched"), F.col("company"))).alias("matched_company"),
-            *[F.bit_or(m).alias(m) for m in masks],
-        )
-    )
+    """Both aggregations; technologies come as bits of ``masks``, or as things.
 
-    is_title = (F.col("kind") == "title") & F.col("value").isNotNull()
+    Both sort and spill what they are given.  So where only titles are counted, 128 bits stand for the
+    group and its title, and of company names one travels: the smallest of the postings that name a
+    technology, or of all, with its rank before it.
+    """
+    counted = bool(masks) and not detail  # only how many values there are is asked
+    rank = F.when(F.col("matched"), F.lit(0)).otherwise(F.lit(2)) + F.col("company").isNull().cast("int")
+    narrow = rows.select(
+        *GROUP, F.struct(rank.cast("tinyint").alias("rank"), "company").alias("who"), *masks, thing.alias("thing")
+    ).select(*GROUP, "who", *masks, "thing.kind", "thing.value")
+    # in both groupings a hash comes first, so that sort-based aggregation sorts by a number
+    if counted:
+        bits = F.unhex(F.md5(packed("company_normalized", F.col("week_start").cast("string"), "value")))
+        keys = [bits.alias("_hash"), *GROUP, F.isnotnull("value").alias("named")]
+    else:
+        keys = [F.xxhash64(*GROUP, "kind", "value").alias("_hash"), *GROUP, "kind", "value"]
+    per_value = narrow.groupBy(*keys).agg(F.min("who").alias("who"), *[F.bit_or(m).alias(m) for m in masks])
+    per_value = per_value.withColumn("matched", F.col("who.rank") < 2)
+
+    is_title = F.col("named") if counted else (F.col("kind") == "title") & F.col("value").isNotNull()
     is_hit = is_title & F.col("matched")
     counts = [
         F.count_if(is_title).alias("all_jobs"),
@@ -102,20 +109,18 @@ def _rolled_up(rows: DataFrame, thing: Column, detail: bool, masks: list[str], t
             F.collect_list(F.when(F.col("kind") == "tech", F.col("value"))).alias("tech_list")
         )
     grouped = per_value.groupBy(F.xxhash64(*GROUP).alias("_hash"), *GROUP).agg(
-        F.bool_or("matched").alias("any_hit"),
-        F.min("company").alias("all_company"),
-        F.min("matched_company").alias("hit_company"),
+        F.min("who").alias("who"),
         *[F.bit_or(m).alias(m) for m in masks],
         *counts,
         *lists,
     )
 
     def choose(name: str):
-        return F.when(F.col("any_hit"), F.col(f"hit_{name}")).otherwise(F.col(f"all_{name}"))
+        return F.when(F.col("who.rank") < 2, F.col(f"hit_{name}")).otherwise(F.col(f"all_{name}"))
 
     return grouped.select(
         "company_normalized",
-        choose("company").alias("company"),
+        F.col("who.company").alias("company"),
         "week_start",
         choose("jobs").cast("int").alias("jobs_posted"),
         F.array_join(tech_array, ",").alias("tech_stack"),

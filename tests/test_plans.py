@@ -9,7 +9,7 @@ from leadtide.operators.detect import tech_matches
 from leadtide.operators.report import score_histogram
 from leadtide.operators.score import lead_scores, with_matched_weight
 from leadtide.operators.stats import company_stats
-from leadtide.plans import queries_relational, queries_table
+from leadtide.plans import queries_quality, queries_relational, queries_table
 from leadtide.plans.catalog import Base
 from leadtide.schemas import CLEANED_JOBS, RAW_JOBS
 from leadtide.sources.bindings import part_config
@@ -109,3 +109,16 @@ def test_long_target_lists_meet_stored_statistics(spark, tables):
     base = Base(spark, "")
     base.postings = tables["raw_jobs"]
     assert "title_normalized" not in plan(queries_relational.j4_untidy_many(base)) and "stored_stats" in base.__dict__
+
+
+def test_statistics_shuffle_one_company_name_and_no_title(spark, tables):
+    text = re.sub(r"#\d+L?", "", plan(company_stats(tables["cleaned_jobs"], part_config(spark))))
+    assert text.count("Exchange") == 2 and "named" in text
+    assert "matched_company" not in text and "all_company" not in text
+
+
+def test_validity_of_all_weeks_scores_once(spark, tables):
+    base = Base(spark, "")
+    base.postings = tables["raw_jobs"]
+    text = plan(queries_quality.q6_all(base))
+    assert "Window" not in text and "Scan parquet" in text

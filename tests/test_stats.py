@@ -172,3 +172,18 @@ def test_long_configs_stay_tables(spark):
     techs = read_techs(tech_config(spark), max_techs=0)
     assert not techs.small and techs.rows == []
     assert company_stats(cleaned(spark, {}), tech_config(spark), max_techs=0).count() == 1
+
+
+@pytest.mark.parametrize("limits", [SMALL, LARGE])
+def test_company_of_a_week_is_the_smallest_that_names_a_technology(spark, limits):
+    jobs = cleaned(
+        spark,
+        {"job_id": "1", "company": "Acme", "company_normalized": "a", "title": "x", "description": "none"},
+        {"job_id": "2", "company": "aCME", "company_normalized": "a", "title": "y", "description": "java"},
+        {"job_id": "3", "company": "?", "company_normalized": "a", "title": "z", "description": "java"},
+        {"job_id": "4", "company": "B", "company_normalized": "b", "title": "x", "description": "none"},
+        {"job_id": "5", "company": "?", "company_normalized": "b", "title": "?", "description": "none"},
+    )
+    jobs = jobs.withColumns({name: F.nullif(name, F.lit("?")) for name in ("company", "title")})
+    rows = company_stats(jobs, tech_config(spark, TECHS), **limits).collect()
+    assert sorted((r.company_normalized, r.company, r.jobs_posted) for r in rows) == [("a", "aCME", 2), ("b", "B", 1)]
