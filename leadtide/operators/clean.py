@@ -23,9 +23,9 @@ def with_normalised(raw: DataFrame) -> DataFrame:
 
 
 def clean_key() -> Column:
-    """One text for each key of the cleaned table: the lengths tell where its parts end."""
-    parts = ["company_normalized", "title_normalized"]
-    return F.sha2(F.concat_ws("|", *[F.length(c) for c in parts], *parts, F.coalesce("location", F.lit(""))), 256)
+    """128 bits for each key of the cleaned table."""
+    place = F.coalesce("location", F.lit(""))
+    return F.unhex(F.md5(packed("company_normalized", "title_normalized", place)))
 
 
 def clean_postings(raw: DataFrame) -> DataFrame:
@@ -49,23 +49,57 @@ def merge_postings(rows: DataFrame, *, spans: bool = True) -> DataFrame:
     rows: 128 bits in place of the three texts of the key, and one text in place of seven, which
     compares as these do.  The normalised texts are those of the kept row.
     """
-    place = F.coalesce("location", F.lit(""))
-    texts = packed(*TEXTS)
+    return _widened(_grouped(rows, spans)).drop("clean_key")
+
+
+def merge_into(held: DataFrame, rows: DataFrame) -> DataFrame:
+    """``clean_key`` and the same of raw postings and of held cleaned rows (one a key) together, for the keys of ``rows``.
+
+    The postings are combined first and meet the held rows by key: these are not shuffled where they
+    lie in buckets of ``clean_key``.
+    """
+    new = _grouped(rows, spans=False).withColumnRenamed("_key", "clean_key")
+    as_raw = held.withColumns({"first_scraped_at": F.col("kept_at"), "last_scraped_at": F.col("last_seen")})
+    old = as_raw.select(
+        "clean_key", _narrow_row().alias("_held"), F.col("first_seen").alias("_from"), F.col("last_seen").alias("_to")
+    )
+    both = new.join(old, "clean_key", "left").select(
+        F.col("clean_key").alias("_key"),
+        F.least("_first", "_held").alias("_first"),
+        F.least("first_seen", "_from").alias("first_seen"),
+        F.greatest("last_seen", "_to").alias("last_seen"),
+    )
+    return _widened(both)
+
+
+def _narrow_row() -> Column:
     rest = [c for c in FIRST_ORDER if c not in TEXTS]
+    return F.struct(rest[0], packed(*TEXTS).alias("texts"), *rest[1:])
+
+
+def _grouped(rows: DataFrame, spans: bool) -> DataFrame:
+    """For each key its smallest row, narrow, and its span."""
     narrow = with_normalised(rows).select(
-        F.unhex(F.md5(packed("company_normalized", "title_normalized", place))).alias("_key"),
-        F.struct(rest[0], texts.alias("texts"), *rest[1:]).alias("_row"),
+        clean_key().alias("_key"),
+        _narrow_row().alias("_row"),
         *(["first_seen", "last_seen"] if spans else []),
     )
-    grouped = narrow.groupBy("_key").agg(
+    return narrow.groupBy("_key").agg(
         F.min("_row").alias("_first"),
         F.min("first_seen" if spans else "_row.first_scraped_at").alias("first_seen"),
         F.max("last_seen" if spans else "_row.last_scraped_at").alias("last_seen"),
     )
-    kept = {name: F.col(f"_first.{name}") for name in rest}
+
+
+def _widened(grouped: DataFrame) -> DataFrame:
+    """The columns of narrow rows again."""
+    kept = {name: F.col(f"_first.{name}") for name in FIRST_ORDER if name not in TEXTS}
     kept |= dict(zip(TEXTS, unpacked(F.col("_first.texts"), len(TEXTS))))
-    first = grouped.select(*[kept[name].alias(name) for name in FIRST_ORDER], "first_seen", "last_seen")
+    first = grouped.select(
+        F.col("_key").alias("clean_key"), *[kept[name].alias(name) for name in FIRST_ORDER], "first_seen", "last_seen"
+    )
     return with_normalised(first).select(
+        "clean_key",
         "job_id",
         "company",
         "company_normalized",

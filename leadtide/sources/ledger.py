@@ -33,7 +33,7 @@ COLUMNS = {
     "postings": _ddl(RAW_JOBS),
     "sightings": "job_id string, seen timestamp_ntz",
     # written by sources/maintained.py
-    "cleaned": f"clean_key string, {_ddl(CLEANED_JOBS)}, kept_at timestamp_ntz",
+    "cleaned": f"clean_key binary, {_ddl(CLEANED_JOBS)}, kept_at timestamp_ntz",
     "companies": "company_normalized string, newest array<struct<week_start: date, jobs_posted: int>>",
 }
 #: What a part is bucketed by.
@@ -129,16 +129,21 @@ def known_of(batch: DataFrame, folder: str, number: int) -> DataFrame:
 
 
 def take_in(batch: DataFrame, folder: str, number: int) -> None:
-    """Append a typed batch, which is read once.  Of the table only the keys of touched buckets are read."""
+    """Append a typed batch, which is read once.  Of the table only the keys of touched buckets are read.
+
+    The batch is shuffled once and stored in buckets, from which sightings and new postings are taken."""
     spark = batch.sparkSession
     buckets = _buckets(spark, folder) or begin(spark, folder)
     kept = new_path(spark, "batch")
     checked = require_columns(batch, RAW_JOBS, ["job_id", "company", "title", "source"])
-    one_per_job(checked).select(*RAW).write.parquet(kept)
-    rows = known_of(spark.read.schema(RAW_JOBS).parquet(kept), folder, number)
+    staged = f"batch_{hashlib.md5(kept.encode()).hexdigest()}"
+    placed = one_per_job(checked).select(*RAW).repartition(buckets, "job_id")
+    placed.write.option("path", kept).bucketBy(buckets, "job_id").sortBy("job_id").format("parquet").saveAsTable(staged)
+    rows = known_of(spark.table(staged), folder, number)
     seen = rows.where("known").select("job_id", F.col("last_scraped_at").alias("seen"))
     _replace(seen, folder, "sightings", number, buckets)
     _replace(rows.where("NOT known").select(*RAW), folder, "postings", number, buckets)
+    spark.sql(f"DROP TABLE {staged}")
     discard(spark, kept)
 
 

@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from leadtide.operators.clean import clean_key, merge_postings, with_normalised
+from leadtide.operators.clean import clean_key, merge_into, with_normalised
 from leadtide.operators.detect import with_techs
 from leadtide.operators.score import leads_of_week
 from leadtide.operators.stats import stats_of_detected, weekly_jobs
@@ -56,8 +56,7 @@ def cleaned_jobs(spark: SparkSession, folder: str, before: int | None = None) ->
 
 
 def _keyed(raw: DataFrame) -> DataFrame:
-    seen = {"first_seen": F.col("first_scraped_at"), "last_seen": F.col("last_scraped_at")}
-    return with_normalised(raw).withColumn("clean_key", clean_key()).withColumns(seen)
+    return with_normalised(raw).withColumn("clean_key", clean_key())
 
 
 def _changed(spark: SparkSession, folder: str, number: int) -> DataFrame:
@@ -73,27 +72,21 @@ def _changed(spark: SparkSession, folder: str, number: int) -> DataFrame:
 def take_in_cleaned(spark: SparkSession, folder: str, number: int) -> None:
     """Bring the cleaned rows up to batch ``number``, which the ledger has taken in.
 
-    A posting seen again at an earlier time than before can shorten the span of its key, which
+    The changed postings are shuffled once, to the buckets of their keys, where they meet the held rows
+    and are written.  A posting seen again at an earlier time than before can shorten the span of its key, which
     merging can't; such keys are cleaned anew from the ledger.
     """
     kept = new_path(spark, "changed")
-    _keyed(_changed(spark, folder, number)).write.parquet(kept)
-    rows = spark.read.parquet(kept)
-    keys = rows.select("clean_key").distinct()
-    held = cleaned_rows(spark, folder, number, touched_buckets(keys, folder, "clean_key")).join(keys, "clean_key", "left_semi")
-    as_raw = held.withColumns({"first_scraped_at": F.col("kept_at"), "last_scraped_at": F.col("last_seen")})
-    names = [*RAW, "first_seen", "last_seen"]
+    _changed(spark, folder, number).write.parquet(kept)
+    rows = _keyed(spark.read.parquet(kept))
+    held = cleaned_rows(spark, folder, number, touched_buckets(rows, folder, "clean_key"))
     late = rows.where("back").select("clean_key").distinct()
-    if late.isEmpty():
-        after = merge_postings(as_raw.select(*names).unionByName(rows.select(*names)))
-    else:
-        merged = as_raw.select("clean_key", *names).unionByName(rows.select("clean_key", *names))
+    if not late.isEmpty():
+        held = held.join(late, "clean_key", "left_anti")
         anew = _keyed(current(spark, folder, number + 1)).join(late, "clean_key", "left_semi")
-        after = merge_postings(
-            merged.join(late, "clean_key", "left_anti").select(*names).unionByName(anew.select(*names))
-        )
-    placed = after.withColumn("clean_key", clean_key()).select("clean_key", *HELD)
-    _replace(placed, folder, "cleaned", number, _buckets(spark, folder))
+        rows = rows.join(late, "clean_key", "left_anti").select(*RAW).unionByName(anew.select(*RAW))
+    after = merge_into(held, rows.select(*RAW)).select("clean_key", *HELD)
+    _replace(after, folder, "cleaned", number, _buckets(spark, folder))
     discard(spark, kept)
 
 
@@ -147,7 +140,9 @@ def take_in_stats(spark: SparkSession, folder: str, number: int, config: DataFra
         touched = _weeks(before.where(F.col("batch") == number))  # an earlier attempt's
         discard(spark, f"{facts}/batch={number}")
         rows = changes(spark, folder, number)
-    own = with_techs(weekly_jobs(rows), config).groupBy("week_start", *FACT).agg(F.sum("sign").alias("n")).where("n <> 0")
+    own = with_techs(weekly_jobs(rows), config).select("week_start", *FACT, F.col("sign").cast("long").alias("n"))
+    if not anew:  # else there is one row of each already, as company, title and location tell the key
+        own = own.groupBy("week_start", *FACT).agg(F.sum("n").alias("n")).where("n <> 0")
     own.hint("rebalance", "week_start").write.partitionBy("week_start").parquet(f"{facts}/batch={number}")
     if anew:
         row = spark.range(1).select(F.lit(used).alias("print"), F.lit(number).alias("since"))
@@ -155,14 +150,19 @@ def take_in_stats(spark: SparkSession, folder: str, number: int, config: DataFra
 
     held = _facts(spark, folder).where(F.col("batch") <= number)
     weeks = sorted(touched | _weeks(held.where(F.col("batch") == number)))
-    now = held.where(F.col("week_start").isin(weeks)).groupBy("week_start", *FACT).agg(F.sum("n").alias("n")).where("n > 0")
+    touching = held.where(F.col("week_start").isin(weeks))
+    if anew:  # all facts are this batch's, each once
+        now = touching.where("n > 0")
+    else:
+        now = touching.groupBy("week_start", *FACT).agg(F.sum("n").alias("n")).where("n > 0")
     out = conform(stats_of_detected(now), COMPANY_STATS)
     if config.isEmpty():  # detects nothing and reports nothing
         out = out.where(F.lit(False))
     out.hint("rebalance", "week_start").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
         "week_start"
     ).parquet(stats)
-    left = set() if config.isEmpty() else _weeks(now)
+    # no fact is fewer than none in sum, so the sums by week tell which are left
+    left = set() if config.isEmpty() else _weeks(touching.groupBy("week_start").agg(F.sum("n").alias("n")).where("n > 0"))
     for week in set(weeks) - left:  # no row is left; nothing was written in place of the old ones
         discard(spark, f"{stats}/week_start={week}")
     return weeks

@@ -139,3 +139,28 @@ def test_held_rows_are_not_shuffled(spark, tmp_path):
     folder, config = str(tmp_path / "ledger"), tech_config(spark)
     begin(spark, folder, config)
     assert "Exchange hashpartitioning" not in plan(cleaned_rows(spark, folder, 1, [0, 3]))
+
+
+def test_a_batch_is_shuffled_once(spark, tmp_path, monkeypatch):
+    """One shuffle brings the changed postings to the buckets of their keys; the stored batch needs none."""
+    from leadtide.sources import ledger, maintained
+
+    folder, config = str(tmp_path / "ledger"), tech_config(spark)
+    begin(spark, folder, config)
+    plans = {}
+
+    def noted(rows, folder, name, number, buckets):
+        plans[name] = plan(rows.repartition(buckets, ledger.KEYED_BY[name])).split("Initial Plan")[-1]
+        written(rows, folder, name, number, buckets)
+
+    written = ledger._replace
+    monkeypatch.setattr(ledger, "_replace", noted)
+    monkeypatch.setattr(maintained, "_replace", noted)
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")  # as with tables too large to be sent
+    try:
+        take_in(batch(spark, {"job_id": "a"}, {"job_id": "z", "company": "Beta"}), folder, 1)
+        take_in_cleaned(spark, folder, 1)
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    assert {name: text.count("Exchange") for name, text in plans.items()} == {"sightings": 0, "postings": 0, "cleaned": 1}
+    assert rows(cleaned_jobs(spark, folder)) == rows(clean_postings(current(spark, folder)))
