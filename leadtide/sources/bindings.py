@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from leadtide.sources.config import tech_config
+from leadtide.sources.tables import folder_size
 
 # Technologies found in the benchmark tables: name, keywords, category, target, weight.
 PART_TECHS = [
@@ -35,6 +36,10 @@ COLUMNS = {
 }
 
 
+#: Bytes of a file in one partition above which its rows are dealt out, and what a partition has then.
+LARGE_PIECE, SMALL_PIECE = 32 << 20, 8 << 20
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     return spark.read.schema(COLUMNS[name]).parquet(f"{folder}/{name}.parquet")
 
@@ -49,6 +54,15 @@ def spread(df: DataFrame, *by: str) -> DataFrame:
     return df.repartition(cores, *by) if df.rdd.getNumPartitions() < cores else df
 
 
+def dealt(df: DataFrame, path: str, *by: str) -> DataFrame:
+    """The same for narrow rows that are widened and sorted next, where a partition would be a large piece of
+    the file at ``path``: so many tasks that none has to spill its rows."""
+    size, parts = folder_size(df.sparkSession, path), df.rdd.getNumPartitions()
+    if size <= LARGE_PIECE * parts:
+        return spread(df, *by)
+    return df.repartition(max(-(-size // SMALL_PIECE), df.sparkSession.sparkContext.defaultParallelism), *by)
+
+
 def part_config(spark: SparkSession) -> DataFrame:
     return tech_config(spark, PART_TECHS)
 
@@ -60,7 +74,9 @@ def document_config(spark: SparkSession) -> DataFrame:
 def postings(spark: SparkSession, folder: str) -> DataFrame:
     """Line items as scraped postings; ``line`` is kept to tell batches apart."""
     joined = (
-        spread(table(spark, folder, "lineitem"), "l_orderkey", "l_partkey", "l_linenumber")
+        dealt(
+            table(spark, folder, "lineitem"), f"{folder}/lineitem.parquet", "l_orderkey", "l_partkey", "l_linenumber"
+        )
         .join(table(spark, folder, "part"), F.expr("l_partkey = p_partkey"))
         .join(table(spark, folder, "supplier"), F.expr("l_suppkey = s_suppkey"))
         .join(table(spark, folder, "nation"), F.expr("s_nationkey = n_nationkey"))

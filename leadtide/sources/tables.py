@@ -93,6 +93,12 @@ def make_folder(spark: SparkSession, path: str) -> None:
     where.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(where)
 
 
+def folder_size(spark: SparkSession, path: str) -> int:
+    """The bytes of a file or folder; any file system Spark knows."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).getContentSummary(where).getLength()
+
+
 def discard(spark: SparkSession, path: str) -> None:
     """Delete what ``new_path`` gave, when a run is done with it; any file system Spark knows."""
     where = spark._jvm.org.apache.hadoop.fs.Path(path)
