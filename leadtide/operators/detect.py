@@ -16,7 +16,8 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from leadtide.operators.gramindex import substring_hits, text_key, with_found
+from leadtide.operators.gramindex import HOT_ROWS, substring_hits, text_key, with_found
+from leadtide.sources.tables import store
 
 # What is folded into a plan; more is joined as a table.
 MAX_TECHS = 250
@@ -181,12 +182,13 @@ def _sought(jobs: DataFrame, config: DataFrame, title: str, description: str) ->
     """``jobs`` with ``techs``; each different pair of texts is sought once."""
     parts = [F.coalesce(F.lower(c), F.lit("")) for c in (title, description)]
     texts = jobs.select(text_key(*parts).alias("key"), F.array(*parts).alias("parts"))
-    texts = texts.groupBy("key").agg(F.min("parts").alias("parts"))
+    texts = store(texts.groupBy("key").agg(F.min("parts").alias("parts"), F.count("*").alias("rows")), "texts")
     needles = config.where("tech_name IS NOT NULL").select(
         F.col("tech_name").alias("what"), F.explode("keywords").alias("needle")
     )
-    found = substring_hits(texts, needles)
-    every = with_found(jobs, text_key(*parts), found, "techs", jobs.columns)
+    found = substring_hits(texts.select("key", "parts"), needles)
+    hot = texts.where(F.col("rows") > HOT_ROWS)
+    every = with_found(jobs, text_key(*parts), found, "techs", jobs.columns, hot)
     none = F.array().cast("array<string>")
     return every.withColumn("techs", F.array_sort(F.coalesce("techs", none)))
 

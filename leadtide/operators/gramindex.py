@@ -4,8 +4,8 @@ A needle that occurs in a text brings all its grams (runs of five characters) al
 enough to look for it in texts that hold the one of its grams that texts hold least.  Needles
 are keyed by that gram; texts give out those of their grams that are keys, and meet the
 needles there; what meets is tested.  Everything is a join or an aggregation of built-in
-expressions, so needles and texts may both be of any number.  Both are read several times
-and are written to the shared folder for that.
+expressions, so needles and texts may both be of any number.  Both are read several times:
+needles are written to the shared folder for that, and callers pass a stored table of texts.
 """
 
 from __future__ import annotations
@@ -23,16 +23,24 @@ BLOCK = 1 << 16
 #: One text of so many is asked how common grams are; that decides the key of a needle, not the result.
 ASKED_OF = 8
 SALTS = 16
+#: Needles up to this many, and bytes of needles and of ``what``, are sent to the texts instead of dealing both out by
+#: gram.  This chooses the plan only.
+BROADCAST_NEEDLES = 500_000
+BROADCAST_BYTES = 32_000_000
+#: Where counts are known, only keys of more rows are salted when these meet what was found.
+HOT_ROWS = 1_000
 
 
-# the place of a gram in the bitmap
-_WORD = f"cast(pmod(xxhash64(gram), {BITS}L) div 64 AS int)"
-_BIT = f"shiftleft(1L, cast(pmod(xxhash64(gram), {BITS}L) % 64 AS int))"
+def _place(name: str) -> tuple[Column, Column]:
+    """The word of the hash of a column in the bitmap, and its bit there."""
+    at = f"pmod(xxhash64({name}), {BITS}L)"
+    return F.expr(f"cast({at} div 64 AS int)"), F.expr(f"shiftleft(1L, cast({at} % 64 AS int))")
 
 
 def text_key(*parts: Column) -> Column:
     """128 bits of the texts; equal texts are sought once."""
-    return F.md5(F.concat_ws("\u0001", *[F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts]))
+    whole = F.concat_ws("\u0001", *[F.concat(F.length(p).cast("string"), F.lit(":"), p) for p in parts])
+    return F.unhex(F.md5(whole))
 
 
 def _runs_of(text: Column, length: int) -> Column:
@@ -44,14 +52,21 @@ def _keys_of(needle: Column) -> Column:
     return F.when(F.length(needle) < GRAM, F.array(needle)).otherwise(F.array_distinct(_runs_of(needle, GRAM)))
 
 
-def _bitmap(grams: DataFrame) -> Column:
-    """The grams' hashes as BITS / 64 longs, a scalar subquery."""
-    held = grams.groupBy(F.expr(_WORD).alias("word")).agg(F.bit_or(F.expr(_BIT)).alias("bits"))
-    every = grams.sparkSession.range(BITS // 64).withColumnRenamed("id", "word").join(held, "word", "left")
+def _bitmap(held: DataFrame, name: str) -> Column:
+    """The hashes of a column as BITS / 64 longs, a scalar subquery."""
+    word, bit = _place(name)
+    held = held.groupBy(word.alias("word")).agg(F.bit_or(bit).alias("bits"))
+    every = held.sparkSession.range(BITS // 64).withColumnRenamed("id", "word").join(held, "word", "left")
     row = F.array_sort(F.collect_list(F.struct("word", F.coalesce("bits", F.lit(0).cast("long")).alias("bits"))))
     return every.agg(F.transform(row, lambda w: w["bits"]).alias("bits")).scalar()
 
 
+def _in_bitmap(bits: Column, name: str) -> Column:
+    """Whether the bit of a column is set."""
+    word, bit = _place(name)
+    return F.element_at(bits, word + 1).bitwiseAND(bit) != 0
+
+
 def _grams_in(texts: DataFrame, used: DataFrame) -> DataFrame:
     """(key, gram) of the grams in use, with chance hits, once for each block of a text."""
     at = F.explode_outer(F.sequence(F.lit(0), F.greatest(F.length("part") - 1, F.lit(0)), F.lit(BLOCK)))
@@ -66,17 +81,26 @@ def _grams_in(texts: DataFrame, used: DataFrame) -> DataFrame:
     ])
     # the outer form: a plain explode computes the array twice, once to see whether it is empty
     rows = blocks.select("key", F.explode_outer(F.array_distinct(grams)).alias("gram"))
-    word = F.element_at(_bitmap(used), F.expr(_WORD) + 1)
-    return rows.where(F.col("gram").isNotNull() & (word.bitwiseAND(F.expr(_BIT)) != 0))
+    return rows.where(F.col("gram").isNotNull() & _in_bitmap(_bitmap(used, "gram"), "gram"))
+
+
+def _few(needles: DataFrame) -> bool:
+    """Whether the needles are within the limits of a broadcast."""
+    size = F.octet_length("needle") + F.coalesce(F.octet_length(F.col("what").cast("string")), F.lit(0))
+    n, chars = needles.agg(F.count("*"), F.coalesce(F.sum(size), F.lit(0))).first()
+    return n <= BROADCAST_NEEDLES and chars <= BROADCAST_BYTES
 
 
 def substring_hits(texts: DataFrame, needles: DataFrame) -> DataFrame:
     """(key, found): for each text the ``what`` of all needles that are substrings of some part of it.
 
-    ``texts`` has (key, parts), unique by key, parts without nulls; ``needles`` (needle, what), where
-    ``what`` can be compared.  Texts without a hit have no row.  An empty needle is in every text.
+    ``texts`` has (key, parts), unique by key, parts without nulls, and is read several times; ``needles`` (needle, what),
+    where ``what`` can be compared.  Texts without a hit have no row.  An empty needle is in every text.
+
+    Needles within the limits are broadcast, and texts give out what they hold, once.  More meet the grams of the
+    texts in a join by gram.  The texts themselves move only if a needle is longer than its gram.
     """
-    texts, needles = store(texts, "texts"), store(needles.where(F.col("needle").isNotNull()).distinct(), "needles")
+    needles = store(needles.where(F.col("needle").isNotNull()).distinct(), "needles")
     grams = needles.select("needle", F.explode(_keys_of(F.col("needle"))).alias("gram"))
     asked = texts.where(F.pmod(F.xxhash64("key"), F.lit(ASKED_OF)) == 0)
     common = _grams_in(asked, grams).groupBy("gram").agg(F.count("*").alias("texts"))
@@ -86,26 +110,43 @@ def substring_hits(texts: DataFrame, needles: DataFrame) -> DataFrame:
         .select("needle", F.col("best.gram").alias("gram")),
         "rarest",
     )
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
     # a needle that is its own gram is in all texts that give the gram out, so it needs no test and does not travel (a
     # replacement character may stand for bytes that are no UTF-8)
-    tested = F.when((F.col("needle") != F.col("gram")) | F.contains("needle", F.lit("\ufffd")), F.col("needle"))
-    keyed = needles.join(rarest, "needle").select("gram", tested.alias("needle"), "what", salts.alias("salt"))
-    # a gram may stand in a large part of all texts
-    held = _grams_in(texts, rarest).withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
-    near = held.join(keyed, ["gram", "salt"]).groupBy("key").agg(F.collect_set(F.struct("needle", "what")).alias("near"))
-    sure = F.filter("near", lambda n: F.exists("parts", lambda p: n["needle"].isNull() | F.contains(p, n["needle"])))
+    unsure = (F.col("needle") != F.col("gram")) | F.contains("needle", F.lit("\ufffd"))
+    keyed = needles.join(rarest, "needle").select("gram", F.when(unsure, F.col("needle")).alias("needle"), "what")
+    held = _grams_in(texts, rarest)
+    pair = F.struct("needle", "what")
+    if _few(needles):
+        # a text's rows are combined by hash in the task; collect_set would sort, and spill, all that it gives out
+        met = held.join(F.broadcast(keyed), "gram").select("key", "needle", "what").distinct()
+        near = met.groupBy("key").agg(F.collect_list(pair).alias("near"))
+    else:
+        # a gram may stand in a large part of all texts
+        salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+        held = held.withColumn("salt", F.pmod(F.xxhash64("key"), F.lit(SALTS)).cast("int"))
+        met = held.join(keyed.withColumn("salt", salts), ["gram", "salt"])
+        near = met.groupBy("key").agg(F.collect_set(pair).alias("near"))
+    if rarest.where(unsure).isEmpty():
+        sure = F.col("near")
+    else:
+        near = texts.join(near, "key")
+        sure = F.filter("near", lambda n: F.exists("parts", lambda p: n["needle"].isNull() | F.contains(p, n["needle"])))
     found = F.array_distinct(F.transform(sure, lambda n: n["what"]))
-    return texts.join(near, "key").select("key", found.alias("found")).where(F.size("found") > 0)
+    return near.select("key", found.alias("found")).where(F.size("found") > 0)
 
 
-def with_found(rows: DataFrame, key: Column, found: DataFrame, name: str, spread: list[str]) -> DataFrame:
+def with_found(
+    rows: DataFrame, key: Column, found: DataFrame, name: str, spread: list[str], hot: DataFrame | None = None
+) -> DataFrame:
     """``rows`` with ``found`` of their key as the column ``name`` (NULL where none).
 
     One key may belong to a large part of all rows, so both sides carry a salt, by a hash of the
-    columns ``spread``.
+    columns ``spread``; if the keys of many rows are given in ``hot``, only these (and chance hits).
     """
-    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
-    salted = found.select(F.col("key").alias("_key"), F.col("found").alias(name)).withColumn("_salt", salts)
-    keyed = rows.withColumns({"_key": key, "_salt": F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int")})
+    salt, salts = F.pmod(F.xxhash64(*spread), F.lit(SALTS)).cast("int"), F.sequence(F.lit(0), F.lit(SALTS - 1))
+    if hot is not None:
+        is_hot = _in_bitmap(_bitmap(hot.select(F.col("key").alias("_key")), "_key"), "_key")
+        salt, salts = F.when(is_hot, salt).otherwise(0), F.when(is_hot, salts).otherwise(F.array(F.lit(0)))
+    salted = found.select(F.col("key").alias("_key"), F.col("found").alias(name)).withColumn("_salt", F.explode(salts))
+    keyed = rows.withColumn("_key", key).withColumn("_salt", salt)
     return keyed.join(salted, ["_key", "_salt"], "left").drop("_key", "_salt")

@@ -7,6 +7,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from leadtide.functions import scores
 from leadtide.operators.detect import MAX_TECHS, constant
 from leadtide.operators.gramindex import substring_hits, text_key, with_found
+from leadtide.sources.tables import store
 
 
 def target_techs(config: DataFrame) -> DataFrame:
@@ -80,7 +81,7 @@ def _weights_by_stack(stats: DataFrame, config: DataFrame, exact: bool) -> DataF
             F.collect_list("what").alias("found")
         )
     else:
-        found = substring_hits(stacks.select("key", F.array("tech_stack").alias("parts")), needles)
+        found = substring_hits(store(stacks.select("key", F.array("tech_stack").alias("parts")), "texts"), needles)
     one = F.coalesce("matched_weight", F.array().cast(found.schema["found"].dataType))
     # a row of the config that is repeated counts each time
     weights = F.flatten(F.transform(F.array_sort(one), lambda t: F.array_repeat(t["score_weight"], t["times"].cast("int"))))

@@ -56,3 +56,35 @@ def test_every_row_of_a_text_gets_its_hits(spark):
     found = spark.createDataFrame([(["w"],)], "found array<string>").withColumn("key", gramindex.text_key(F.lit("same")))
     every = gramindex.with_found(rows, gramindex.text_key(F.col("text")), found, "hits", ["id"])
     assert every.columns == ["id", "text", "hits"] and every.where("hits[0] = 'w'").count() == 200
+
+
+@pytest.mark.parametrize("most", [-1, 500_000])
+def test_few_and_many_needles_by_brute_force(spark, monkeypatch, most):
+    monkeypatch.setattr(gramindex, "BROADCAST_NEEDLES", most)
+    r = random.Random(3)
+    texts = [["".join(r.choices("abc ", k=r.randint(0, 50))), "".join(r.choices("abc", k=7))] for _ in range(50)]
+    short = [("".join(r.choices("abc", k=n)), f"w{k % 4}") for n in (2, 5) for k in range(12)]
+    for needles in (short, [*short, ("abcabca", "long"), ("cabbac", "long")]):
+        assert sought(spark, texts, needles) == expected(texts, needles)
+
+
+def test_texts_do_not_move_for_needles_that_are_their_own_gram(spark):
+    texts = spark.createDataFrame([("k", ["abcde"]), ("l", ["abcdefg"])], "key string, parts array<string>")
+    kinds = "needle string, what string"
+    for needle, moves in (("abcde", False), ("abcdef", True)):
+        found = gramindex.substring_hits(texts, spark.createDataFrame([(needle, "w")], kinds))
+        text = found._jdf.queryExecution().optimizedPlan().toString()
+        assert ("exists(parts" in text) == moves  # else they need not meet what was found
+        assert "strategy=broadcast" in text  # what they give out is not dealt out by gram
+
+
+def test_only_keys_of_many_rows_are_salted(spark):
+    rows = spark.range(200).select("id", F.when(F.col("id") < 150, "hot").otherwise(F.col("id").cast("string")).alias("text"))
+    key = gramindex.text_key(F.col("text"))
+    texts = rows.select("text", key.alias("key")).distinct()
+    found = texts.select("key", F.array("text").alias("found"))
+    every = gramindex.with_found(rows, key, found, "hits", ["id"], texts.where("text = 'hot'"))
+    assert every.columns == ["id", "text", "hits"]
+    assert sorted((r.id, r.hits) for r in every.collect()) == sorted((r.id, [r.text]) for r in rows.collect())
+    made = every._jdf.queryExecution().analyzed().toString()
+    assert "CASE WHEN" in made[made.index("explode"):].split("\n")[0]
