@@ -75,14 +75,20 @@ def s3(b):
     return trend_feed(b.stats)
 
 
+LINES_PER_FILE = 1_000_000
+
+
 def text_batch(b):
-    """The postings as they would arrive: JSON lines, dates as ISO text, NULL fields absent."""
+    """The postings as they would arrive: JSON lines, dates as ISO text, NULL fields absent, compressed.
+
+    A compressed file is read by one task, so its rows are bounded.
+    """
     path = new_path(b.spark, "batch")
     b.postings.select(
         "job_id", "company", "title", "description", "location",
         F.date_format("posting_date", "yyyy-MM-dd").alias("posting_date"), "url", "source",
         F.date_format("first_scraped_at", "yyyy-MM-dd'T'HH:mm:ss.SSSSSS").alias("scraped_at"),
-    ).write.json(path)
+    ).write.option("maxRecordsPerFile", LINES_PER_FILE).json(path, compression="gzip")
     return read_batch(b.spark, path)
 
 
