@@ -6,7 +6,7 @@ snapshot, to be written to a new path.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, functions as F
+from pyspark.sql import DataFrame, Window, functions as F
 
 # Batches up to this many keys, and bytes of keys, are sent to the snapshot instead of shuffling it.
 # This chooses the plan only; the ledger in sources/ledger.py does without.
@@ -49,9 +49,11 @@ def first_per_key(rows: DataFrame, key: list[str], order: list[str]) -> DataFram
 
 def is_small(batch: DataFrame, limit: int = BROADCAST_KEYS) -> bool:
     """Whether a batch has at most ``limit`` records, of at most BROADCAST_BYTES of keys; reads no
-    more than it must."""
-    n, size = batch.select("job_id").limit(limit + 1).agg(
-        F.count("*"), F.coalesce(F.sum(F.octet_length("job_id")), F.lit(0))
+    more than it must, and nothing where the limit is zero."""
+    if limit <= 0:
+        return False
+    n, size = batch.select(F.octet_length("job_id").alias("size")).limit(limit + 1).agg(
+        F.count("*"), F.coalesce(F.sum("size"), F.lit(0))
     ).first()
     return n <= limit and size <= BROADCAST_BYTES
 
@@ -97,17 +99,39 @@ def touch(
     )
 
 
+def _merged(table: DataFrame, new: DataFrame) -> DataFrame:
+    """The table with the last sightings of ``new``, which is unique by key, and the rows of its other keys.
+
+    As in a join, a NULL key is like no other.
+    """
+    of_key = Window.partitionBy("job_id")
+    rows = table.select(*RAW, F.lit(False).alias("_new")).union(new.select(*RAW, F.lit(True)))
+    rows = rows.withColumns({
+        "_known": F.max(~F.col("_new")).over(of_key),
+        "_seen": F.max(F.when(F.col("_new"), F.col("last_scraped_at"))).over(of_key),
+    })
+    no_key, last = F.col("job_id").isNull(), F.col("last_scraped_at")
+    return rows.where(~F.col("_new") | ~F.col("_known") | no_key).select(
+        *[c for c in RAW if c != "last_scraped_at"],
+        F.when(no_key, last).otherwise(F.coalesce("_seen", last)).alias("last_scraped_at"),
+    )
+
+
 def upsert_postings(
-    table: DataFrame, batch: DataFrame, limit: int = BROADCAST_KEYS
+    table: DataFrame, batch: DataFrame, limit: int = BROADCAST_KEYS, *, keyed: bool = False
 ) -> DataFrame:
     """The snapshot after a batch: new keys inserted, known keys keep all but the last sighting.
 
     A small batch is broadcast and the table is not shuffled.  A large one meets it in one
-    full outer join; with a table bucketed by job_id only the batch moves.
+    full outer join; with a table bucketed by job_id only the batch moves.  Spark does not know
+    how such a join's result is partitioned; where the table is partitioned by job_id and a step by
+    job_id follows, ``keyed`` lets them meet in a union, whose result need not be shuffled for it.
     """
     if is_small(batch, limit):
         touched = touch(table, batch, small=True)
         return touched.unionByName(new_postings(table, batch, small=True))
+    if keyed:
+        return _merged(table, one_per_job(batch))
     old = table.select(F.col("job_id"), F.struct(*RAW[1:]).alias("_old"))
     new = one_per_job(batch).select(F.col("job_id"), F.struct(*RAW[1:]).alias("_new"))
     kept = F.coalesce("_old", "_new")

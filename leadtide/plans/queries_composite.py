@@ -31,7 +31,7 @@ def c1(b):
 )
 def c1_twice(b):
     """The same batch again changes nothing."""
-    return upsert_postings(upsert_postings(b.snapshot, b.batch, limit=0), b.batch)
+    return upsert_postings(upsert_postings(b.snapshot, b.batch, limit=0, keyed=True), b.batch)
 
 
 @query("c2_clean_postings", sql("SELECT * FROM cleaned", "cleaned"))

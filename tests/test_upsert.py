@@ -1,7 +1,8 @@
 import pytest
+from pyspark.sql import functions as F
 
 from leadtide.operators.upsert import (
-    ingest_accounting, insert_or_ignore, new_postings, split_batch, upsert_postings,
+    ingest_accounting, insert_or_ignore, is_small, new_postings, one_per_job, split_batch, upsert_postings,
 )
 from leadtide.sources.batches import read_batch, rejected, typed
 from leadtide.sources.config import add_techs, set_target, tech_config
@@ -124,3 +125,37 @@ def test_config_edits(spark):
     rows_ = {r.tech_name: r for r in grown.collect()}
     assert len(rows_) == 17 and rows_["Go"].score_weight == 0.6
     assert (rows_["Zig"].is_target, rows_["Zig"].score_weight) == (False, 1.0)
+
+
+def test_keyed_result_is_that_of_the_join(spark):
+    """Also for keys that the table holds twice or that are NULL, and for scrapes without a time."""
+    table = raw(spark, {"job_id": "a"}, {"job_id": "a", "title": "Twin"}, {"job_id": "z"}, {"job_id": "y"}, {"job_id": "?"})
+    new = batch(
+        spark, {"job_id": "a", "title": "New"}, {"job_id": "b"}, {"job_id": "b", "title": "B"}, {"job_id": "?"},
+        {"job_id": "y", "scraped_at": None}, {"job_id": "c", "scraped_at": None},
+    )
+    key = F.expr("nullif(job_id, '?')")
+    table, new = table.withColumn("job_id", key), new.withColumn("job_id", key)
+    joined, keyed = upsert_postings(table, new, 0), upsert_postings(table, new, 0, keyed=True)
+    assert keyed.columns == joined.columns and keyed.dtypes == joined.dtypes
+    assert sorted(map(repr, keyed.collect())) == sorted(map(repr, joined.collect()))
+    assert keyed.count() == 8
+    nothing = new.where("false")
+    assert sorted(map(repr, upsert_postings(table, nothing, 0, keyed=True).collect())) == sorted(map(repr, table.collect()))
+
+
+def test_keyed_result_is_not_shuffled_for_the_next_step(spark):
+    table = one_per_job(batch(spark, {"job_id": "a"}, {"job_id": "z"}))
+    new = batch(spark, {"job_id": "a"}, {"job_id": "b"})
+
+    def shuffles(keyed):
+        twice = upsert_postings(upsert_postings(table, new, 0, keyed=keyed), new, 0)
+        return plan(twice).count("Exchange hashpartitioning(job_id")
+
+    assert shuffles(True) == shuffles(False) - 1
+
+
+def test_a_limit_of_zero_reads_nothing(spark):
+    unreadable = batch(spark, {"job_id": "a"}).withColumn("job_id", F.expr("raise_error('read')").cast("string"))
+    assert not is_small(unreadable, 0)
+    assert is_small(batch(spark, {"job_id": "a"}), 1) and not is_small(batch(spark, {"job_id": "a"}, {"job_id": "b"}), 1)
